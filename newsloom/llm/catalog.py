@@ -6,17 +6,35 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsloom.llm import sql
+from newsloom.llm import sentencepiece_bpe, sql
 from newsloom.llm.url_filter import filter_urls
 
 #: Fixed values of the url rules.
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 
 
+def tokenizer(name: str) -> str:
+    """Path of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Fewer rows in an Arrow batch, for whole texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text of ``documents`` encoded and decoded with the 32k piece model, as lengths and checksums."""
+    small_batches(spark)
+    return sentencepiece_bpe.digests(sentencepiece_bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model")))
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page of ``pages`` judged by its own rule, or else by what its redirect aliases hand on."""
     return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
