@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsloom.llm import sentencepiece_bpe, sql
+from newsloom.llm import sentencepiece_bpe, sql, token_files
 from newsloom.llm.url_filter import filter_urls
 
 #: Fixed values of the url rules.
@@ -35,6 +35,13 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.digests(sentencepiece_bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model")))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text of ``documents`` as token ids in coded files, read back from them as offsets and checksums."""
+    small_batches(spark)
+    folder = token_files.encode_to_files(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=2)
+    return token_files.digests(token_files.read_tokens(spark, folder))
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page of ``pages`` judged by its own rule, or else by what its redirect aliases hand on."""
     return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)

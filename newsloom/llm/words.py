@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 
 #: Distinct words that a worker remembers before it starts afresh, and characters of text handled at a time.
-MEMORY_WORDS, CHUNK_CHARS = 300_000, 2_000_000
+MEMORY_WORDS, CHUNK_CHARS = 600_000, 2_000_000
 
 
 def chunks(texts: list[str], size: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
