@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from newsloom.llm import sentencepiece_bpe, sql, token_files
+from newsloom.llm import labelled, quality, sentencepiece_bpe, sql, token_files, toxicity
 from newsloom.llm.url_filter import filter_urls
 
 #: Fixed values of the url rules.
@@ -35,6 +36,26 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.digests(sentencepiece_bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model")))
 
 
+#: A row is predicted to have label 1 from this score on.
+PREDICT_FROM = 0.7
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text of ``documents`` scored by the quality classifier, learned from the folds that are not held out."""
+    small_batches(spark)
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels"), parts=4, held=2))
+    return scored.select("doc_id", labelled.fold(F.col("doc_id"), 4, 2).alias("held_out"), "score", (F.col("score") >= PREDICT_FROM).cast("int").alias("predicted"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text of ``documents`` scored by the random field, with the offsets of the words that offend."""
+    small_batches(spark)
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"), parts=3, held=1))
+    return scored.select("doc_id", labelled.fold(F.col("doc_id"), 3, 1).alias("held_out"), "score", (F.col("score") >= PREDICT_FROM).cast("int").alias("predicted"), "spans")
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text of ``documents`` as token ids in coded files, read back from them as offsets and checksums."""
     small_batches(spark)
