@@ -28,6 +28,10 @@ from newsloom.llm.words import WordTable, chunks
 BUCKETS, STARTS, ENDS, EPOCHS, RATE, BATCH = 1 << 18, (3, 4, 5, 6), (2, 3), 8, 0.3, 64
 #: A word is evidence if it is in so many toxic documents at least, and so often in toxic rather than in other ones.
 EVIDENCE_DOCS, EVIDENCE_SHARE = 5, 0.98
+#: What is in this part of all toxic documents is a mark by itself; anything rarer only where no other explains a document.
+EVIDENCE_PART = 0.01
+#: Bounds of a document's evidence in log odds.
+FLOOR = 15.0
 #: Words side by side in the blocks of a scan.
 SCAN = 64
 EDGES = re.compile(r"^\W+|\W+$")
@@ -52,12 +56,35 @@ def feature_rows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def evidence(texts: list[str], labels: np.ndarray) -> set[str]:
-    """Words (``=word``) and word beginnings (``^begin``) that mark toxic documents."""
-    toxic, other = Counter(), Counter()
+    """Words (``=word``) and word beginnings (``^begin``) that mark toxic documents.
+
+    Marks are taken one by one, each time the one in most toxic documents that none explains yet, so that what
+    merely stands beside a mark, or is copied along with it, is not taken for one itself.
+    """
+    toxic: dict[str, list[int]] = {}
+    other: Counter = Counter()
     n_toxic, n_other = max(1, int(labels.sum())), max(1, int((1 - labels).sum()))
-    for text, label in zip(texts, labels, strict=True):
-        (toxic if label else other).update({c for w in set(text.split()) for c in cues(w) if c[0] in "=^" and len(c) > 1})
-    return {c for c, n in toxic.items() if n >= EVIDENCE_DOCS and n / n_toxic >= EVIDENCE_SHARE * (n / n_toxic + other[c] / n_other)}
+    for i, (text, label) in enumerate(zip(texts, labels, strict=True)):
+        found = {c for w in set(text.split()) for c in cues(w) if c[0] in "=^" and len(c) > 1}
+        if label:
+            for c in found:
+                toxic.setdefault(c, []).append(i)
+        else:
+            other.update(found)
+    least = max(EVIDENCE_DOCS, round(EVIDENCE_PART * n_toxic))
+    good = {c: set(d) for c, d in toxic.items() if len(d) >= EVIDENCE_DOCS and len(d) / n_toxic >= EVIDENCE_SHARE * (len(d) / n_toxic + other[c] / n_other)}
+    marks = {c for c, d in good.items() if len(d) >= least}
+    left = set().union(*good.values()) if good else set()
+    for c in marks:
+        left -= good[c]
+    rest = {c: d for c, d in good.items() if c not in marks}
+    while rest:
+        rest = {c: own for c, d in rest.items() if len(own := d & left) >= EVIDENCE_DOCS}
+        if rest:
+            best = max(rest, key=lambda c: (len(rest[c]), c))
+            marks.add(best)
+            left -= rest.pop(best)
+    return marks
 
 
 def ratios(gain: np.ndarray, first: np.ndarray, move: np.ndarray, prior: float) -> np.ndarray:
@@ -133,10 +160,14 @@ class ToxicityModel:
         return marginals(gain, sizes, self.move, self.prior)[0], sizes
 
     def evidence_of(self, p: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """Log odds that some word of a text is toxic, as if words were independent."""
-        doc = np.repeat(np.arange(len(sizes)), sizes)
-        none = np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-12)), len(sizes))
-        return np.log(np.maximum(-np.expm1(none), 1e-12)) - none
+        """Log odds of a text's most toxic word, which do not grow with its length; a floor for a text without words."""
+        out = np.full(len(sizes), -FLOOR)
+        some = np.flatnonzero(sizes)
+        if len(some):
+            q = np.clip(p, 1e-12, 1 - 1e-12)
+            odds = np.maximum.reduceat(np.log(q) - np.log1p(-q), (np.cumsum(sizes) - sizes)[some])
+            out[some] = np.clip(odds, -FLOOR, FLOOR)
+        return out
 
     def scores(self, p: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.evidence_of(p, sizes) + self.intercept, -40, 40)))
