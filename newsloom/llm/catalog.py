@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import labelled, quality, sentencepiece_bpe, sql, token_files, toxicity
+from newsloom.llm import ann, labelled, quality, sentencepiece_bpe, sql, token_files, toxicity
 from newsloom.llm.url_filter import filter_urls
 
 #: Fixed values of the url rules.
@@ -63,6 +63,12 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(token_files.read_tokens(spark, folder))
 
 
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest rows of every vector of ``embeddings`` whose id is divisible by 100."""
+    small_batches(spark)
+    return ann.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page of ``pages`` judged by its own rule, or else by what its redirect aliases hand on."""
     return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
