@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import ann, labelled, quality, sentencepiece_bpe, sql, token_files, toxicity
+from newsloom.llm import ann, labelled, pii, quality, sentencepiece_bpe, sql, token_files, toxicity
 from newsloom.llm.url_filter import filter_urls
 
 #: Fixed values of the url rules.
@@ -69,6 +69,11 @@ def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every text of ``documents``, with the terms that give it away."""
+    return pii.digests(pii.find(table(spark, sf_dir, "documents")))
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page of ``pages`` judged by its own rule, or else by what its redirect aliases hand on."""
     return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
