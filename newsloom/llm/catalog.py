@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import ann, labelled, pii, quality, sentencepiece_bpe, sql, token_files, toxicity
+from newsloom.llm import ann, jaccard, labelled, pii, quality, sentencepiece_bpe, sql, token_files, toxicity
 from newsloom.llm.url_filter import filter_urls
 
 #: Fixed values of the url rules.
@@ -30,6 +30,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document of ``documents`` with the group that similar sets of five-word shingles make."""
+    small_batches(spark)
+    return jaccard.similar_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text of ``documents`` encoded and decoded with the 32k piece model, as lengths and checksums."""
     small_batches(spark)

@@ -45,3 +45,26 @@ WITH RECURSIVE p AS (
 SELECT q.page_id, q.host, q.path, own.rule, coalesce(own.what, CASE WHEN i.blocked THEN 'block' ELSE 'allow' END) AS verdict, i.component
 FROM q LEFT JOIN own USING (page_id) LEFT JOIN inherits i ON q.host <> '' AND i.node = q.host || q.tail
 """
+
+ORACLES["op1_jaccard_join"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [list_aggregate(w, 'string_agg', ' ')]
+         ELSE list_transform(range(1, len(w) - 3), lambda i: list_aggregate(w[i:i + 4], 'string_agg', ' ')) END) AS g FROM w
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), both_have AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM both_have JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * k >= 75 * (na.n + nb.n - k)
+), ways AS (
+  SELECT a, b FROM links UNION SELECT b, a FROM links
+), reach(a, b) AS (
+  SELECT a, b FROM ways UNION SELECT reach.a, ways.b FROM reach JOIN ways ON reach.b = ways.a
+), groups AS (
+  SELECT a AS doc_id, min(b) AS low FROM reach GROUP BY a
+)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(g.low, d.doc_id)) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN groups g USING (doc_id)
+"""

@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 
 #: Distinct words that a worker remembers before it starts afresh, and characters of text handled at a time.
-MEMORY_WORDS, CHUNK_CHARS = 600_000, 2_000_000
+MEMORY_WORDS, CHUNK_CHARS = 300_000, 2_000_000
 
 
 def chunks(texts: list[str], size: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
@@ -74,3 +74,56 @@ class WordTable:
         self.counts[first:last] = counts
         self.starts[first:last] = self.used + np.cumsum(counts) - counts
         self.used += len(values)
+
+
+class HashIndex:
+    """Open-addressing map from 128-bit hashes, as two 64-bit halves, to numbers from 0 on; all calls take arrays."""
+
+    def __init__(self, bits: int = 16):
+        self.clear(bits)
+
+    def clear(self, bits: int = 16) -> None:
+        self.bits, self.size = bits, 0
+        self.a, self.b = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.uint64)
+        self.value = np.full(1 << bits, -1, np.int32)
+
+    def _slots(self, a: np.ndarray) -> np.ndarray:
+        return (a >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The numbers of keys; -1 for a key that is not there."""
+        mask = (1 << self.bits) - 1
+        slot, out = self._slots(a), np.full(len(a), -1, np.int64)
+        todo = np.arange(len(a))
+        while len(todo):
+            at = slot[todo]
+            got = self.value[at]
+            hit = (self.a[at] == a[todo]) & (self.b[at] == b[todo]) & (got >= 0)
+            out[todo[hit]] = got[hit]
+            todo = todo[~hit & (got >= 0)]
+            slot[todo] = (slot[todo] + 1) & mask
+        return out
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        """Gives distinct keys that are not there the next numbers, in their order."""
+        while self.size + len(a) > (1 << self.bits) * 0.6:
+            old_a, old_b, old_v = self.a, self.b, self.value
+            size = self.size
+            self.clear(self.bits + 1)
+            keep = old_v >= 0
+            self._put(old_a[keep], old_b[keep], old_v[keep])
+            self.size = size
+        self._put(a, b, np.arange(self.size, self.size + len(a), dtype=np.int32))
+        self.size += len(a)
+
+    def _put(self, a: np.ndarray, b: np.ndarray, value: np.ndarray) -> None:
+        mask = (1 << self.bits) - 1
+        slot, todo = self._slots(a), np.arange(len(a))
+        while len(todo):
+            at = slot[todo]
+            free = self.value[at] < 0
+            self.value[at[free]] = value[todo[free]]  # of keys that meet in a slot the last one stays
+            won = free & (self.value[at] == value[todo])
+            self.a[at[won]], self.b[at[won]] = a[todo[won]], b[todo[won]]
+            todo = todo[~won]
+            slot[todo] = (slot[todo] + 1) & mask
