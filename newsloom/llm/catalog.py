@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import ann, jaccard, labelled, pii, quality, sentencepiece_bpe, sql, token_files, toxicity
+from newsloom.llm import ann, jaccard, labelled, line_dedup, pii, quality, sentencepiece_bpe, sql, token_files, toxicity
 from newsloom.llm.url_filter import filter_urls
 
 #: Fixed values of the url rules.
@@ -54,6 +54,11 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", labelled.fold(F.col("doc_id"), 4, 2).alias("held_out"), "score", (F.col("score") >= PREDICT_FROM).cast("int").alias("predicted"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document of ``documents`` with the numbers of its lines that an earlier line of the corpus repeats."""
+    return line_dedup.repeated_lines(table(spark, sf_dir, "documents")).select("doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.size("repeats").cast("long").alias("n_repeats"), F.array_join(F.col("repeats").cast("array<string>"), ",").alias("repeats"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text of ``documents`` scored by the random field, with the offsets of the words that offend."""
     small_batches(spark)
