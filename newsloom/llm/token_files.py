@@ -10,7 +10,9 @@ n_tokens, doc_ids, counts, payload). Spark's own writers and commit protocol mak
 
 from __future__ import annotations
 
+import json
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -22,14 +24,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newsloom.llm.storage import scratch, written
-from newsloom.llm.words import WordTable, chunks
+from newsloom.llm.quality import mix
+from newsloom.llm.words import HashIndex, chunks, expand
 
 #: Ids in a block (a longer document has a block of its own), coders in a block, and steps between checkpoints.
 BLOCK_IDS, LANES, CHECKPOINT_STEPS = 1 << 20, 1024, 256
 #: Ids in a part, that is in one file of blocks; offsets of up to BROADCAST_PARTS parts go out as a broadcast of 16 bytes each.
 PART_IDS, BROADCAST_PARTS = 1 << 23, 100_000
-#: Words that the tokenizer is handed in one row.
-GROUP = 2000
+#: Plain words that the tokenizer is handed at once.
+GROUP = 200
 MAGIC, LOW = b"NLR1", np.uint64(1 << 31)
 HEADER = struct.Struct("<4sIQIIII")  # magic, lanes, ids, words, checkpoints, checksum of the ids, checksum of what follows
 
@@ -133,69 +136,198 @@ class Coder:
         return out
 
 
-_tokenizers: dict[int, WordTable] = {}
+#: Characters below this code, but for SLOW, keep their class and their 1:1 lower case in every version of Unicode.
+PLAIN = 0x250
+#: Characters that take the word around them to the library as it is: contractions, special tokens, a long lower case.
+SLOW = (ord("'"), ord("<"), 0x130)
+#: Distinct tokens that a worker remembers.
+MEMORY_TOKENS = 1_000_000
+_A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
-def _table(text: str) -> WordTable:
-    """A worker's tokenizer with its memory of words; one at a time."""
-    key = zlib.crc32(text.encode())
-    if key not in _tokenizers:
-        from tokenizers import Tokenizer
+def _classes() -> tuple[np.ndarray, np.ndarray]:
+    """Class (0 blank, 1 letter, 2 digit, 3 other, 4 slow) and lower case of every code."""
+    kind, lower = np.full(0x110000, 4, np.uint8), np.arange(0x110000, dtype=np.uint32)
+    for code in range(PLAIN):
+        char = chr(code)
+        category = unicodedata.category(char)
+        blank = char in "\t\n\v\f\r \x85\xa0"
+        kind[code] = 0 if blank else 1 if category[0] == "L" else 2 if category[0] == "N" else 3
+        if len(char.lower()) == 1:
+            lower[code] = ord(char.lower())
+    kind[list(SLOW)] = 4
+    return kind, lower
+
 
-        tokenizer = Tokenizer.from_str(text)
-
-        def make(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            rows = [words[i : i + GROUP] for i in range(0, len(words), GROUP)]
-            ids, counts = [], []
-            for row, e in zip(rows, tokenizer.encode_batch_fast(rows, is_pretokenized=True, add_special_tokens=False), strict=True):
-                at = e.word_ids
-                if None in at:  # a special token in a word has no place: these words go one by one
-                    own = [x.ids for x in tokenizer.encode_batch_fast(row, add_special_tokens=False)]
-                    ids.append(np.array([i for x in own for i in x], np.uint32))
-                    counts.append(np.array([len(x) for x in own], np.int64))
-                else:
-                    ids.append(np.array(e.ids, np.uint32))
-                    counts.append(np.bincount(np.array(at, np.int64), minlength=len(row)))
-            return np.concatenate(ids), np.concatenate(counts)
+class TokenTable:
+    """Ids of texts by a lower-casing tokenizer that cuts at blanks and at changes between letters, digits and others.
 
+    Plain texts are cut and hashed as arrays; each distinct piece goes to the library once. A word with a character
+    that is not plain goes to the library whole, so what holds there decides.
+    """
+
+    def __init__(self, text: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_str(text)
+        self.kind, self.lower = _classes()
+        suffix = json.loads(text)["model"].get("end_of_word_suffix")
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a piece of the text
+        if suffix:
+            self.last[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        self.index = HashIndex()
+        self.clear()
+        rng = np.random.default_rng(3)
+        self.code_a, self.code_b = (rng.integers(0, 2**64, 0x110000, np.uint64, endpoint=False) | np.uint64(1) for _ in range(2))
+        self.grow(1 << 12)
+
+    def clear(self) -> None:
+        self.index.clear()
+        self.values, self.used = np.zeros(1024, np.uint32), 0
+        self.starts, self.counts = np.zeros(256, np.int64), np.zeros(256, np.int64)
+
+    def grow(self, n: int) -> None:
+        """Powers of the hashes' bases and of their inverses, for texts of n characters."""
+        self.power = []
+        for base in (_A, _B):
+            inverse = np.uint64(pow(int(base), -1, 2**64))
+            up, down = np.ones(n + 1, np.uint64), np.ones(n + 1, np.uint64)
+            up[1:], down[1:] = base, inverse
+            self.power.append((np.multiply.accumulate(up), np.multiply.accumulate(down)))
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts one after the other, and how many each has."""
+        codes = np.frombuffer("\n".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+        if not len(codes):
+            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
+        kind, low = self.kind[codes], self.lower[codes]
+        edge, within = np.flatnonzero(np.r_[True, (kind[1:] != kind[:-1]) | (kind[1:] == 2)]), None
+        if (slow := np.flatnonzero(kind == 4)).size:
+            gaps = np.flatnonzero(kind == 0)
+            before = np.searchsorted(gaps, slow)  # the word of a slow character lies between two blanks
+            word = np.unique(before)
+            begin = np.r_[-1, gaps][word] + 1
+            end = np.r_[gaps, len(codes)][word]
+            low = low.copy()
+            inside = expand(begin, end - begin)
+            low[inside] = codes[inside]
+            mark = np.zeros(len(codes) + 1, np.int32)
+            np.add.at(mark, begin, 1)
+            np.add.at(mark, end, -1)
+            within = np.cumsum(mark[:-1]) > 0
+            edge = np.unique(np.r_[edge[~within[edge]], begin, end[end < len(codes)]])
+        stop = np.r_[edge[1:], len(codes)]
+        keep = kind[edge] != 0
+        edge, stop = edge[keep], stop[keep]
+        if len(codes) >= len(self.power[0][0]):
+            self.grow(2 * len(codes))
+        a, b = (self._hash(low, edge, stop, k) for k in (0, 1))
+        found = self.index.find(a, b)
+        if (missing := np.flatnonzero(found < 0)).size:
+            if self.index.size + len(missing) > MEMORY_TOKENS and self.index.size:
+                self.clear()
+                missing = np.arange(len(a))
+            _, first = np.unique(a[missing] ^ (b[missing] * np.uint64(31)), return_index=True)
+            new = missing[np.sort(first)]
+            raw = low.astype("<u4")
+            words = [raw[i:j].tobytes().decode("utf-32-le", "surrogatepass") for i, j in zip(edge[new].tolist(), stop[new].tolist(), strict=True)]
+            self._learn(words, np.ones(len(new), bool) if within is None else ~within[edge[new]])
+            self.index.add(a[new], b[new])
+            found[missing] = self.index.find(a[missing], b[missing])
+        counts = self.counts[found]
+        ids = self.values[expand(self.starts[found], counts)]
+        doc = np.searchsorted(np.cumsum(lengths), edge, "right")
+        return ids, np.bincount(doc, counts, len(texts)).astype(np.int64)
+
+    def _hash(self, low: np.ndarray, edge: np.ndarray, stop: np.ndarray, k: int) -> np.ndarray:
+        up, down = self.power[k]
+        sums = np.zeros(len(low) + 1, np.uint64)
+        np.cumsum((self.code_a, self.code_b)[k][low] * up[: len(low)], out=sums[1:])
+        return mix((sums[stop] - sums[edge]) * down[edge])
+
+    def _learn(self, words: list[str], plain: np.ndarray) -> None:
+        """Adds words. Plain ones are one piece each, so the library takes many at once and their last ids part them."""
+        counts, ids = np.zeros(len(words), np.int64), [np.zeros(0, np.uint32)] * len(words)
+        at = np.flatnonzero(plain)
+        for group in (at[i : i + GROUP] for i in range(0, len(at), GROUP)):
+            row = [words[i] for i in group.tolist()]
+            got = np.array(self.tokenizer.encode(" ".join(row), add_special_tokens=False).ids, np.uint32)
+            cut = np.flatnonzero(self.last[got]) + 1
+            if len(cut) == len(row) and cut[-1] == len(got):
+                counts[group] = np.diff(np.r_[0, cut])
+                for i, own in zip(group.tolist(), np.split(got, cut[:-1]), strict=True):
+                    ids[i] = own
+            else:
+                plain = plain.copy()
+                plain[group] = False
+        rest = np.flatnonzero(~plain).tolist()
+        for i, e in zip(rest, self.tokenizer.encode_batch([words[i] for i in rest], add_special_tokens=False), strict=True):
+            ids[i], counts[i] = np.array(e.ids, np.uint32), len(e.ids)
+        values = np.concatenate(ids)
+        first, last = self.index.size, self.index.size + len(words)
+        if self.used + len(values) > len(self.values):
+            self.values = np.resize(self.values, 2 * (self.used + len(values)))
+        if last > len(self.counts):
+            self.starts, self.counts = np.resize(self.starts, 2 * last), np.resize(self.counts, 2 * last)
+        self.values[self.used : self.used + len(values)] = values
+        self.counts[first:last], self.starts[first:last] = counts, self.used + np.cumsum(counts) - counts
+        self.used += len(values)
+
+
+_tokenizers: dict[int, TokenTable] = {}
+
+
+def _table(text: str) -> TokenTable:
+    """A worker's tokenizer with its memory; one at a time."""
+    key = zlib.crc32(text.encode())
+    if key not in _tokenizers:
         _tokenizers.clear()
-        _tokenizers[key] = WordTable(make, np.uint32)
+        _tokenizers[key] = TokenTable(text)
     return _tokenizers[key]
 
 
-def tokenize(docs: DataFrame, tokenizer_path: str, *, end_id: int | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Ids of every whole text, little-endian 32-bit: ``doc_id, ids binary``.
+def width_of(tokenizer_path: str, end_id: int | None) -> str:
+    """The narrowest type that holds every id."""
+    from tokenizers import Tokenizer
+
+    most = max(Tokenizer.from_file(tokenizer_path).get_vocab(with_added_tokens=True).values())
+    return "<u2" if max(most, end_id or 0) < 1 << 16 else "<u4"
+
+
+def tokenize(docs: DataFrame, tokenizer_path: str, *, end_id: int | None = None, width: str = "<u4", doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Ids of every whole text as little-endian integers of the given width: ``doc_id, ids binary``.
 
-    Blanks and newlines end a token of this tokenizer and leave no trace, so texts are cut there and each distinct
-    word is encoded once in a worker. A null text counts as empty; ``end_id`` is put after every text.
+    The tokenizer has to be one that TokenTable describes. A null text counts as empty; ``end_id`` is put after
+    every text.
     """
     with open(tokenizer_path, encoding="utf-8") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())  # bounded by the vocabulary
-    tail = np.zeros(0, np.uint32) if end_id is None else np.array([end_id], np.uint32)
+    tail = np.zeros(0, width) if end_id is None else np.array([end_id], width)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _table(shared.value)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for a, b in chunks(texts):
-                lists = [[w for w in t.replace("\n", " ").split(" ") if w] for t in texts[a:b]]
-                ids, counts = table.gather(table.codes([w for words in lists for w in words]))
-                ends = np.r_[0, np.cumsum(counts)][np.cumsum([0, *map(len, lists)])]
-                rows = [np.concatenate([ids[i:j], tail]).astype("<u4").tobytes() for i, j in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+                ids, counts = table.encode(texts[a:b])
+                ids, ends = ids.astype(width), np.cumsum(counts)
+                rows = [ids[i:j].tobytes() + tail.tobytes() for i, j in zip((ends - counts).tolist(), ends.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(rows, pa.binary())], names=["doc_id", "ids"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, f"doc_id {kind}, ids binary")
 
 
-def frequencies(tokens: DataFrame) -> DataFrame:
+def frequencies(tokens: DataFrame, width: str = "<u4") -> DataFrame:
     """How often each id occurs in all rows: ``id, count``, summed in each task before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
             for raw in batch.column(0).to_pylist():
-                own = np.bincount(np.frombuffer(raw, "<u4"))
+                own = np.bincount(np.frombuffer(raw, width))
                 if len(own) > len(total):
                     total = np.r_[total, np.zeros(len(own) - len(total), np.int64)]
                 total[: len(own)] += own
@@ -214,13 +346,13 @@ def _coder(spark: SparkSession, folder: str) -> Coder:
     return Coder.of(counts)
 
 
-def write_tokens(tokens: DataFrame, folder: str) -> None:
+def write_tokens(tokens: DataFrame, folder: str, width: str = "<u4") -> None:
     """Writes ``doc_id, ids`` as a file set in ascending order of doc_id (nulls first; equal ids by their tokens)."""
     spark = tokens.sparkSession
-    frequencies(tokens).coalesce(1).write.parquet(f"{folder}/table")
+    frequencies(tokens, width).coalesce(1).write.parquet(f"{folder}/table")
     coder = spark.sparkContext.broadcast(_coder(spark, folder))
     total = spark.read.parquet(f"{folder}/table").agg(F.sum("count")).first()[0] or 0
-    kind = tokens.schema["doc_id"].dataType
+    kind, size = tokens.schema["doc_id"].dataType, np.dtype(width).itemsize
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, start, block = TaskContext.get().partitionId(), 0, 0
@@ -229,20 +361,20 @@ def write_tokens(tokens: DataFrame, folder: str) -> None:
         held = 0
 
         def close() -> pa.RecordBatch:
-            row = np.frombuffer(b"".join(ids), "<u4")
-            values = [part, block, start, len(row), docs, [len(x) // 4 for x in ids], coder.value.encode(row)]
+            row = np.frombuffer(b"".join(ids), width).astype(np.uint32)
+            values = [part, block, start, len(row), docs, [len(x) // size for x in ids], coder.value.encode(row)]
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(doc_kind), pa.list_(pa.int64()), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names=["part", "block", "part_start", "n_tokens", "doc_ids", "counts", "payload"])
 
         for batch in batches:
             doc_kind = batch.column(0).type
             for doc, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if held and held + len(raw) // 4 > BLOCK_IDS:
+                if held and held + len(raw) // size > BLOCK_IDS:
                     yield close()
                     start, block, held, ids, docs = start + held, block + 1, 0, [], []
                 ids.append(raw)
                 docs.append(doc)
-                held += len(raw) // 4
+                held += len(raw) // size
         if docs:
             yield close()
 
@@ -284,9 +416,10 @@ def encode_to_files(docs: DataFrame, tokenizer_path: str, *, end_id: int | None
     left out. Of an empty table the file set has no blocks.
     """
     spark = docs.sparkSession
-    tokens = written(tokenize(docs, tokenizer_path, end_id=end_id, doc_id=doc_id, text=text), "tokens")
+    width = width_of(tokenizer_path, end_id)
+    tokens = written(tokenize(docs, tokenizer_path, end_id=end_id, width=width, doc_id=doc_id, text=text), "tokens")
     folder = folder or scratch(spark, "token-files")
-    write_tokens(tokens, folder)
+    write_tokens(tokens, folder, width)
     return folder
 
 
