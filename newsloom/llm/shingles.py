@@ -16,10 +16,12 @@ class Shingler:
     A text with fewer words is one shingle, its whole sequence; without words it has none.
     """
 
-    def __init__(self, width: int = 5):
+    def __init__(self, width: int = 5, blank: np.ndarray | None = None):
         self.width = width
-        self.blank = np.zeros(256, bool)
-        self.blank[[32, *range(9, 14)]] = True
+        if blank is None:
+            blank = np.zeros(256, bool)
+            blank[[32, *range(9, 14)]] = True
+        self.blank = blank  # of every byte, whether it parts words
         rng = np.random.default_rng(1)
         byte = rng.integers(0, 2**64, 256, np.uint64, endpoint=False) | np.uint64(1)
         byte[65:91] = byte[97:123]
