@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsloom.llm.columns import let
 from newsloom.llm.storage import written
 
 KINDS = ("email", "ip", "card", "phone")
@@ -28,24 +29,40 @@ NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 ALLOWED, SUPPORT, TERM_CHARS = 0.8, 3, 4
 #: Terms up to which their set goes out as a broadcast (of some 40 bytes each); beyond it the join is by shuffle.
 BROADCAST_TERMS = 100_000
+#: Classes of line hashes, one of which is counted ahead to rule out common terms.
+CLASSES = 32
 SPAN = "array<struct<kind:string,start:int,end:int>>"
 
 
+def _sum(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0), lambda a, v: a + v)
+
+
 def running(lengths: Column) -> Column:
     """Sums of the first 1, 2, ... values of an array, taken over blocks so that long arrays stay cheap."""
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / 64).cast("int")), lambda b: F.slice(lengths, b * 64 + 1, F.lit(64)))
-    add = lambda a, v: a + v
-    sums = F.transform(blocks, lambda x: F.aggregate(x, F.lit(0), add))
-    within = F.transform(blocks, lambda x, b: F.transform(x, lambda _, i: F.aggregate(F.slice(sums, F.lit(1), b), F.lit(0), add) + F.aggregate(F.slice(x, F.lit(1), i + 1), F.lit(0), add)))
-    return F.when(F.size(lengths) > 0, F.flatten(within)).otherwise(F.array().cast("array<int>"))
+    starts = F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / 64).cast("int"))
+
+    def within(block: Column, before: Column) -> Column:
+        return F.transform(block, lambda _, i: before + _sum(F.slice(block, F.lit(1), i + 1)))
+
+    def over(blocks: Column) -> Column:
+        return let(F.transform(blocks, _sum), lambda sums: F.flatten(F.transform(blocks, lambda x, b: let(_sum(F.slice(sums, F.lit(1), b)), lambda before: within(x, before)))))
+
+    blocks = F.transform(starts, lambda b: F.slice(lengths, b * 64 + 1, F.lit(64)))
+    return F.when(F.size(lengths) > 0, let(blocks, over)).otherwise(F.array().cast("array<int>"))
 
 
 def matches(text: Column, pattern: str) -> Column:
     """All leftmost non-overlapping matches: array of (value, start, end) in code points, end exclusive."""
-    found = F.regexp_extract_all(text, F.lit(pattern), 0)
-    gaps = F.split(text, pattern, -1)
-    sizes = F.transform(found, lambda m, i: F.length(F.get(gaps, i)) + F.length(m))
-    return F.transform(F.arrays_zip(found.alias("value"), running(sizes).alias("end")), lambda z: F.struct(z["value"].alias("value"), (z["end"] - F.length(z["value"])).cast("int").alias("start"), z["end"].cast("int").alias("end")))
+
+    def span(value: Column, end: Column) -> Column:
+        return F.struct(value.alias("value"), (end - F.length(value)).cast("int").alias("start"), end.cast("int").alias("end"))
+
+    def placed(found: Column, gaps: Column) -> Column:
+        sizes = F.transform(found, lambda m, i: F.length(F.get(gaps, i)) + F.length(m))
+        return let(sizes, lambda s: let(running(s), lambda ends: F.transform(found, lambda m, i: span(m, F.get(ends, i)))))
+
+    return let(F.regexp_extract_all(text, F.lit(pattern), 0), lambda found: let(F.split(text, pattern, -1), lambda gaps: placed(found, gaps)))
 
 
 def digits(value: Column) -> Column:
@@ -109,18 +126,23 @@ def disclosing_terms(docs: DataFrame, *, allowed: float = ALLOWED, support: int
     of_entity = shown.groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= support)
     pairs = shown.join(of_entity, "entity").select("entity", "n_e", F.explode("ts").alias("term"))
     pairs = written(pairs.groupBy("entity", "term").agg(F.count("*").alias("n_te"), F.first("n_e").alias("n_e")).where(F.col("n_te") >= support), "entity-terms")
-    names = pairs.select("term").distinct()
-    n_names = names.count()
-    if not n_names:
-        return spark.createDataFrame([], "entity string, term string")
-    words = lines.select("h", F.explode(terms(F.col("line"))).alias("term"))
-    words = words.join(F.broadcast(names) if n_names <= BROADCAST_TERMS else names, "term", "left_semi")
-    of_term = words.distinct().groupBy("term").agg(F.count("*").alias("n_t"))
+    # A term may be in so many lines at most; what already is in more of one line hash class has no need of a count.
+    most = F.col("n_te") * F.pow(F.lit(float(total)) / F.col("n_e"), F.lit(1 - allowed))
+    part = _lines_with(lines.where(F.pmod("h", F.lit(CLASSES)) == 0), pairs.select("term").distinct())
+    pairs = written(pairs.join(part, "term", "left").where(F.coalesce("n_t", F.lit(0)) <= most * (1 + 1e-9)).drop("n_t"), "entity-terms")
+    of_term = _lines_with(lines, pairs.select("term").distinct())
     told = F.log(F.lit(float(total)) * F.col("n_te") / (F.col("n_t") * F.col("n_e")))
     whole = F.log(F.lit(float(total)) / F.col("n_e"))
     return pairs.join(of_term, "term").where((whole > 0) & (told >= allowed * whole)).select("entity", "term")
 
 
+def _lines_with(lines: DataFrame, names: DataFrame) -> DataFrame:
+    """In how many distinct lines each of some terms is: ``term, n_t``."""
+    names = F.broadcast(names) if names.count() <= BROADCAST_TERMS else names
+    words = lines.select("h", F.explode(terms(F.col("line"))).alias("term")).join(names, "term", "left_semi")
+    return words.distinct().groupBy("term").agg(F.count("*").alias("n_t"))
+
+
 def find(docs: DataFrame, *, allowed: float = ALLOWED, support: int = SUPPORT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """All spans of every whole text: ``doc_id, base, term_spans``, arrays of (kind, start, end) in code points.
 
