@@ -1,17 +1,509 @@
-"""Named queries of the engine over the driver tables, each with the SQL that states the same result."""
+"""Named queries of the engine over the driver tables, each with DuckDB SQL that states the same result."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from newsloom.functions import channels, dates, text, urls
+from newsloom.functions.html import articles as parsed_pages
+from newsloom.functions.html import listing
+from newsloom.operators import articles as A
+from newsloom.operators import audit, classify, incidents, rollup
+from newsloom.plans import inputs, sql
+from newsloom.sources import feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
+_queries: dict[str, Query] = {}
+_oracles: dict[str, str] = {}
+
+
+def query(statement: str | None = None) -> Callable[[Query], Query]:
+    """Registers a query under its name, with its SQL."""
+
+    def add(f: Query) -> Query:
+        _queries[f.__name__] = f
+        if statement:
+            _oracles[f.__name__] = statement
+        return f
+
+    return add
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_oracles)
+
+
+def dated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles with their date and the key of their address."""
+    a = inputs.articles(spark, sf_dir)
+    return a.withColumn("date", dates.article_date(F.col("published_at"), F.col("url"))).withColumn("url_key", urls.canonical_url_native(F.col("url")))
+
+
+def found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.inventory(dated(spark, sf_dir), "date", "url_key")
+
+
+def judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = audit.with_baseline(inputs.channel_days(spark, sf_dir), "article_count", "source")
+    return audit.channel_anomalies(audit.zero_streak(days))
+
+
+# Inventory and audit
+
+
+@query(sql.DAYS + sql.BASELINE + sql.STREAK + sql.ANOMALIES)
+def channel_audit(spark, d):
+    """Flagship: every channel's day with its baseline, streak and anomalies."""
+    return judged(spark, d).select("date", "source", "article_count", "usable_rate", "previous_count", "baseline_median_7d", "ratio_to_baseline", "zero_streak_days", "anomaly_codes", "anomaly_level")
+
+
+@query(sql.ARTICLES + sql.INVENTORY + "SELECT * FROM inventory")
+def inventory(spark, d):
+    return found(spark, d)
+
+
+@query(sql.ARTICLES + sql.INVENTORY + "SELECT date, sum(article_count)::BIGINT AS total_articles, sum(unique_articles)::BIGINT AS unique_articles, sum(duplicate_articles)::BIGINT AS duplicate_articles, sum(usable_articles)::BIGINT AS usable_articles, sum(incomplete_articles)::BIGINT AS incomplete_articles, sum(short_articles)::BIGINT AS short_articles FROM inventory GROUP BY date")
+def daily_totals(spark, d):
+    return audit.daily_totals(found(spark, d))
+
+
+@query(sql.ARTICLES + sql.INVENTORY + "SELECT date, " + ", ".join(f"max(CASE WHEN source = 'src{i}' THEN article_count END) AS src{i}" for i in range(20)) + " FROM inventory GROUP BY date")
+def volume_pivot(spark, d):
+    return audit.volume_pivot(found(spark, d), [f"src{i}" for i in range(20)])
+
+
+@query(sql.DAYS + sql.BASELINE + "SELECT date, source, baseline_median_7d, previous_count, ratio_to_baseline FROM based")
+def baseline_7d(spark, d):
+    return audit.with_baseline(inputs.channel_days(spark, d), "article_count", "source").select("date", "source", "baseline_median_7d", "previous_count", "ratio_to_baseline")
+
+
+@query(sql.DAYS + sql.STREAK_ONLY)
+def zero_streak(spark, d):
+    return audit.zero_streak(inputs.channel_days(spark, d)).select("date", "source", "zero_streak_days")
+
+
+@query(sql.DAYS + sql.SUMMARY + "SELECT * FROM summary")
+def daily_summary(spark, d):
+    return audit.daily_summary(inputs.channel_days(spark, d))
+
+
+@query(sql.DAYS + sql.SUMMARY + sql.SUMMARY_ANOMALIES)
+def summary_anomalies(spark, d):
+    return audit.summary_anomalies(audit.daily_summary(inputs.channel_days(spark, d))).select("date", "baseline_median_7d", "ratio_to_baseline", "usable_rate", "anomaly_codes", "anomaly_level")
+
+
+@query(sql.DAYS + "SELECT source, min(CASE WHEN crawl_status <> 'historical' THEN date END) AS active_from, arg_max(frequency, date) AS frequency FROM days GROUP BY source")
+def first_active(spark, d):
+    return inputs.channel_days(spark, d).groupBy("source").agg(F.min(F.when(F.col("crawl_status") != "historical", F.col("date"))).alias("active_from"), F.max_by("frequency", "date").alias("frequency"))
+
+
+@query(
+    sql.DAYS
+    + """, gaps AS (SELECT DISTINCT date FROM days WHERE day(date) % 6 <> 5),
+ends AS (SELECT min(date) AS lo, max(date) AS hi FROM gaps),
+missing AS (SELECT CAST(unnest(generate_series(greatest(lo, hi - 31), hi - 1, INTERVAL 1 DAY)) AS DATE) AS date FROM ends),
+open_days AS (SELECT date FROM missing WHERE date NOT IN (SELECT date FROM gaps)),
+profile AS (SELECT source, min(CASE WHEN crawl_status <> 'historical' THEN date END) AS active_from, arg_max(frequency, date) AS frequency, arg_max(crawl_status, date) AS status FROM days WHERE day(date) % 6 <> 5 GROUP BY source)
+SELECT o.date, p.source, p.frequency FROM profile p JOIN open_days o ON o.date >= p.active_from
+WHERE p.status <> 'skipped' AND (p.frequency = '每日' OR p.frequency = '工作日' AND isodow(o.date) <= 5)
+AND NOT EXISTS (SELECT 1 FROM days i WHERE i.date = o.date AND i.source = p.source AND i.article_count > 10)"""
+)
+def missing_runs(spark, d):
+    days = inputs.channel_days(spark, d)
+    stats = days.where(F.dayofmonth("date") % 6 != 5)
+    return audit.missing_runs(stats, audit.daily_summary(stats), days.withColumn("article_count", F.when(F.col("article_count") > 10, F.col("article_count")).otherwise(0)))
+
+
+@query(
+    sql.DAYS
+    + """, inv AS (SELECT date, source, article_count + 1 AS article_count, usable_articles FROM days WHERE day(date) % 2 = 0),
+e AS (SELECT * FROM days WHERE day(date) % 3 <> 0)
+SELECT coalesce(e.date, i.date) AS date, coalesce(e.source, i.source) AS source, coalesce(e.frequency, 'daily') AS frequency,
+CASE WHEN e.source IS NULL THEN 'historical' WHEN e.crawl_status IN ('zero', 'failed') AND coalesce(i.article_count, 0) > 0 THEN 'recovered' ELSE e.crawl_status END AS crawl_status,
+coalesce(i.article_count, 0) AS article_count, coalesce(i.usable_articles, 0) AS usable_articles
+FROM e FULL JOIN inv i ON e.date = i.date AND e.source = i.source WHERE NOT (coalesce(e.crawl_status, '') = 'historical' AND i.source IS NULL)"""
+)
+def stats_merge(spark, d):
+    days = inputs.channel_days(spark, d)
+    inv = days.where(F.dayofmonth("date") % 2 == 0).withColumn("article_count", F.col("article_count") + 1)
+    return audit.merge_stats(days.where(F.dayofmonth("date") % 3 != 0), inv)
+
+
+@query(
+    sql.DAYS
+    + sql.HEALTH
+    + """, fresh AS (SELECT h.date, h.source, h.frequency, CASE WHEN h.status = 'zero' AND coalesce(i.article_count, 0) > 0 THEN 'already_collected' ELSE h.status END AS crawl_status,
+coalesce(i.article_count, 0) AS article_count, coalesce(i.usable_articles, 0) AS usable_articles
+FROM (SELECT DATE '2024-01-20' AS date, source, frequency, status FROM health) h LEFT JOIN (SELECT date, source, article_count + 1 AS article_count, usable_articles FROM days) i ON i.date = h.date AND i.source = h.source)
+SELECT date, source, frequency, crawl_status, article_count, usable_articles FROM days d WHERE NOT EXISTS (SELECT 1 FROM fresh f WHERE f.date = d.date AND f.source = d.source)
+UNION ALL SELECT * FROM fresh"""
+)
+def health_merge(spark, d):
+    days = inputs.channel_days(spark, d).select("date", "source", "frequency", "crawl_status", "article_count", "usable_articles")
+    run = inputs.health(spark, d).select("source", "frequency", "status")
+    return audit.merge_health(days, run, days.withColumn("article_count", F.col("article_count") + 1), F.lit("2024-01-20").cast("date"))
+
+
+@query(sql.DAYS + "SELECT date, source, CASE WHEN article_count = 0 AND NOT expected_daily THEN 'idle' WHEN article_count = 0 THEN 'zero' WHEN article_count > usable_articles THEN 'degraded' ELSE 'healthy' END AS status FROM days")
+def crawl_status(spark, d):
+    return inputs.channel_days(spark, d).select("date", "source", audit.crawl_status(F.col("article_count"), F.col("usable_articles"), F.col("expected_daily")).alias("status"))
+
+
+# Scalars
+
+
+@query(sql.ARTICLES + "SELECT seq, CASE WHEN seq % 3 = 0 THEN day END AS url_date FROM articles")
+def url_date(spark, d):
+    return inputs.articles(spark, d).select("seq", dates.url_date(F.col("url")).alias("url_date"))
+
+
+@query(sql.ARTICLES + "SELECT seq, date AS article_date FROM articles")
+def article_dates(spark, d):
+    return dated(spark, d).select("seq", F.col("date").alias("article_date"))
+
+
+@query(sql.ARTICLES + "SELECT seq, url_key, url_key AS exact_key FROM articles")
+def canonical_urls(spark, d):
+    a = inputs.articles(spark, d)
+    return a.select("seq", urls.canonical_url_native(F.col("url")).alias("url_key"), urls.canonical_url("url").alias("exact_key"))
+
+
+@query(r"""SELECT page_id, array_to_string(string_split(h, '.')[greatest(len(string_split(h, '.')) - 1, 1):], '.') AS site, regexp_matches(p, '/20\d{2}(?:\d{2})?/\d{1,2}/[^/]+\.s?html?$|/article/\d+\.s?html?$|/html/[^/?#]+\.s?html?$') AS article_path
+FROM (SELECT page_id, regexp_replace(lower(regexp_extract(url, '://([^/?#:]*)', 1)), '^www\.', '') AS h, regexp_extract(url, '://[^/?#]*([^?#]*)', 1) AS p FROM pages)""")
+def sites(spark, d):
+    p = inputs.table(spark, d, "pages")
+    return p.select("page_id", urls.registrable_site(urls.host(F.col("url"))).alias("site"), urls.is_article_path(F.regexp_extract("url", r"://[^/?#]*([^?#]*)", 1)).alias("article_path"))
+
+
+@query(sql.ARTICLES + sql.ASSESSED + "SELECT seq, status, issue, CASE status WHEN 'missing' THEN 0 WHEN 'incomplete' THEN 2 WHEN 'full' THEN 3 ELSE 1 END AS rank FROM assessed")
+def content_assess(spark, d):
+    a = text_cases(spark, d)
+    verdict = text.assess(F.col("content"), F.col("content_extraction"))
+    return a.select("seq", verdict["status"].alias("status"), verdict["issue"].alias("issue"), text.content_rank(verdict["status"]).alias("rank"))
+
+
+def text_cases(spark, d):
+    """Articles whose texts show every case of completeness."""
+    k = F.col("seq") % 9
+    tail = F.when(k == 1, " Subscribe to read more").when(k == 2, " and so on...").when(k == 3, " Read More ").when(k == 4, " verify you are human, cloudflare").when(k == 5, " 登录后阅读全文").otherwise("")
+    return inputs.articles(spark, d).withColumn("content", F.when(k == 6, "  \n").otherwise(F.concat("content", tail)))
+
+
+@query(sql.ARTICLES + r"SELECT seq, trim(regexp_replace(lower(title), '\s+', ' ', 'g'), ' ') AS key FROM articles")
+def title_keys(spark, d):
+    return inputs.articles(spark, d).select("seq", text.title_key(F.col("title")).alias("key"))
+
+
+@query(sql.ARTICLES + r"SELECT seq, md5(trim(regexp_replace(regexp_replace(content, '[ \t]+', ' ', 'g'), '\n{3,}', chr(10) || chr(10), 'g'), ' ' || chr(9) || chr(10) || chr(13))) AS digest FROM articles")
+def clean_text(spark, d):
+    return inputs.articles(spark, d).select("seq", F.md5(text.clean(F.col("content"))).alias("digest"))
+
+
+@query(r"SELECT event_id, left(regexp_replace('api_key=' || cast(user_id AS VARCHAR) || '&x=' || event_type || ' Password: hunter' || cast(event_id AS VARCHAR) || ', ok', '(?i)((?:access[_-]?token|api[_-]?key|password|secret|authorization)(?:%3[dD]|=|:)\s*)[^&\s,;]+', '\1[REDACTED]', 'g'), 2000) AS safe FROM events")
+def redacted(spark, d):
+    e = inputs.table(spark, d, "events")
+    raw = F.concat(F.lit("api_key="), F.col("user_id").cast("string"), F.lit("&x="), "event_type", F.lit(" Password: hunter"), F.col("event_id").cast("string"), F.lit(", ok"))
+    return e.select("event_id", text.redact(raw).alias("safe"))
+
+
+@query(sql.ARTICLES + r"""SELECT seq, md5(CASE WHEN length(f) <= 600 THEN f ELSE left(f, 432) || chr(10) || '……[正文截断]……' || chr(10) || right(f, 156) END) AS digest
+FROM (SELECT seq, trim(regexp_replace(content, '\s+', ' ', 'g'), ' ') AS f FROM articles)""")
+def clipped(spark, d):
+    return inputs.articles(spark, d).select("seq", F.md5(text.clip(F.col("content"), 600)).alias("digest"))
+
+
+@query("SELECT event_id, CAST(CAST(ts AS TIMESTAMP) - INTERVAL 6 HOUR AS DATE) - 1 AS target_date, strftime(ts, '%G-W%V') AS week, CAST(date_trunc('month', ts) AS DATE) AS first_day, last_day(CAST(ts AS DATE)) AS last_day FROM events")
+def target_dates(spark, d):
+    e = inputs.table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    day = F.to_date("ts")
+    first, last = dates.period(day, "month")
+    return e.select("event_id", dates.target_date(F.col("ts")).alias("target_date"), dates.week_label(day).alias("week"), first.alias("first_day"), last.alias("last_day"))
+
+
+@query("SELECT CAST(unnest(generate_series(CAST(min(ts) AS DATE), CAST(max(ts) AS DATE), INTERVAL 1 DAY)) AS DATE) AS date FROM events")
+def date_spine(spark, d):
+    ends = inputs.table(spark, d, "events").agg(F.min(F.to_date(F.col("ts").cast("timestamp_ntz"))).alias("a"), F.max(F.to_date(F.col("ts").cast("timestamp_ntz"))).alias("b"))
+    return ends.select(F.explode(F.sequence("a", "b")).alias("date"))
+
+
+@query(sql.DAYS + sql.HEALTH + "SELECT source, substr(sha256('2024-02-01' || chr(10) || CAST(date AS VARCHAR) || chr(10) || source || chr(10) || status || chr(10) || reason || chr(10) || CAST(new_articles AS VARCHAR)), 1, 24) AS id FROM health")
+def attempt_ids(spark, d):
+    return inputs.health(spark, d).select("source", incidents.attempt_id(F.lit("2024-02-01"), F.col("date"), F.col("source"), F.col("status"), F.col("reason"), F.col("new_articles")).alias("id"))
+
+
+@query("""WITH s AS (SELECT s_suppkey, CASE s_suppkey % 5 WHEN 0 THEN '无法访问，x' WHEN 1 THEN 'RSS：https://a.example.org/feed' || CAST(s_suppkey AS VARCHAR) || '，备用' ELSE '' END AS note, CASE WHEN s_suppkey % 7 = 0 THEN '' ELSE 'https://x' END AS url,
+CASE s_suppkey % 4 WHEN 0 THEN '每周' WHEN 1 THEN '工作日' WHEN 2 THEN 'Monthly' ELSE '每日' END AS frequency FROM supplier)
+SELECT s_suppkey, CASE WHEN note LIKE '%无法访问%' THEN '备注包含“无法访问”' WHEN url = '' THEN '链接为空' END AS skip_reason, CASE WHEN s_suppkey % 5 = 1 THEN 'https://a.example.org/feed' || CAST(s_suppkey AS VARCHAR) ELSE '' END AS feed,
+frequency IN ('工作日', '每日') AS daily, frequency = '每日' AS on_saturday FROM s""")
+def source_rules(spark, d):
+    k = F.col("s_suppkey")
+    note = F.when(k % 5 == 0, "无法访问，x").when(k % 5 == 1, F.concat(F.lit("RSS：https://a.example.org/feed"), k.cast("string"), F.lit("，备用"))).otherwise("")
+    frequency = F.element_at(F.array(*map(F.lit, ["每周", "工作日", "Monthly", "每日"])), (k % 4 + 1).cast("int"))
+    s = inputs.table(spark, d, "supplier").select("s_suppkey", note.alias("note"), F.when(k % 7 == 0, "").otherwise("https://x").alias("url"), frequency.alias("frequency"))
+    saturday = F.lit("2024-01-06").cast("date")
+    return s.select("s_suppkey", channels.skip_reason(F.col("note"), F.col("url")).alias("skip_reason"), urls.feed_url(F.col("note")).alias("feed"), channels.expects_daily(F.col("frequency")).alias("daily"), channels.expects_on(F.col("frequency"), saturday).alias("on_saturday"))
+
+
+# Articles
+
+
+@query(sql.ARTICLES + sql.WORTH + "SELECT url_key, seq, content_status, length(trim(content, ' ' || chr(10))) AS chars FROM (SELECT *, row_number() OVER (PARTITION BY url_key ORDER BY tier DESC, w DESC, seq) AS n FROM worth) WHERE n = 1")
+def best_article(spark, d):
+    best = A.best_by(dated(spark, d).select("url_key", "seq", "content_status", "content"), "url_key", "seq")
+    return best.select("url_key", "seq", "content_status", F.length(text.strip(F.col("content"))).cast("long").alias("chars"))
+
+
+@query(
+    sql.ARTICLES
+    + sql.WORTH
+    + """, o AS (SELECT *, seq // 2 AS key, row_number() OVER (PARTITION BY seq // 2 ORDER BY seq) AS nth FROM worth WHERE seq % 4 < 2),
+n AS (SELECT * FROM (SELECT *, seq // 4 * 2 + seq % 3 AS key, row_number() OVER (PARTITION BY seq // 4 * 2 + seq % 3 ORDER BY tier DESC, w DESC, seq) AS r FROM worth WHERE seq % 4 >= 2) WHERE r = 1),
+b AS (SELECT o.key AS ok, n.key AS nk, o.seq AS os, n.seq AS ns, o.content AS oc, n.content AS nc, o.content_status AS ot, n.content_status AS nt, o.cls AS ol, n.cls AS nl,
+ n.key IS NOT NULL AND (o.key IS NULL OR n.tier > o.tier OR n.tier = o.tier AND n.w > o.w) AS wins FROM o FULL JOIN n ON o.key = n.key AND o.nth = 1)
+SELECT coalesce(ok, nk) AS key, coalesce(os, ns) AS seq, md5(CASE WHEN wins THEN nc ELSE oc END) AS digest, CASE WHEN wins THEN nt ELSE ot END AS content_status,
+CASE WHEN wins AND (ok IS NULL OR nl IN ('classified', 'unclassified') OR nl = 'error' AND ol NOT IN ('classified', 'unclassified')) THEN nl ELSE ol END AS classification,
+CASE WHEN ok IS NULL THEN 'added' WHEN wins THEN 'updated' ELSE 'kept' END AS change FROM b"""
+)
+def upsert_articles(spark, d):
+    a = inputs.articles(spark, d).select("seq", "content", "content_status", "industry_classification_status")
+    s = F.col("seq")
+    stored = a.where(s % 4 < 2).withColumn("key", F.floor(s / 2))
+    new = a.where(s % 4 >= 2).withColumn("key", F.floor(s / 4) * 2 + s % 3)
+    out = A.upsert(stored, new.select(*stored.columns), "key", "seq")
+    return out.select("key", "seq", F.md5("content").alias("digest"), "content_status", F.col("industry_classification_status").alias("classification"), "change")
+
+
+@query(sql.ARTICLES + "SELECT seq FROM (SELECT seq, row_number() OVER (PARTITION BY CASE WHEN url2 <> '' THEN url2 ELSE source_name || '::' || trim(regexp_replace(lower(title), '\\s+', ' ', 'g'), ' ') END ORDER BY date, source_name, title, seq) AS n FROM (SELECT *, CASE WHEN seq % 2 = 0 THEN url ELSE '' END AS url2 FROM articles WHERE date IS NOT NULL)) WHERE n = 1")
+def rollup_dedup(spark, d):
+    rows = dated(spark, d).where("date IS NOT NULL").withColumn("summary_date", F.col("date")).withColumn("url", F.when(F.col("seq") % 2 == 0, F.col("url")).otherwise(""))
+    return A.rollup_dedup(rows, "seq").select("seq")
+
+
+@query(sql.ARTICLES + "SELECT url_key, min(seq) AS seq FROM articles GROUP BY url_key")
+def first_seen(spark, d):
+    return A.first_seen(dated(spark, d).select("url_key", "seq"), "url_key", "seq")
+
+
+@query(sql.ARTICLES + "SELECT source_name, seq FROM (SELECT source_name, seq, row_number() OVER (PARTITION BY source_name ORDER BY seq) AS n FROM articles WHERE date >= DATE '2024-01-10') WHERE n <= 5")
+def per_source_limit(spark, d):
+    return A.limit_each(dated(spark, d).where(F.col("date") >= F.lit("2024-01-10").cast("date")).select("source_name", "seq"), "source_name", ["seq"], 5)
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1)")
+def skip_full(spark, d):
+    full = inputs.table(spark, d, "labels").where("quality = 1").select("doc_id")
+    return inputs.table(spark, d, "documents").select("doc_id").join(full, "doc_id", "left_anti")
+
+
+@query("SELECT s_suppkey, s_name, n_name, r_name FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey")
+def denormalised(spark, d):
+    """Rows with their dimension's columns; the optimizer broadcasts dimensions that are small enough."""
+    s, n, r = (inputs.table(spark, d, t) for t in ("supplier", "nation", "region"))
+    return s.join(n, F.col("s_nationkey") == F.col("n_nationkey"), "left").join(r, F.col("n_regionkey") == F.col("r_regionkey"), "left").select("s_suppkey", "s_name", "n_name", "r_name")
+
+
+# Roll-ups
+
+
+def weekly(spark, d):
+    rows = dated(spark, d).where("date IS NOT NULL").withColumn("summary_date", F.col("date")).withColumn("category", F.concat(F.lit("c"), (F.col("seq") % 4).cast("string")))
+    return rollup.in_window(rows.withColumn("category_method", F.when(F.col("seq") % 2 == 0, "model").otherwise("")), F.lit("2024-01-08").cast("date"), F.lit("2024-01-14").cast("date"))
+
+
+_WEEK = sql.ARTICLES + ", week AS (SELECT *, date AS summary_date, 'c' || CAST(seq % 4 AS VARCHAR) AS category, CASE WHEN seq % 2 = 0 THEN 'model' ELSE '' END AS category_method FROM articles WHERE date BETWEEN DATE '2024-01-08' AND DATE '2024-01-14')\n"
+
+
+@query(_WEEK + "SELECT source_name, domain, sub_domain, category, count(*) AS article_count, min(summary_date) AS first_date, max(summary_date) AS last_date FROM week GROUP BY ALL")
+def rollup_by_source(spark, d):
+    return rollup.by_source(weekly(spark, d))
+
+
+@query(_WEEK + "SELECT domain, sub_domain, count(*) AS article_count FROM week GROUP BY ALL")
+def rollup_by_domain(spark, d):
+    return rollup.by_keys(weekly(spark, d), "domain", "sub_domain")
+
+
+@query(_WEEK + "SELECT summary_date, count(*) AS article_count FROM week GROUP BY ALL")
+def rollup_by_day(spark, d):
+    return rollup.by_day(weekly(spark, d))
+
+
+@query(_WEEK + "SELECT category, category_method, count(*) AS article_count FROM week GROUP BY ALL")
+def rollup_by_category(spark, d):
+    return rollup.by_keys(weekly(spark, d), "category", "category_method")
+
+
+@query(_WEEK + "SELECT seq, CAST(summary_date AS VARCHAR) AS published_at, source_name FROM week")
+def weekly_detail(spark, d):
+    return rollup.detail(weekly(spark, d)).select("seq", "published_at", "source_name")
+
+
+@query("SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, o_orderpriority, count(*) AS orders, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY ALL")
+def monthly_orders(spark, d):
+    o = inputs.table(spark, d, "orders")
+    return o.groupBy(F.trunc("o_orderdate", "month").alias("month"), "o_orderpriority").agg(F.count("*").alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+
+
+# Incidents and channels
+
+
+@query(
+    sql.DAYS
+    + sql.QUEUE
+    + sql.HEALTH
+    + sql.DIAGNOSED
+    + """, s AS (SELECT d.*, CAST(d.date AS VARCHAR) || '::' || d.source AS id, g.code, NOT article_count > 0 AND expected_daily AND d.crawl_status IN ('zero', 'failed') AS bad FROM days d LEFT JOIN diagnosed g ON g.date = d.date AND g.source = d.source),
+b AS (SELECT s.id AS sid, q.id AS qid, s.*, q.status AS qs, q.attempts AS qa, q.recovered_articles AS qr, q.diagnosis_code AS qd, q.updated_at AS qu, q.date AS qdate, q.source AS qsource, s.id IS NOT NULL AND s.article_count > 0 AND q.status IN ('pending_confirmation', 'confirmed', 'recovering', 'recovery_failed') AS rec FROM s FULL JOIN queue q ON q.id = s.id)
+SELECT coalesce(qid, sid) AS id, coalesce(qdate, date) AS date, coalesce(qsource, source) AS source, CASE WHEN rec THEN 'recovered' WHEN qid IS NOT NULL THEN qs ELSE 'pending_confirmation' END AS status, coalesce(qa, 0) AS attempts,
+CASE WHEN rec THEN article_count ELSE coalesce(qr, 0) END AS recovered_articles, CASE WHEN bad THEN code ELSE qd END AS diagnosis_code, CASE WHEN bad OR rec THEN 'now' ELSE qu END AS updated_at
+FROM b WHERE qid IS NOT NULL OR coalesce(bad, false)"""
+)
+def recovery_sync(spark, d):
+    return incidents.sync(inputs.channel_days(spark, d), inputs.incidents(spark, d), inputs.health(spark, d), F.lit("now"))
+
+
+@query(sql.DAYS + sql.HEALTH + sql.DIAGNOSED + "SELECT date, source, code AS diagnosis FROM diagnosed")
+def diagnoses(spark, d):
+    h = inputs.health(spark, d).select("source", "reason", "candidates_seen", "pages_fetched")
+    return inputs.channel_days(spark, d).join(h, "source", "left").select("date", "source", channels.diagnosis(F.col("crawl_status"), F.col("reason"), F.col("candidates_seen"), F.col("pages_fetched")).alias("diagnosis"))
+
+
+@query(sql.DAYS + sql.QUEUE + "SELECT id, CASE WHEN day(date) = 3 AND status IN ('pending_confirmation', 'recovery_failed') THEN 'confirmed' WHEN status = 'pending_confirmation' AND diagnosis_code = 'missing_run_record' THEN 'confirmed' ELSE status END AS status FROM queue")
+def resolved_incidents(spark, d):
+    q = inputs.incidents(spark, d)
+    ids = [r["id"] for r in q.where(F.dayofmonth("date") == 3).select("id").collect()]  # what a person named
+    return incidents.auto_confirm(incidents.resolve(q, ids, "confirm", F.lit("now"))).select("id", "status")
+
+
+@query(
+    sql.DAYS
+    + sql.QUEUE
+    + """SELECT q.id, CASE WHEN q.status = 'confirmed' THEN CASE WHEN coalesce(d.article_count, 0) > 0 THEN 'recovered' ELSE 'recovery_failed' END ELSE q.status END AS status,
+q.attempts + CASE WHEN q.status = 'confirmed' THEN 1 ELSE 0 END AS attempts, CASE WHEN q.status = 'confirmed' THEN coalesce(d.article_count, 0) ELSE q.recovered_articles END AS recovered_articles
+FROM queue q LEFT JOIN days d ON d.date = q.date AND d.source = q.source"""
+)
+def backfilled(spark, d):
+    return incidents.finish(inputs.incidents(spark, d), inputs.channel_days(spark, d)).select("id", "status", "attempts", "recovered_articles")
+
+
+@query(
+    sql.DAYS
+    + sql.QUEUE
+    + sql.HEALTH
+    + """, prev AS (SELECT source, CASE WHEN length(source) % 2 = 0 THEN 'zero' ELSE 'healthy' END AS last_status, 'idle' AS previous_status, 2 AS consecutive_unhealthy FROM health WHERE source NOT LIKE '%-2' UNION ALL SELECT 'gone', 'failed', '', 4),
+evs AS (SELECT source, status FROM health WHERE source NOT LIKE '%-3'),
+op AS (SELECT source, count(*) AS n, list(status) AS st FROM queue WHERE status IN ('pending_confirmation', 'confirmed', 'recovering', 'recovery_failed') GROUP BY source),
+m AS (SELECT coalesce(p.source, e.source) AS source, coalesce(e.status, p.last_status) AS last_status, CASE WHEN e.status IS NOT NULL THEN coalesce(p.last_status, '') ELSE coalesce(p.previous_status, '') END AS previous_status,
+CAST(CASE WHEN e.status IS NULL THEN coalesce(p.consecutive_unhealthy, 0) WHEN e.status NOT IN ('failed', 'zero', 'degraded') THEN 0 WHEN p.last_status IN ('failed', 'zero', 'degraded') THEN p.consecutive_unhealthy + 1 ELSE 1 END AS BIGINT) AS consecutive_unhealthy FROM prev p FULL JOIN evs e ON p.source = e.source)
+SELECT m.*, coalesce(op.n, 0) AS open_incidents, CASE WHEN list_contains(st, 'recovery_failed') THEN 'repair_then_reconfirm' WHEN list_contains(st, 'confirmed') OR list_contains(st, 'recovering') THEN 'automatic_backfill' WHEN list_contains(st, 'pending_confirmation') THEN 'repair_then_confirm'
+WHEN last_status IN ('failed', 'zero', 'degraded') THEN 'investigate' ELSE 'none' END AS next_action FROM m LEFT JOIN op ON op.source = m.source"""
+)
+def channel_state(spark, d):
+    return state(spark, d)
+
+
+def state(spark, d):
+    h = inputs.health(spark, d)
+    prev = h.where(~F.col("source").endswith("-2")).select("source", F.when(F.length("source") % 2 == 0, "zero").otherwise("healthy").alias("last_status"), F.lit("idle").alias("previous_status"), F.lit(2).alias("consecutive_unhealthy"))
+    prev = prev.unionByName(spark.createDataFrame([("gone", "failed", "", 4)], "source string, last_status string, previous_status string, consecutive_unhealthy int"))
+    return incidents.channel_state(prev, h.where(~F.col("source").endswith("-3")).select("source", "status"), inputs.incidents(spark, d))
+
+
+@query(
+    sql.DAYS
+    + sql.QUEUE
+    + sql.HEALTH
+    + """SELECT h.source, CASE WHEN h.status IN ('failed', 'zero', 'degraded') AND q.status = 'recovered' THEN 'recovered' WHEN h.status IN ('failed', 'zero', 'degraded') AND q.status = 'ignored' THEN 'verified_no_news' ELSE h.status END AS status,
+regexp_replace(h.reason, '(api_key=)[^&\\s,;]+', '\\1[REDACTED]') AS reason FROM health h LEFT JOIN queue q ON q.source = h.source AND q.date = h.date"""
+)
+def settled_health(spark, d):
+    return incidents.settled(inputs.health(spark, d), inputs.incidents(spark, d)).select("source", "status", "reason")
+
+
+@query(sql.DAYS + "SELECT CAST(date AS VARCHAR) || '::' || source AS id FROM days WHERE crawl_status <> 'healthy'")
+def new_events(spark, d):
+    e = inputs.channel_days(spark, d).withColumn("id", incidents.incident_id(F.col("date"), F.col("source")))
+    return incidents.new_events(e.select("id"), e.where("crawl_status = 'healthy'"))
+
+
+@query(sql.DAYS + sql.QUEUE + "SELECT id, status FROM queue WHERE status IN ('pending_confirmation', 'recovery_failed', 'recovered') AND NOT (day(date) % 2 = 0 AND attempts < 2)")
+def notify_changes(spark, d):
+    q = inputs.incidents(spark, d)
+    sent = q.where(F.dayofmonth("date") % 2 == 0).select("id", F.when(F.col("attempts") < 2, F.col("status")).otherwise("other").alias("status"))
+    return incidents.status_changes(q, sent).select("id", "status")
+
+
+@query(sql.DAYS + sql.QUEUE + "SELECT status, count(*) AS n FROM queue GROUP BY status")
+def incident_counts(spark, d):
+    return inputs.incidents(spark, d).groupBy("status").agg(F.count("*").alias("n"))
+
+
+@query(sql.DAYS + sql.QUEUE + sql.HEALTH + """SELECT (SELECT count(*) FROM health) AS channels, (SELECT count(*) FROM health WHERE status IN ('healthy', 'already_collected', 'idle', 'recovered', 'verified_no_news')) AS healthy, (SELECT count(*) FROM health WHERE status IN ('failed', 'zero', 'degraded')) AS unhealthy,
+count(*) FILTER (status IN ('pending_confirmation', 'confirmed', 'recovering', 'recovery_failed')) AS open_incidents, count(*) FILTER (status = 'pending_confirmation') AS pending, count(*) FILTER (status = 'recovery_failed') AS failed, count(*) FILTER (status = 'recovered') AS recovered FROM queue""")
+def ops_report(spark, d):
+    return incidents.report(inputs.health(spark, d).withColumnRenamed("status", "last_status"), inputs.incidents(spark, d))
+
+
+# Classification, feeds and pages
+
+
+@query("""WITH m AS (SELECT l_orderkey AS article_id, (l_linenumber * 1000000 + l_partkey) * 100000 + l_suppkey AS pos, 'part > ' || CAST(l_partkey % 50 AS VARCHAR) AS path_text, least(l_discount * 10 + 0.05, 1.0) AS confidence FROM lineitem WHERE l_partkey % 50 < 40 AND l_discount * 10 + 0.05 >= 0.5),
+o AS (SELECT article_id, path_text, min(pos) AS pos, arg_min(confidence, pos) AS confidence FROM m GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY article_id ORDER BY round_even(confidence, 4) DESC, pos) AS rank FROM o)
+SELECT article_id, rank, path_text, round_even(confidence, 4) AS confidence FROM r WHERE rank <= 3""")
+def valid_matches(spark, d):
+    li = inputs.table(spark, d, "lineitem")
+    raw = li.select(F.col("l_orderkey").alias("article_id"), ((F.col("l_linenumber") * 1_000_000 + F.col("l_partkey")) * 100_000 + F.col("l_suppkey")).alias("pos"), F.array(F.lit("part"), F.concat(F.lit(" "), (F.col("l_partkey") % 50).cast("string"))).alias("path"), (F.col("l_discount") * 10 + 0.05).alias("confidence"), F.lit(None).cast("string").alias("reason"))
+    taxonomy = spark.range(40).select(F.array(F.lit("part"), F.col("id").cast("string")).alias("path"))
+    return classify.valid_matches(raw, taxonomy).select("article_id", F.col("rank").cast("long").alias("rank"), "path_text", "confidence")
+
+
+@query("""WITH a AS (SELECT c_custkey AS id FROM customer WHERE c_custkey % 3 <> 0), r AS (SELECT o_custkey AS id, count(*) AS n FROM orders WHERE o_orderkey % 40 = 0 GROUP BY o_custkey)
+SELECT coalesce(a.id, r.id) AS article_id, CASE WHEN r.id IS NULL THEN 'missing' WHEN a.id IS NULL THEN 'unexpected' ELSE 'duplicate' END AS fault FROM a FULL JOIN r ON a.id = r.id WHERE r.id IS NULL OR a.id IS NULL OR r.n > 1""")
+def batch_faults(spark, d):
+    asked = inputs.table(spark, d, "customer").where("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("article_id"))
+    got = inputs.table(spark, d, "orders").where("o_orderkey % 40 = 0").select(F.col("o_custkey").alias("article_id"))
+    return classify.batch_faults(asked, got)
+
+
+@query("SELECT n_nationkey AS key, 'extra' AS side FROM (SELECT n_nationkey FROM nation EXCEPT SELECT r_regionkey FROM region)")
+def set_difference(spark, d):
+    n, r = inputs.table(spark, d, "nation").select(F.col("n_nationkey").alias("key")), inputs.table(spark, d, "region").select(F.col("r_regionkey").alias("key"))
+    return n.exceptAll(r).withColumn("side", F.lit("extra")).unionByName(r.exceptAll(n).withColumn("side", F.lit("missing")))
+
+
+@query(sql.ARTICLES + ", done AS (SELECT * FROM articles WHERE seq % 4 IN (0, 3) AND version = 'v1') SELECT seq FROM articles WHERE date = DATE '2024-01-15' AND seq NOT IN (SELECT seq FROM done)")
+def classify_candidates(spark, d):
+    rows = dated(spark, d)
+    return classify.candidates(rows, F.col("date") == F.lit("2024-01-15").cast("date"), "v1").select("seq")
+
+
+@query(sql.ARTICLES + """, p AS (SELECT seq, CASE WHEN seq % 2 = 0 THEN title ELSE '' END AS title, left(content, 200) AS content, CASE WHEN seq % 5 = 0 THEN 'full' ELSE 'unknown' END AS st, content_extraction AS ce FROM articles WHERE seq % 3 <> 0),
+f AS (SELECT seq, title AS ft, left(content, CAST(100 + seq % 4 * 50 AS INT)) AS fx, seq % 7 = 0 AS ff FROM articles WHERE seq % 2 = 1),
+j AS (SELECT p.*, f.ft, f.fx, coalesce(f.ff, false) AS ff, (coalesce(f.ff, false) OR st <> 'full') AND length(trim(coalesce(fx, ''), ' ' || chr(10))) > length(trim(content, ' ' || chr(10))) AS takes FROM p LEFT JOIN f USING (seq))
+SELECT seq, coalesce(nullif(title, ''), ft, '') AS title, CASE WHEN takes THEN fx ELSE content END AS content, CASE WHEN takes THEN CASE WHEN ff THEN 'rss_full_content' ELSE 'rss_excerpt' END ELSE ce END AS content_extraction FROM j""")
+def feed_pages(spark, d):
+    a = inputs.articles(spark, d)
+    s = F.col("seq")
+    pages = a.where(s % 3 != 0).select("seq", F.when(s % 2 == 0, F.col("title")).otherwise("").alias("title"), F.lit("2024-01-01").alias("published_at"), F.left("content", F.lit(200)).alias("content"), F.when(s % 5 == 0, "full").otherwise("unknown").alias("content_status"), "content_extraction")
+    feed = a.where(s % 2 == 1).select("seq", "title", "published_at", F.left("content", (100 + s % 4 * 50).cast("int")).alias("summary"), (s % 7 == 0).alias("content_is_full"))
+    return feeds.merge_pages(pages, feed, "seq").select("seq", "title", "content", "content_extraction")
+
+
+@query(r"""SELECT page_id, regexp_replace(regexp_replace(replace(replace(replace(replace(regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g'), '^ | $', '', 'g') AS title FROM pages""")
+def page_titles(spark, d):
+    return parsed_pages(inputs.table(spark, d, "pages").select("page_id", "html")).select("page_id", "title")
+
+
+@query("SELECT page_id, len(list_distinct(regexp_extract_all(html, '<a href=\"([^\"#]*)\"', 1))) AS links FROM pages")
+def page_links(spark, d):
+    p = inputs.table(spark, d, "pages").select("page_id", F.concat(F.lit("https://x.example/"), F.col("page_id").cast("string"), F.lit("/")).alias("url"), "html")
+    n = listing(p).groupBy("page_url").agg(F.count("*").alias("links"))
+    return p.select("page_id", "url").join(n, F.col("url") == F.col("page_url"), "left").select("page_id", F.coalesce("links", F.lit(0).cast("long")).alias("links"))
