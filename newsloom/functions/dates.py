@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,20 +36,37 @@ def published_date(text: Column, day_first: Column | None = None) -> Column:
 
     Times with an offset or a zone name are converted, others are local already. ``day_first`` reads d/m/yyyy.
     """
-    value = F.regexp_replace(F.regexp_replace(F.trim(F.coalesce(text, F.lit(""))), "[年月]", "-"), "[日秒]", " ")
-    value = F.trim(F.regexp_replace(F.regexp_replace(value, "[时分]", ":"), r"^(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun)[a-z]*,?\s+", ""))
-    offset = F.regexp_replace(F.regexp_replace(value, r"([+-]\d{2})(\d{2})$", "$1:$2"), r"(?<=\d)Z$", "+00:00")
-    for name, hours in ZONE_HOURS.items():
-        offset = F.regexp_replace(offset, rf"\s+{name}$", f" {hours}")
+    value = F.translate(F.trim(F.coalesce(text, F.lit(""))), "年月日秒时分", "--  ::")
+    value = F.trim(F.regexp_replace(value, r"^(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun)[a-z]*,?\s+", ""))
     to = lambda c, f: F.try_to_timestamp(c, F.lit(f))
+
+    def zoned(v: Column) -> Column:
+        out = F.regexp_replace(F.regexp_replace(v, r"([+-]\d{2})(\d{2})$", "$1:$2"), r"(?<=\d)Z$", "+00:00")
+        name = F.regexp_extract(out, r"\s([A-Z]{1,3})$", 1)
+        hours = F.element_at(F.create_map(*(F.lit(x) for kv in ZONE_HOURS.items() for x in kv)), name)
+        return F.when(hours.isNotNull(), F.concat(F.regexp_replace(out, r"\s+[A-Z]{1,3}$", " "), hours)).otherwise(out)
+
     # Instants are moved from the session's zone to the local one; local times are read as they stand.
-    moved = [F.to_date(F.convert_timezone(F.current_timezone(), F.lit(ZONE), to(offset, f).cast("timestamp_ntz"))) for f in WITH_OFFSET]
-    plain = [F.to_date(to(value, f)) for f in LOCAL]
-    out = F.coalesce(*moved, *plain)
-    if day_first is not None:
-        parts = [F.regexp_extract(value, r"^(\d{1,2})/(\d{1,2})/(20\d{2})\b", i) for i in (1, 2, 3)]
-        out = F.when(day_first & (parts[0] != ""), _date(parts[2], parts[1], parts[0])).otherwise(out)
-    return F.when(value == "", F.lit(None).cast("date")).otherwise(out)
+    def moved(v: Column) -> Column:
+        instant = F.coalesce(*(to(v, f) for f in WITH_OFFSET))
+        return F.to_date(F.convert_timezone(F.current_timezone(), F.lit(ZONE), instant.cast("timestamp_ntz")))
+
+    def read(v: Column) -> Column:
+        has_offset = v.rlike(r"(?:[+-]\d{2}:?\d{2}|Z|\s[A-Z]{1,3})$") & v.rlike(r"\d:\d")
+        return F.when(has_offset, once(zoned(v), moved)).otherwise(F.to_date(F.coalesce(*(to(v, f) for f in LOCAL))))
+
+    def dated(v: Column) -> Column:
+        if day_first is None:
+            return read(v)
+        parts = [F.regexp_extract(v, r"^(\d{1,2})/(\d{1,2})/(20\d{2})\b", i) for i in (1, 2, 3)]
+        return F.when(day_first & (parts[0] != ""), _date(parts[2], parts[1], parts[0])).otherwise(read(v))
+
+    return once(value, lambda v: F.when(v != "", dated(v)))
+
+
+def once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with the value computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def article_date(published_at: Column, url: Column) -> Column:

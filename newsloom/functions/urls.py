@@ -9,6 +9,7 @@ from urllib.parse import parse_qsl, urlencode, urljoin, urlsplit, urlunsplit
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Query keys that only track, suffixes of two labels, paths of articles, hosts that want a browser.
 TRACKING = ["fbclid", "gclid", "mc_cid", "mc_eid"]
@@ -40,7 +41,7 @@ def url_key(url: str | None) -> str:
     return urlunsplit(("https" if scheme in DEFAULT_PORTS else scheme, host, parts.path.rstrip("/") or "/", urlencode(sorted(kept)), ""))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def canonical_url(urls: pd.Series) -> pd.Series:
     """``url_key`` for any address, in Arrow batches; each distinct address once."""
     return urls.map({u: url_key(u) for u in urls.unique()})
