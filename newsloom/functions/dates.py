@@ -36,7 +36,7 @@ def published_date(text: Column, day_first: Column | None = None) -> Column:
 
     Times with an offset or a zone name are converted, others are local already. ``day_first`` reads d/m/yyyy.
     """
-    value = F.translate(F.trim(F.coalesce(text, F.lit(""))), "年月日秒时分", "--  ::")
+    value = F.regexp_replace(F.translate(F.trim(F.coalesce(text, F.lit(""))), "年月日秒时分", "--  ::"), r"\s+", " ")
     value = F.trim(F.regexp_replace(value, r"^(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun)[a-z]*,?\s+", ""))
     to = lambda c, f: F.try_to_timestamp(c, F.lit(f))
 

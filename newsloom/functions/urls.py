@@ -90,7 +90,7 @@ def is_article_path(path: Column) -> Column:
 
 def feed_url(note: Column) -> Column:
     """The feed address that a channel's note names; empty without one."""
-    return F.regexp_replace(F.regexp_extract(F.coalesce(note, F.lit("")), r"(?:RSS|rss)\s*[:：]\s*(https?://[^\s。：;,，]+)", 1), r"[。；;，,]+$", "")
+    return F.regexp_replace(F.regexp_extract(F.coalesce(note, F.lit("")), r"(?:RSS|rss)\s*[:：]\s*(https?://[^\s。；;,，]+)", 1), r"[。；;，,]+$", "")
 
 
 def wants_browser_agent(url: Column) -> Column:
