@@ -11,10 +11,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsloom.llm.columns import let
 from newsloom.llm.storage import written
 
 #: Edits between two repeats of a line, and characters from which on a line is compared at all.
 EDITS, MIN_CHARS = 2, 30
+#: Characters whose numbers are compared before two lines are: an edit changes two of the numbers by one at most.
+COUNTED = ["e", "a", "i", "n", "r", "s", "t", "o", "h", "l", "d", "cu", "mpg", "0123456789", " "]
 #: Lines up to which a set of line hashes goes out as a broadcast (16 bytes each); beyond it joins are by shuffle.
 BROADCAST_LINES = 500_000
 
@@ -75,7 +78,7 @@ def within(x: Column, y: Column, edits: int) -> Column:
                 states.append(old[f"r{d}"].bitwiseAND(same).bitwiseOR(before).bitwiseOR(F.shiftright(before, 1)))
             return pack(close(states))
 
-        return F.get(F.transform(F.array(equal), move), F.lit(0))
+        return let(equal, move)
 
     places = F.transform(y, lambda c, j: F.struct(c.alias("c"), j.alias("j")))
     begin = pack(close([F.lit(1 << edits)] + [F.lit(0)] * edits))
@@ -96,16 +99,25 @@ def _semi(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     return rows.join(F.broadcast(keys) if keys.count() <= BROADCAST_LINES else keys, on, "left_semi")
 
 
-def _near(pairs: DataFrame, docs: DataFrame, distinct: DataFrame, edits: int, min_chars: int) -> DataFrame:
+def _texts(ids: DataFrame, docs: DataFrame, min_chars: int, name: str) -> DataFrame:
+    """Distinct lines of some hashes with their first place, text and character counts."""
+    rows = _semi(_lines(docs, min_chars), ids, ["h1"]).groupBy("h1", "h2").agg(F.min("place").alias("first"), F.first("line").alias("line"))
+    counts = [(F.length("line") - F.length(F.translate("line", chars, ""))).alias(f"b{i}") for i, chars in enumerate(COUNTED)]
+    return written(rows.select("h1", "h2", "first", "line", *counts), name)
+
+
+def _alike(x: str, y: str, edits: int) -> Column:
+    """Whether the character counts of two lines leave it open that they are near."""
+    return sum((F.abs(F.col(f"{x}.b{i}") - F.col(f"{y}.b{i}")) for i in range(len(COUNTED))), F.lit(0)) <= 2 * edits
+
+
+def _near(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
     """Of pairs ``a, b`` of line hashes that are within the edits, the line whose first place is later: ``h1, h2``."""
-    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct(), "line-ids")
-    texts = _semi(_lines(docs, min_chars), ids, ["h1"]).groupBy("h1", "h2").agg(F.min("place").alias("first"), F.first("line").alias("line"))
-    texts = written(texts, "line-texts")
-    left = texts.select(F.col("h1").alias("a"), F.col("h2").alias("a2"), F.col("first").alias("fa"), F.col("line").alias("x"))
-    right = texts.select(F.col("h1").alias("b"), F.col("h2").alias("b2"), F.col("first").alias("fb"), F.col("line").alias("y"))
-    met = pairs.join(left, "a").join(right, "b").where(within(F.split("x", ""), F.split("y", ""), edits))
-    later = F.when(F.col("fa") > F.col("fb"), F.struct(F.col("a").alias("h1"), F.col("a2").alias("h2"))).otherwise(F.struct(F.col("b").alias("h1"), F.col("b2").alias("h2")))
-    return met.select(later.alias("l")).select("l.h1", "l.h2").distinct()
+    met = pairs.join(texts.alias("x"), F.col("a") == F.col("x.h1")).join(texts.alias("y"), F.col("b") == F.col("y.h1")).where(_alike("x", "y", edits))
+    met = written(met.select(*(F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "xy" for c in ("h1", "h2", "first", "line"))), "line-candidates")
+    close = let(F.split("x_line", ""), lambda x: let(F.split("y_line", ""), lambda y: within(x, y, edits)))
+    later = F.when(F.col("x_first") > F.col("y_first"), F.struct(F.col("x_h1").alias("h1"), F.col("x_h2").alias("h2"))).otherwise(F.struct(F.col("y_h1").alias("h1"), F.col("y_h2").alias("h2")))
+    return met.where(close).select(later.alias("l")).select("l.h1", "l.h2").distinct()
 
 
 def repeated_lines(docs: DataFrame, *, edits: int = EDITS, min_chars: int = MIN_CHARS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -129,17 +141,20 @@ def repeated_lines(docs: DataFrame, *, edits: int = EDITS, min_chars: int = MIN_
     met = written(met.select("key", "h1", "hub", (F.col("hub") != F.col("top")).alias("multi")).distinct(), "line-hubs")
 
     stars = written(met.where("h1 <> hub").select(F.least("h1", "hub").alias("a"), F.greatest("h1", "hub").alias("b")).distinct(), "line-stars")
-    near = written(_near(stars, docs, distinct, edits, min_chars), "near-lines")
-    # Entries of several indexed lines: the others meet too, unless the later line of a pair is known as a repeat.
+    ids = written(stars.select(F.explode(F.array("a", "b")).alias("h1")).distinct(), "line-ids")
+    near = written(_near(stars, _texts(ids, docs, min_chars, "star-texts"), edits), "near-lines")
+    # Entries of several indexed lines: the others meet too, where counts leave it open and the later line of the two is
+    # not known as a repeat yet.
     many = met.where("multi").select("key", "h1", "hub")
-    others = index.join(many.select("key", "hub").distinct(), "key").where("h1 <> hub").select("key", F.col("h1").alias("x"))
-    others = many.select("key", "h1").join(others, "key").where("h1 <> x").select(F.least("h1", "x").alias("a"), F.greatest("h1", "x").alias("b")).distinct()
+    texts = _texts(many.select("h1").distinct(), docs, min_chars, "entry-texts")
+    state = texts.drop("line").join(near.withColumn("known", F.lit(True)), ["h1", "h2"], "left").withColumn("known", F.coalesce("known", F.lit(False)))
+    state = written(state, "line-state")
+    indexed = index.join(many.select("key", "hub").distinct(), "key").where("h1 <> hub").select("key", "h1")
+    x, y = many.select("key", "h1").join(state, "h1").alias("x"), indexed.join(state, "h1").alias("y")
+    unknown = F.expr("x.key = y.key AND x.h1 <> y.h1 AND NOT (CASE WHEN x.first > y.first THEN x.known ELSE y.known END)")
+    others = x.join(y, unknown & _alike("x", "y", edits)).select(F.least("x.h1", "y.h1").alias("a"), F.greatest("x.h1", "y.h1").alias("b")).distinct()
     others = written(others.join(stars, ["a", "b"], "left_anti"), "line-pairs")
-    ids = others.select(F.explode(F.array("a", "b")).alias("h1")).distinct()
-    state = written(_semi(distinct.select("h1", "h2", "first"), ids, ["h1"]).join(near.withColumn("known", F.lit(True)), ["h1", "h2"], "left").groupBy("h1").agg(F.min("first").alias("first"), F.bool_and(F.coalesce("known", F.lit(False))).alias("known")), "line-state")
-    a, b = (state.select(F.col("h1").alias(x), F.col("first").alias(f"f{x}"), F.col("known").alias(f"k{x}")) for x in "ab")
-    others = others.join(a, "a").join(b, "b").where("NOT (CASE WHEN fa > fb THEN ka ELSE kb END)").select("a", "b")
-    near = written(near.unionByName(_near(others, docs, distinct, edits, min_chars)).distinct(), "near-lines")
+    near = written(near.unionByName(_near(others, texts, edits)).distinct(), "near-lines")
 
     flagged = distinct.select("h1", "h2", "first", "c").join(near.withColumn("near", F.lit(True)), ["h1", "h2"], "left").where("c > 1 OR near").drop("c")
     gone = lines.select("h1", "h2", "place").join(flagged, ["h1", "h2"]).where("near OR place <> first").select("place.*")
