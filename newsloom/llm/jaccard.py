@@ -17,9 +17,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsloom.llm.columns import let
 from newsloom.llm.components import connected_components
 from newsloom.llm.quality import mix
 from newsloom.llm.shingles import Shingler
@@ -29,8 +30,12 @@ from newsloom.llm.words import chunks, expand
 #: Tokens in more documents than FREQUENT are of the frequent class, of which the FREQUENT_TOKENS most frequent ones at
 #: most are told apart (8 bytes each, broadcast); any other token counts as rare, which changes costs, never results.
 FREQUENT, FREQUENT_TOKENS, COUNTED = 64, 1 << 20, 1 << 18
-#: Index entries that one task takes, pairs of one document that one task verifies, words of a parity sketch.
-BUCKET_ENTRIES, PAIRS_A_TASK, SKETCH = 500_000, 256, 8
+#: Index entries that one task takes, pairs of one document that one task verifies, bits of a parity sketch per token.
+BUCKET_ENTRIES, PAIRS_A_TASK, SKETCH_BITS = 500_000, 256, 4
+#: Characters of text that a task cuts into shingles at a time; its arrays take some fifty bytes for each.
+CHUNK = 400_000
+#: 64-bit words of a sketch that members of an index entry carry with them.
+BRIEF = 16
 #: Ids up to which a set of documents goes out as a broadcast (8 bytes each); beyond it joins are by shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -119,14 +124,18 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 def profiles(docs: DataFrame, width: int) -> DataFrame:
     """One pass over all texts. Rows with ``doc``: set size, two hashes of the set and a parity sketch; rows without:
-    a token and how often this task saw it, at least twice."""
-    names = ["doc", "n", "k1", "k2", *(f"s{i}" for i in range(SKETCH))]
+    a token and how often this task saw it, at least twice.
+
+    A sketch is as long as its set asks for, rounded up to a power of two, so its halves laid over each other are the
+    sketch of half the length.
+    """
+    names = ["doc", "n", "k1", "k2", "sketch"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, counter = _shingler(width), HeavyCounter()
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in chunks(texts):
+            for a, b in chunks(texts, CHUNK):
                 tokens, sizes = shingler.sets(texts[a:b])
                 counter.add(tokens)
                 sums = np.zeros((2, len(tokens) + 1), np.uint64)
@@ -134,17 +143,18 @@ def profiles(docs: DataFrame, width: int) -> DataFrame:
                 np.cumsum(mix(mix(tokens) + np.uint64(77)), out=sums[1, 1:])
                 ends = np.cumsum(sizes)
                 keys = [s[ends] - s[ends - sizes] for s in sums]
-                bit = (tokens >> np.uint64(9)) % np.uint64(64 * SKETCH)
-                doc = np.repeat(np.arange(b - a), sizes)
-                odd = (np.bincount(doc * 64 * SKETCH + bit.astype(np.int64), minlength=(b - a) * 64 * SKETCH) & 1).astype(np.uint8)
-                sketch = np.packbits(odd.reshape(b - a, -1), axis=1).view(np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(sizes), *map(_signed, keys), *(pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(SKETCH))], names=names)
+                longs = 1 << np.ceil(np.log2(np.maximum(sizes * SKETCH_BITS / 64, 1))).astype(np.int64)
+                begin = np.cumsum(longs) - longs
+                bit = (tokens >> np.uint64(9)).astype(np.int64) & np.repeat(64 * longs - 1, sizes)
+                odd = (np.bincount(bit + np.repeat(64 * begin, sizes), minlength=64 * int(longs.sum())) & 1).astype(np.uint8)
+                sketch = pa.ListArray.from_arrays(pa.array(np.r_[begin, longs.sum()], pa.int32()), pa.array(np.packbits(odd).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(sizes), *map(_signed, keys), sketch], names=names)
         often = counter.counts > 1
         k = int(often.sum())
         none = pa.nulls(k, pa.int64())
-        yield pa.RecordBatch.from_arrays([none, pa.array(counter.counts[often]), _signed(counter.keys[often]), *[none] * (SKETCH + 1)], names=names)
+        yield pa.RecordBatch.from_arrays([none, pa.array(counter.counts[often]), _signed(counter.keys[often]), none, pa.nulls(k, pa.list_(pa.int64()))], names=names)
 
-    return docs.mapInArrow(run, ", ".join(f"{x} long" for x in names))
+    return docs.mapInArrow(run, "doc long, n long, k1 long, k2 long, sketch array<long>")
 
 
 def _narrow(docs: DataFrame, ids: DataFrame, how: str, id_: str = "doc") -> DataFrame:
@@ -160,7 +170,7 @@ def entries(docs: DataFrame, frequent, width: int, num: int, den: int, buckets:
         shingler = _shingler(width)
         for batch in batches:
             texts, ids = [t or "" for t in batch.column(1).to_pylist()], batch.column(0).to_numpy(zero_copy_only=False)
-            for a, b in chunks(texts):
+            for a, b in chunks(texts, CHUNK):
                 tokens, doc = single_entries(*shingler.sets(texts[a:b]), frequent.value, num, den)
                 bucket = (mix(tokens) % np.uint64(buckets)).astype(np.int64)
                 by = np.argsort(bucket, kind="stable")
@@ -172,7 +182,10 @@ def entries(docs: DataFrame, frequent, width: int, num: int, den: int, buckets:
 
 
 def shared_entries(group: pa.Table) -> pa.Table:
-    """Entries of a bucket that several documents share: ``sig, doc, hub``, the hub being the smallest of them."""
+    """Entries of a bucket that several documents share: ``sig, doc, hub``, the hub being the smallest of them.
+
+    Entries of the same documents are one: ``sig`` is a hash of the documents, not of what they share.
+    """
     raw = b"".join(group.column("packed").to_pylist())
     packed = np.frombuffer(raw, np.uint64).reshape(-1, 2)
     sig, doc = packed[:, 0], packed[:, 1].view(np.int64)
@@ -184,8 +197,11 @@ def shared_entries(group: pa.Table) -> pa.Table:
     start = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]]) if len(sig) else np.zeros(0, np.int64)
     sizes = np.diff(np.r_[start, len(sig)])
     hub = np.repeat(doc[start], sizes)
-    many = np.repeat(sizes > 1, sizes)
-    return pa.table({"sig": sig[many].view(np.int64), "doc": doc[many], "hub": hub[many]})
+    group = mix(np.add.reduceat(mix(doc.view(np.uint64) + np.uint64(11)), start) + sizes.astype(np.uint64)) if len(sig) else sig
+    once = np.zeros(len(start), bool)
+    once[np.unique(group, return_index=True)[1]] = True
+    take = np.repeat((sizes > 1) & once, sizes)
+    return pa.table({"sig": np.repeat(group, sizes)[take].view(np.int64), "doc": doc[take], "hub": hub[take]})
 
 
 def combinations(docs: DataFrame, frequent, width: int, num: int, den: int) -> DataFrame:
@@ -195,7 +211,7 @@ def combinations(docs: DataFrame, frequent, width: int, num: int, den: int) -> D
         shingler = _shingler(width)
         for batch in batches:
             texts, ids = [t or "" for t in batch.column(1).to_pylist()], batch.column(0).to_numpy(zero_copy_only=False)
-            for a, b in chunks(texts):
+            for a, b in chunks(texts, CHUNK):
                 sig, doc = pair_entries(*shingler.sets(texts[a:b]), frequent.value, num, den)
                 yield pa.RecordBatch.from_arrays([_signed(sig), pa.array(ids[a:b][doc].astype(np.int64))], names=["sig", "doc"])
 
@@ -203,13 +219,36 @@ def combinations(docs: DataFrame, frequent, width: int, num: int, den: int) -> D
 
 
 def plausible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs ``a, b`` that sizes and sketches leave open. A sketch bit is the parity of the tokens that fall on it, so
-    as many bits differ as tokens do at most."""
-    left = sets.select(F.col("doc").alias("a"), F.col("n").alias("na"), *(F.col(f"s{i}").alias(f"l{i}") for i in range(SKETCH)))
-    right = sets.select(F.col("doc").alias("b"), F.col("n").alias("nb"), *(F.col(f"s{i}").alias(f"r{i}") for i in range(SKETCH)))
-    sizes = (F.least("na", "nb") * den >= F.greatest("na", "nb") * num) & (F.col("na") > 0)
-    differ = sum((F.bit_count(F.col(f"l{i}").bitwiseXOR(F.col(f"r{i}"))) for i in range(SKETCH)), F.lit(0))
-    return pairs.join(left, "a").join(right, "b").where(sizes).where(differ * (den + num) <= (F.col("na") + F.col("nb")) * (den - num)).select("a", "b").distinct()
+    """Pairs ``a, b`` that sizes leave open, and then sketches of what is left. A sketch bit is the parity of the tokens
+    that fall on it, so as many bits differ as tokens do at most."""
+    na, nb = (sets.select(F.col("doc").alias(x), F.col("n").alias(f"n{x}")) for x in "ab")
+    fit = F.least("na", "nb") * den >= F.greatest("na", "nb") * num
+    pairs = written(pairs.join(na, "a").join(nb, "b").where(fit).select("a", "b", (F.col("na") + F.col("nb")).alias("n_both")).distinct(), "fitting-pairs")
+    sets = _narrow(sets, pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), "left_semi")
+    left, right = (sets.select(F.col("doc").alias(x), F.col("sketch").alias(f"s{x}")) for x in "ab")
+    near = _differ(F.col("sa"), F.col("sb")) * (den + num) <= F.col("n_both") * (den - num)
+    return pairs.join(left, "a").join(right, "b").where(near).select("a", "b").distinct()
+
+
+def _differ(a: Column, b: Column) -> Column:
+    """Bits in which two sketches differ at the length of the shorter one."""
+
+    def at(size: Column) -> Column:
+        return F.aggregate(F.zip_with(_folded(a, size), _folded(b, size), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x)
+
+    return let(F.least(F.size(a), F.size(b)), at)
+
+
+def _folded(sketch: Column, size: Column) -> Column:
+    """A sketch at a length that it has or has twice; sets of similar sizes differ by no more."""
+    return F.when(F.size(sketch) == size, sketch).otherwise(F.zip_with(F.slice(sketch, F.lit(1), size), F.slice(sketch, size + 1, size), lambda x, y: x.bitwiseXOR(y)))
+
+
+def _brief(sketch: Column) -> Column:
+    """A sketch cut down to BRIEF words by laying its parts over each other; a shorter one as it is."""
+    zero = F.array_repeat(F.lit(0).cast("long"), F.lit(BRIEF))
+    laid = F.aggregate(F.sequence(F.lit(0), (F.size(sketch) / BRIEF).cast("int") - 1), zero, lambda a, j: F.zip_with(a, F.slice(sketch, j * BRIEF + 1, F.lit(BRIEF)), lambda x, y: x.bitwiseXOR(y)))
+    return F.when(F.size(sketch) > BRIEF, laid).otherwise(sketch)
 
 
 def verified(pairs: DataFrame, docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
@@ -229,7 +268,7 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, num: int, den: int)
             a = int(one["a"].iloc[0])
             hubs = [shingler.sets([t or ""])[0] for t in one["text"]]
             texts = [t or "" for t in others["other"]]
-            for i, j in chunks(texts):
+            for i, j in chunks(texts, CHUNK):
                 tokens, sizes = shingler.sets(texts[i:j])
                 for hub in hubs:
                     both = np.bincount(np.repeat(np.arange(j - i), sizes), is_in(tokens, hub), j - i)
@@ -240,19 +279,23 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, num: int, den: int)
     return left.groupBy("a", "part").cogroup(right.groupBy("hub", "deal")).applyInPandas(compare, "a long, b long").distinct()
 
 
-def open_pairs(members: DataFrame, links: DataFrame) -> DataFrame:
+def open_pairs(members: DataFrame, links: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs of an index entry's members that links have not joined yet: ``a, b`` with a < b.
 
     Members of the component that most of an entry's members are in do not meet each other; every other member meets
-    all of other components.
+    those of other components whose size and brief sketch leave it open that the two are similar.
     """
     roots = connected_components(links).withColumnRenamed("node", "doc")
     placed = members.join(roots, "doc", "left").select("sig", "doc", F.coalesce("component", "doc").alias("root"))
     counts = placed.groupBy("sig", "root").agg(F.count("*").alias("n"))
     main = counts.groupBy("sig").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("k")).where("k > 1").select("sig", "main")
-    placed = written(placed.join(main, "sig"), "open-entries")
+    placed = placed.join(main, "sig")
+    brief = _narrow(sets.select("doc", "n", _brief(F.col("sketch")).alias("s")), placed.select("doc").distinct(), "left_semi")
+    placed = written(placed.join(brief, "doc"), "open-entries")
     x, y = placed.where("root <> main").alias("x"), placed.alias("y")
-    meet = x.join(y, F.expr("x.sig = y.sig AND x.root <> y.root AND (y.root = y.main OR x.doc < y.doc)"))
+    fit = F.least("x.n", "y.n") * den >= F.greatest("x.n", "y.n") * num
+    near = _differ(F.col("x.s"), F.col("y.s")) * (den + num) <= (F.col("x.n") + F.col("y.n")) * (den - num)
+    meet = x.join(y, F.expr("x.sig = y.sig AND x.root <> y.root AND (y.root = y.main OR x.doc < y.doc)") & fit & near)
     return meet.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct()
 
 
@@ -287,15 +330,15 @@ def similar_groups(docs: DataFrame, *, width: int = 5, num: int = 3, den: int =
     rare = entries(kept, frequent, width, num, den, buckets).groupBy("bucket").applyInArrow(shared_entries, "sig long, doc long, hub long")
     if len(often):
         pairs = written(combinations(kept, frequent, width, num, den), "combinations")
-        hubs = pairs.groupBy("sig").agg(F.min("doc").alias("hub"), F.max("doc").alias("top")).where("hub < top").select("sig", "hub")
-        rare = rare.unionByName(pairs.join(hubs, "sig").select("sig", "doc", "hub"))
-    members = written(rare, "entries")
+        hubs = pairs.distinct().groupBy("sig").agg(F.min("doc").alias("hub"), F.max("doc").alias("top"), F.xxhash64(F.bit_xor(F.xxhash64("doc")), F.count("*")).alias("group")).where("hub < top")
+        rare = rare.unionByName(pairs.join(hubs, "sig").select(F.col("group").alias("sig"), "doc", "hub"))
+    members = written(rare.distinct(), "entries")
 
     known_sets = sets.join(F.broadcast(copies.select("doc").distinct()) if copies.count() <= BROADCAST_IDS else copies.select("doc").distinct(), "doc", "left_anti")
     known_sets = known_sets.where("n > 0")
     stars = written(plausible(members.where("doc <> hub").select(F.col("hub").alias("a"), F.col("doc").alias("b")).distinct(), known_sets, num, den), "stars")
     links = written(verified(stars, kept, width, num, den), "links")
-    rest = open_pairs(members, links)
+    rest = open_pairs(members, links, known_sets, num, den)
     rest = written(plausible(rest, known_sets, num, den).join(stars, ["a", "b"], "left_anti"), "open-pairs")
     links = written(links.unionByName(verified(rest, kept, width, num, den)).where("a <> b"), "links")
 
@@ -308,3 +351,11 @@ def similar_groups(docs: DataFrame, *, width: int = 5, num: int = 3, den: int =
     lost = profiles(docs.where("doc IS NULL").select(F.lit(0).cast("long").alias("doc"), "text"), width).where("doc IS NOT NULL")
     null = F.lit(None).cast(kind)
     return out.unionByName(lost.select(null.alias("doc_id"), F.col("n").alias("n_shingles"), null.alias("component_id"), F.lit(0).cast("long").alias("n_links")))
+
+
+def keep_first(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """Rows of the document with the smallest id of each group, with all their columns; rows without an id stay."""
+    groups = similar_groups(docs, doc_id=doc_id, text=text, **options)
+    gone = written(groups.where("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct(), "near-copies")
+    few = gone.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(gone) if few else gone, F.col(doc_id) == F.col("_gone"), "left_anti").select(*docs.columns)
