@@ -25,6 +25,8 @@ from newsloom.llm.words import WordTable, chunks
 
 #: Rows and columns of the embedding, lengths of character n-grams, and passes over the sample.
 BUCKETS, DIM, GRAMS, EPOCHS, RATE, BATCH = 1 << 18, 8, (3, 4), 6, 0.5, 32
+#: Gradient steps that a small sample gets at least.
+LEAST_STEPS = 400
 #: What a word pair hashes to if it is one word twice, whatever the word.
 TWICE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -131,9 +133,14 @@ def train(texts: list[str], labels: np.ndarray, totals: dict[int, int], *, seed:
         features.append((ids, (counts / max(1, counts.sum())).astype(np.float32)))
     learn = np.flatnonzero((np.arange(len(texts)) % 5 != 0))
     if len(texts) and labels.min() != labels.max():
-        steps = EPOCHS * -(-len(learn) // BATCH)
+        sides = [learn[labels[learn] == k] for k in (0, 1)]
+        few = min(sides, key=len)
+        more = max(map(len, sides)) - len(few)  # of a rare label rows are taken again, so that both weigh the same
+        learn = np.concatenate([learn, np.resize(few, more)]) if len(few) else learn
+        epochs = max(EPOCHS, -(-LEAST_STEPS * BATCH // len(learn)))
+        steps = epochs * -(-len(learn) // BATCH)
         done = 0
-        for _ in range(EPOCHS):
+        for _ in range(epochs):
             for batch in np.array_split(rng.permutation(learn), -(-len(learn) // BATCH)):
                 rate = RATE * (1 - done / steps)
                 done += 1
@@ -186,6 +193,24 @@ def score(docs: DataFrame, model: QualityModel, *, doc_id: str = "doc_id", text:
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, f"doc_id {kind}, score double")
 
 
+def keep(docs: DataFrame, model: QualityModel, least: float, *, text: str = "text") -> DataFrame:
+    """Rows whose score is ``least`` or more, with all their columns; a null text is scored as empty."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    name, at = uuid.uuid4().hex, docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if name not in _workers:
+            _workers.clear()
+            _workers[name] = (shared.value, shared.value.table())
+        own, table = _workers[name]
+        for batch in batches:
+            texts = [t or "" for t in batch.column(at).to_pylist()]
+            good = [own.scores(table, texts[a:b]) >= least for a, b in chunks(texts)]
+            yield batch.filter(pa.array(np.concatenate(good))) if good else batch
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def fit(docs: DataFrame, labels: DataFrame, *, parts: int = 4, held: int = 2, per_class: int = labelled.PER_CLASS) -> QualityModel:
     """Trains on a sample of the rows whose fold is not held out, ``per_class`` rows of each label at most."""
     rows, totals = labelled.sample(docs, labels, "quality", parts, held, per_class=per_class)
