@@ -6,7 +6,6 @@ import base64
 import hashlib
 import hmac
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
 from urllib.parse import quote_plus
 
 import pandas as pd
@@ -19,28 +18,6 @@ from newsloom.functions.text import is_challenge_page, present
 RETRIES, RETRY_ON = 3, {429, 500, 502, 503, 504}
 
 
-@dataclass(frozen=True)
-class Channel:
-    """How a channel is read: extra listings, the path of its articles, how many more links to look at than wanted."""
-
-    listings: tuple[str, ...] = ()
-    path: str = ""
-    host: str = ""
-    over_fetch: int = 1
-
-
-#: Channels with rules of their own, by lower-case name; any other is read by the general rules.
-REGISTRY = {
-    "battery tech online": Channel(host="batterytechonline.com", path=r"^/[a-z0-9-]+/[a-z0-9-]+$", over_fetch=4),
-    "renewables now": Channel(path=r"^/news/[a-z0-9-]+-\d+/?$", over_fetch=2),
-    "testpv": Channel(path=r"mod=view.*aid=\d+|aid=\d+.*mod=view", over_fetch=2),
-}
-
-
-def channel(name: str) -> Channel:
-    return REGISTRY.get(name.strip().lower(), Channel())
-
-
 def fetch(urls: DataFrame, get: Callable[[str], tuple[int, str, str]], allowed: Callable[[str], bool] = lambda _: True) -> DataFrame:
     """Pages of addresses by an injected request (status, content type, body): ``url, html, error``.
 
