@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Elements without content, elements that are no part of a body, elements that hold its text, meta tags of dates.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 NOISE = {"script", "style", "noscript", "nav", "footer", "header", "aside", "form", "iframe", "svg", "button", "template"}
 BLOCKS = {"p", "li", "h2", "h3", "h4", "blockquote", "pre", "td", "th", "figcaption"}
