@@ -204,6 +204,13 @@ def shared_entries(group: pa.Table) -> pa.Table:
     return pa.table({"sig": np.repeat(group, sizes)[take].view(np.int64), "doc": doc[take], "hub": hub[take]})
 
 
+def frequent_entries(group: pa.Table) -> pa.Table:
+    """Tokens of a bucket that are entries of more than FREQUENT documents: ``k1, df``."""
+    token, counts = np.unique(np.frombuffer(b"".join(group.column("packed").to_pylist()), np.uint64).reshape(-1, 2)[:, 0], return_counts=True)
+    many = counts > FREQUENT
+    return pa.table({"k1": token[many].view(np.int64), "df": counts[many].astype(np.int64)})
+
+
 def combinations(docs: DataFrame, frequent, width: int, num: int, den: int) -> DataFrame:
     """Index entries of frequent token pairs: ``sig, doc``."""
 
@@ -327,6 +334,11 @@ def similar_groups(docs: DataFrame, *, width: int = 5, num: int = 3, den: int =
 
     total = sets.agg(F.sum(F.col("n") - F.ceil(F.col("n") * num / den) + 1)).first()[0] or 0
     buckets = max(8, -(-int(total) // BUCKET_ENTRIES))
+    # What the bounded counts above have missed shows in the entries themselves.
+    more = entries(kept, frequent, width, num, den, buckets).groupBy("bucket").applyInArrow(frequent_entries, "k1 long, df long")
+    more = more.orderBy(F.desc("df"), "k1").limit(FREQUENT_TOKENS).select("k1").toPandas()
+    often = np.union1d(frequent.value, more["k1"].to_numpy(np.int64).view(np.uint64))
+    frequent = spark.sparkContext.broadcast(often)
     rare = entries(kept, frequent, width, num, den, buckets).groupBy("bucket").applyInArrow(shared_entries, "sig long, doc long, hub long")
     if len(often):
         pairs = written(combinations(kept, frequent, width, num, den), "combinations")
