@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm import labelled
-from newsloom.llm.words import WordTable, chunks
+from newsloom.llm.words import WordTable, chunks, expand
 
 #: Rows and columns of the embedding, lengths of character n-grams, and passes over the sample.
 BUCKETS, DIM, GRAMS, EPOCHS, RATE, BATCH = 1 << 18, 8, (3, 4), 6, 0.5, 32
@@ -116,21 +116,16 @@ def train(texts: list[str], labels: np.ndarray, totals: dict[int, int], *, seed:
     out, bias = np.zeros((DIM, 2), np.float32), np.zeros(2, np.float32)
     labels = np.asarray(labels, np.int64)
     features = []
-    memory: dict[str, tuple] = {}
-    for text in texts:
-        words = text.split()
-        new = list(set(words).difference(memory))
-        if new:
-            own, rows, counts = word_features(new)
-            ends = np.cumsum(counts)
-            memory.update((w, (own[i], rows[ends[i] - counts[i] : ends[i]])) for i, w in enumerate(new))
-        if words:
-            hashes = np.array([memory[w][0] for w in words], np.uint64)
-            rows = np.concatenate([*(memory[w][1] for w in words), pair_rows(hashes)])
-        else:
-            rows = np.zeros(0, np.int64)
-        ids, counts = np.unique(rows, return_counts=True)
-        features.append((ids, (counts / max(1, counts.sum())).astype(np.float32)))
+    lists = [t.split() for t in texts]
+    index = {w: i for i, w in enumerate(dict.fromkeys(w for words in lists for w in words))}
+    own, flat, counts = word_features(list(index)) if index else (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+    starts = np.cumsum(counts) - counts
+    for words in lists:
+        codes = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
+        rows = np.r_[flat[expand(starts[codes], counts[codes])], pair_rows(own[codes])]
+        ids, number = np.unique(rows, return_counts=True)
+        features.append((ids.astype(np.int32), (number / max(1, number.sum())).astype(np.float32)))
+    del lists, index, flat
     learn = np.flatnonzero((np.arange(len(texts)) % 5 != 0))
     if len(texts) and labels.min() != labels.max():
         sides = [learn[labels[learn] == k] for k in (0, 1)]
