@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsloom.functions.text import content_rank, present, strip, title_key
+from newsloom.functions.dates import published_date, url_date
+from newsloom.functions.text import assess, content_rank, present, strip, title_key
 
 #: Columns of an article, and those of its classification.
 FIELDS = [
@@ -22,6 +23,24 @@ def normalise(rows: DataFrame) -> DataFrame:
     return rows.select(*(F.col(c) if have.get(c, "string") != "string" else present(c).alias(c) if c in have else F.lit("").alias(c) for c in FIELDS))
 
 
+def fill_published(rows: DataFrame) -> DataFrame:
+    """A blank publication time as the date in the address."""
+    return rows.withColumn("published_at", F.coalesce(F.nullif(present("published_at"), F.lit("")), url_date(F.col("url")).cast("string"), F.lit("")))
+
+
+def normalise_published(rows: DataFrame) -> DataFrame:
+    """Publication times as local dates; else the date in the address; else as they are."""
+    day = F.coalesce(published_date(F.col("published_at")), url_date(F.col("url")))
+    return rows.withColumn("published_at", F.coalesce(day.cast("string"), present("published_at")))
+
+
+def assessed(rows: DataFrame, default_method: str = "dom_or_structured_full_text") -> DataFrame:
+    """Rows with their completeness; a blank extraction method is the default one."""
+    method = F.coalesce(F.nullif(present("content_extraction"), F.lit("")), F.lit(default_method))
+    verdict = assess(F.col("content"), method)
+    return rows.withColumn("content_status", verdict["status"]).withColumn("content_issue", verdict["issue"]).withColumn("content_extraction", method)
+
+
 def tier(status: Column) -> Column:
     """Full texts (2) come before incomplete and unknown ones (1), these before missing ones (0)."""
     rank = content_rank(status)

@@ -309,6 +309,18 @@ def denormalised(spark, d):
     return s.join(n, F.col("s_nationkey") == F.col("n_nationkey"), "left").join(r, F.col("n_regionkey") == F.col("r_regionkey"), "left").select("s_suppkey", "s_name", "n_name", "r_name")
 
 
+@query(sql.ARTICLES + """SELECT seq, CASE WHEN seq % 4 = 1 THEN CASE WHEN seq % 3 = 0 THEN CAST(day AS VARCHAR) ELSE '' END WHEN seq % 4 = 2 THEN CAST(day AS VARCHAR) || 'T23:30:00+00:00' ELSE CAST(day AS VARCHAR) END AS filled, coalesce(CAST(date AS VARCHAR), '') AS normalised FROM articles""")
+def published_at(spark, d):
+    a = inputs.articles(spark, d).select("seq", "url", "published_at")
+    filled = A.fill_published(a).select("seq", F.col("published_at").alias("filled"))
+    return filled.join(A.normalise_published(a).select("seq", F.col("published_at").alias("normalised")), "seq")
+
+
+@query(sql.ARTICLES + """SELECT seq, CASE content_extraction WHEN 'rss_excerpt' THEN 'incomplete' WHEN 'public_preview' THEN 'incomplete' ELSE 'full' END AS content_status, CASE WHEN content_extraction = '' THEN 'dom_or_structured_full_text' ELSE content_extraction END AS content_extraction FROM articles""")
+def assessed_articles(spark, d):
+    return A.assessed(inputs.articles(spark, d)).select("seq", "content_status", "content_extraction")
+
+
 # Roll-ups
 
 

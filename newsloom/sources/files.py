@@ -84,6 +84,13 @@ def write_partitioned(rows: DataFrame, path: str, day: str) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
 
 
+def export_day(rows: DataFrame, folder: str, day: dt.date, columns: list[str], date: Column) -> str:
+    """The CSV export of one publication day; its folder is there even if the day has no rows."""
+    path = f"{folder}/articles-{day}.csv"
+    write_csv(rows.where(date == F.lit(day)), path, columns)
+    return path
+
+
 def write_version(rows: DataFrame, folder: str, version: str) -> str:
     """A state table as a new version beside the old ones; readers take the last that is complete."""
     path = f"{folder}/version={version}"

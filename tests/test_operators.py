@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from newsloom.operators import articles as A
@@ -129,6 +130,16 @@ def test_files(spark, tmp_path):
     assert files.latest_version(spark, str(tmp_path / "state")).endswith("version=0001") and spark.read.parquet(state).count() == 3
 
 
+def test_export_and_download(spark, tmp_path):
+    rows = spark.createDataFrame([("t", D(2024, 1, 1), ["x"]), ("u", D(2024, 1, 2), None)], "title string, day date, tags array<string>")
+    path = files.export_day(rows, str(tmp_path), D(2024, 1, 1), ["title", "tags"], F.col("day"))
+    assert [(r["title"], r["tags"]) for r in spark.read.option("header", True).option("escape", '"').csv(path).collect()] == [("t", '["x"]')]
+    book = files.write_workbook({"a": (["h"], [[i] for i in range(300)])})
+    assert edges.download_workbook(lambda: "token", lambda t: book) == book
+    with pytest.raises(ValueError):
+        edges.download_workbook(lambda: "token", lambda t: b"<html>")
+
+
 def test_streaming_upsert_is_idempotent(spark, tmp_path):
     from newsloom.streaming.ingest import ingest
 
