@@ -76,7 +76,7 @@ def write_articles(rows: DataFrame, path: str) -> None:
 def write_csv(rows: DataFrame, path: str, columns: list[str]) -> None:
     """CSV of fixed columns; nested values as JSON, others ignored."""
     nested = {f.name for f in rows.schema if isinstance(f.dataType, T.ArrayType | T.StructType | T.MapType)}
-    rows.select(*(F.to_json(c).alias(c) if c in nested else F.col(c) for c in columns)).write.mode("overwrite").option("header", True).option("quoteAll", True).csv(path)
+    rows.select(*(F.to_json(c).alias(c) if c in nested else F.col(c) for c in columns)).write.mode("overwrite").option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
 
 
 def write_partitioned(rows: DataFrame, path: str, day: str) -> None:
