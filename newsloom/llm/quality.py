@@ -25,6 +25,8 @@ from newsloom.llm.words import WordTable, chunks, expand
 
 #: Rows and columns of the embedding, lengths of character n-grams, and passes over the sample.
 BUCKETS, DIM, GRAMS, EPOCHS, RATE, BATCH = 1 << 18, 8, (3, 4), 6, 0.5, 32
+#: Words whose n-grams are laid out at once.
+WORDS_AT_ONCE = 20_000
 #: Gradient steps that a small sample gets at least.
 LEAST_STEPS = 400
 #: What a word pair hashes to if it is one word twice, whatever the word.
@@ -41,6 +43,9 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of words; feature rows of each word (itself and its character n-grams) and how many each has."""
+    if len(words) > WORDS_AT_ONCE:
+        parts = [word_features(words[i : i + WORDS_AT_ONCE]) for i in range(0, len(words), WORDS_AT_ONCE)]
+        return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
     own = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
     marked = ["<" + w + ">" for w in words]
     lengths = np.fromiter(map(len, marked), np.int64, len(words))
