@@ -1,9 +1,9 @@
 """Operator 9, personal data with information-theoretic sanitisation; DataFrame and SQL functions only.
 
 Patterns find the protected entities themselves. What else gives an entity away is estimated from the corpus: over
-all distinct lines, the pointwise mutual information of a term and an entity is compared with the information that
-the entity carries. A term that discloses more than the allowed share of it is marked wherever it stands in a
-document with that entity, and ``redact`` replaces it by its general shape.
+all distinct lines, the pointwise mutual information of a term and an entity, from smoothed counts, is compared with
+the information that the entity carries. A term that discloses more than the allowed share of it is marked wherever it
+stands in a document with that entity, and ``redact`` replaces it by its general shape.
 """
 
 from __future__ import annotations
@@ -25,8 +25,8 @@ PATTERNS = {
 }
 #: What a text without any match of a kind lacks.
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
-#: Share of an entity's information that a term may disclose, distinct lines that have to show it, and a term's length.
-ALLOWED, SUPPORT, TERM_CHARS = 0.8, 3, 4
+#: Share of an entity's information that a term may disclose, lines that chance counts for in smoothing, a term's length.
+ALLOWED, PRIOR, TERM_CHARS = 0.8, 1.0, 4
 #: Terms up to which their set goes out as a broadcast (of some 40 bytes each); beyond it the join is by shuffle.
 BROADCAST_TERMS = 100_000
 #: Classes of line hashes, one of which is counted ahead to rule out common terms.
@@ -110,11 +110,13 @@ def terms(line: Column) -> Column:
     return F.array_distinct(F.filter(words, lambda w: F.length(w) >= TERM_CHARS))
 
 
-def disclosing_terms(docs: DataFrame, *, allowed: float = ALLOWED, support: int = SUPPORT) -> DataFrame:
+def disclosing_terms(docs: DataFrame, *, allowed: float = ALLOWED, prior: float = PRIOR) -> DataFrame:
     """Pairs ``entity, term`` in which the term gives the entity away, from the distinct lines of all documents.
 
-    With n lines, of which n(e) hold the entity, n(t) the term and n(t, e) both, the term's pointwise mutual
-    information log(n n(t, e) / n(t) n(e)) is set against the entity's information log(n / n(e)).
+    With n lines, of which n(e) hold the entity, n(t) the term and n(t, e) both, a line with the term holds the entity
+    with probability p = (n(t, e) + prior n(e) / n) / (n(t) + prior): to the lines with the term come ``prior`` lines
+    in which chance puts the entity. The pointwise mutual information log(n p / n(e)) is set against the entity's
+    information log(n / n(e)). No count has a floor: an entity of a single line is judged as well.
     """
     spark = docs.sparkSession
     lines = docs.select(F.explode(F.split("text", "\n")).alias("line")).where("line <> ''")
@@ -123,15 +125,16 @@ def disclosing_terms(docs: DataFrame, *, allowed: float = ALLOWED, support: int
     with_entity = lines.where(F.col("line").rlike("[0-9@]")).select("h", "line", entities(F.col("line")).alias("es")).where(F.size("es") > 0)
     shown = with_entity.select("h", F.explode("es").alias("entity"), terms(F.col("line")).alias("ts"))
     shown = written(shown.groupBy("entity", "h").agg(F.first("ts").alias("ts")), "entity-lines")
-    of_entity = shown.groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= support)
+    of_entity = shown.groupBy("entity").agg(F.count("*").alias("n_e"))
     pairs = shown.join(of_entity, "entity").select("entity", "n_e", F.explode("ts").alias("term"))
-    pairs = written(pairs.groupBy("entity", "term").agg(F.count("*").alias("n_te"), F.first("n_e").alias("n_e")).where(F.col("n_te") >= support), "entity-terms")
+    pairs = written(pairs.groupBy("entity", "term").agg(F.count("*").alias("n_te"), F.first("n_e").alias("n_e")), "entity-terms")
     # A term may be in so many lines at most; what already is in more of one line hash class has no need of a count.
-    most = F.col("n_te") * F.pow(F.lit(float(total)) / F.col("n_e"), F.lit(1 - allowed))
+    both = F.col("n_te") + F.col("n_e") * (prior / max(total, 1))
+    most = both * F.pow(F.lit(float(total)) / F.col("n_e"), F.lit(1 - allowed)) - prior
     part = _lines_with(lines.where(F.pmod("h", F.lit(CLASSES)) == 0), pairs.select("term").distinct())
     pairs = written(pairs.join(part, "term", "left").where(F.coalesce("n_t", F.lit(0)) <= most * (1 + 1e-9)).drop("n_t"), "entity-terms")
     of_term = _lines_with(lines, pairs.select("term").distinct())
-    told = F.log(F.lit(float(total)) * F.col("n_te") / (F.col("n_t") * F.col("n_e")))
+    told = F.log(F.lit(float(total)) * both / ((F.col("n_t") + prior) * F.col("n_e")))
     whole = F.log(F.lit(float(total)) / F.col("n_e"))
     return pairs.join(of_term, "term").where((whole > 0) & (told >= allowed * whole)).select("entity", "term")
 
@@ -143,7 +146,7 @@ def _lines_with(lines: DataFrame, names: DataFrame) -> DataFrame:
     return words.distinct().groupBy("term").agg(F.count("*").alias("n_t"))
 
 
-def find(docs: DataFrame, *, allowed: float = ALLOWED, support: int = SUPPORT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def find(docs: DataFrame, *, allowed: float = ALLOWED, prior: float = PRIOR, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """All spans of every whole text: ``doc_id, base, term_spans``, arrays of (kind, start, end) in code points.
 
     ``base`` is ordered by start, then kind as listed. ``term_spans`` are of kind ``term``: words that give away an
@@ -152,7 +155,7 @@ def find(docs: DataFrame, *, allowed: float = ALLOWED, support: int = SUPPORT, d
     empty table gives an empty result.
     """
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
-    pairs = written(disclosing_terms(docs, allowed=allowed, support=support), "disclosing")
+    pairs = written(disclosing_terms(docs, allowed=allowed, prior=prior), "disclosing")
 
     def placed(order: int, kind: str) -> Column:
         return F.transform(base_spans(F.col("text"), kind), lambda m: F.struct(m["start"].alias("start"), F.lit(order).alias("order"), m["end"].alias("end")))

@@ -105,6 +105,16 @@ def test_pii_terms_that_disclose(spark):
     assert pii.find(frame.limit(0)).count() == 0
 
 
+def test_pii_terms_of_entities_seen_once_or_twice(spark):
+    once = [(0, "courier quillfeather wrote today to k@y.org"), (1, "quillfeather came back")]
+    twice = [(10 + i, f"agent zanzibar wrote line {'ab'[i]} to j@x.org today") for i in range(2)]
+    other = [(100 + i, f"plain words today courier agent wrote line number {i}") for i in range(300)]
+    texts = dict([*once, *twice, *other])
+    found = {r["doc_id"]: r["term_spans"] for r in pii.find(spark.createDataFrame([*once, *twice, *other], "doc_id long, text string")).collect()}
+    marked = {d: {texts[d][s["start"] : s["end"]] for s in spans} for d, spans in found.items() if spans}
+    assert marked == {0: {"quillfeather"}, 10: {"zanzibar"}, 11: {"zanzibar"}}
+
+
 @pytest.mark.parametrize(
     ("url", "expected"),
     [
