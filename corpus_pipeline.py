@@ -22,8 +22,8 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes lines that an earlier line repeats within two edits; every document stays, with its new length."""
-    cleaned = line_dedup.remove(docs, line_dedup.repeated_lines(docs))
+    """Removes lines that repeat an earlier one within two edits, or exactly if they are short; every document stays, with its new length."""
+    cleaned = line_dedup.remove(docs, line_dedup.repeated_lines(docs, short=True))
     return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

@@ -62,7 +62,7 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document of ``documents`` with the numbers of its lines that an earlier line of the corpus repeats."""
-    return line_dedup.repeated_lines(table(spark, sf_dir, "documents")).select("doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.size("repeats").cast("long").alias("n_repeats"), F.array_join(F.col("repeats").cast("array<string>"), ",").alias("repeats"))
+    return line_dedup.repeated_lines(table(spark, sf_dir, "documents"), short=True).select("doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.size("repeats").cast("long").alias("n_repeats"), F.array_join(F.col("repeats").cast("array<string>"), ",").alias("repeats"))
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

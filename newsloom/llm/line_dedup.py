@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from newsloom.llm.columns import let
 from newsloom.llm.storage import written
 
-#: Edits between two repeats of a line, and characters from which on a line is compared at all.
+#: Edits between two repeats of a line, and characters from which on a line is compared with near ones.
 EDITS, MIN_CHARS = 2, 30
 #: Characters whose numbers are compared before two lines are: an edit changes two of the numbers by one at most.
 COUNTED = ["e", "a", "i", "n", "r", "s", "t", "o", "h", "l", "d", "cu", "mpg", "0123456789", " "]
@@ -88,9 +88,11 @@ def within(x: Column, y: Column, edits: int) -> Column:
     )
 
 
-def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
+def _lines(docs: DataFrame, min_chars: int, short: bool = False) -> DataFrame:
     """Lines that are compared: two hashes, their place as (doc, text's hash, number), their text and length."""
-    lines = docs.select("doc", "t", F.posexplode(F.split("text", "\n")).alias("no", "line")).select("doc", "t", "no", "line", F.length("line").alias("n")).where(F.col("n") >= min_chars)
+    compared = F.col("n") >= min_chars
+    compared = compared | F.col("line").rlike(r"(?U)\S") if short else compared
+    lines = docs.select("doc", "t", F.posexplode(F.split("text", "\n")).alias("no", "line")).select("doc", "t", "no", "line", F.length("line").alias("n")).where(compared)
     return lines.select(F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(1)).alias("h2"), F.struct("doc", "t", "no").alias("place"), "line", "n")
 
 
@@ -120,20 +122,22 @@ def _near(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
     return met.where(close).select(later.alias("l")).select("l.h1", "l.h2").distinct()
 
 
-def repeated_lines(docs: DataFrame, *, edits: int = EDITS, min_chars: int = MIN_CHARS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def repeated_lines(docs: DataFrame, *, edits: int = EDITS, min_chars: int = MIN_CHARS, short: bool = False, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Lines to remove from each document: ``doc_id, text_hash, n_lines, repeats array<int>`` (numbers from 0, ascending).
 
     Lines are what newlines part. A line of ``min_chars`` code points or more is a repeat if a line at an earlier
     place, by doc_id, hash of the text and number, equals it or is within ``edits`` edits (insertions, deletions and
-    substitutions of code points) of it, whether that one is a repeat itself or not. Shorter lines are never repeats.
+    substitutions of code points) of it, whether that one is a repeat itself or not. A shorter line is a repeat only with ``short``, if it is
+    not blank and a line at an earlier place equals it.
 
     A null text counts as empty, with one empty line. Null doc_ids come before all others. Repeated rows, with one
     doc_id and one text, stand for one document: their lines do not repeat each other, and each row is returned.
     Other columns are left out, so their names cannot clash; an empty table gives an empty result.
     """
     docs = docs.select(F.col(doc_id).alias("doc"), F.coalesce(text, F.lit("")).alias("text")).select("doc", "text", F.xxhash64("text").alias("t"))
-    lines = _lines(docs, min_chars)
-    distinct = written(lines.select("h1", "h2", "place", lookups(F.col("line"), F.col("n"), edits).alias("keys")).groupBy("h1", "h2").agg(F.min("place").alias("first"), F.count("*").alias("c"), F.first("keys").alias("keys")), "distinct-lines")
+    lines = _lines(docs, min_chars, short)
+    keys = F.when(F.col("n") >= min_chars, lookups(F.col("line"), F.col("n"), edits)) if short else lookups(F.col("line"), F.col("n"), edits)
+    distinct = written(lines.select("h1", "h2", "place", keys.alias("keys")).groupBy("h1", "h2").agg(F.min("place").alias("first"), F.count("*").alias("c"), F.first("keys").alias("keys")), "distinct-lines")
     rows = distinct.select("h1", F.explode("keys").alias("k")).select("h1", "k.key", "k.own")
     index = rows.where("own").select("key", "h1")
     hubs = index.groupBy("key").agg(F.min("h1").alias("hub"), F.max("h1").alias("top"))

@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from newsloom.llm import line_dedup, pii
+from newsloom.llm import catalog, line_dedup, pii
 from newsloom.llm.catalog import URL_RULES
 from newsloom.llm.components import connected_components
 from newsloom.llm.url_filter import filter_urls
@@ -60,6 +60,13 @@ def test_line_repeats_of_repeated_rows_and_nulls(spark):
     assert line_dedup.repeated_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_short_lines_repeat_exactly(spark, tmp_path):
+    rows = [(1, "All rights reserved.\n\n \u3000"), (2, "All rights reserved.\n\n \u3000\nAll rights reserve"), (3, "x\nx\nAll rights reserved.")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["n_lines"], r["repeats"]) for r in catalog.op5_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {1: (3, ""), 2: (4, "0"), 3: (3, "1,2")}
+
+
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
