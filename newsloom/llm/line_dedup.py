@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.columns import let
-from newsloom.llm.storage import written
+from newsloom.llm.columns import let, unused
+from newsloom.llm.storage import release, written
 
 #: Edits between two repeats of a line, and characters from which on a line is compared with near ones.
 EDITS, MIN_CHARS = 2, 30
@@ -20,6 +20,8 @@ EDITS, MIN_CHARS = 2, 30
 COUNTED = ["e", "a", "i", "n", "r", "s", "t", "o", "h", "l", "d", "cu", "mpg", "0123456789", " "]
 #: Lines up to which a set of line hashes goes out as a broadcast (16 bytes each); beyond it joins are by shuffle.
 BROADCAST_LINES = 500_000
+#: Lines of an index entry that meet others in one block.
+ENTRY_SIDE = 512
 
 
 def _segment(length: Column, number: int, edits: int) -> tuple[Column, Column]:
@@ -32,8 +34,9 @@ def _segment(length: Column, number: int, edits: int) -> tuple[Column, Column]:
 
 
 def lookups(line: Column, length: Column, edits: int) -> Column:
-    """Array of (key, own): what a line looks up; ``own`` marks its own segments, which are what it is indexed by."""
-    out = []
+    """Array of the keys that a line looks up; the first ``edits`` + 1 are its own segments, by which it is indexed."""
+    code = F.encode(line, "UTF-32")  # four bytes a character, so that a segment is found without counting characters
+    own, other = [], []
     for shorter in range(edits + 1):
         target = length - shorter
         for i in range(edits + 1):
@@ -41,9 +44,9 @@ def lookups(line: Column, length: Column, edits: int) -> Column:
             # Shifts by which segment i can have moved if the edits before it and those after it are in balance.
             low, high = max(-i, shorter - (edits - i)), min(i, shorter + (edits - i))
             for shift in range(low, high + 1):
-                text = F.substring(line, begin + shift, size)
-                out.append(F.struct(F.xxhash64(F.lit(i), target, text).alias("key"), F.lit(shorter == 0 and shift == 0).alias("own")))
-    return F.array(*out)
+                key = F.xxhash64(F.lit(i), target, F.substring(code, (begin + shift) * 4 - 3, size * 4))
+                (own if shorter == 0 and shift == 0 else other).append(key)
+    return F.array(*own, *other)
 
 
 def within(x: Column, y: Column, edits: int) -> Column:
@@ -136,41 +139,63 @@ def repeated_lines(docs: DataFrame, *, edits: int = EDITS, min_chars: int = MIN_
     """
     docs = docs.select(F.col(doc_id).alias("doc"), F.coalesce(text, F.lit("")).alias("text")).select("doc", "text", F.xxhash64("text").alias("t"))
     lines = _lines(docs, min_chars, short)
-    keys = F.when(F.col("n") >= min_chars, lookups(F.col("line"), F.col("n"), edits)) if short else lookups(F.col("line"), F.col("n"), edits)
-    distinct = written(lines.select("h1", "h2", "place", keys.alias("keys")).groupBy("h1", "h2").agg(F.min("place").alias("first"), F.count("*").alias("c"), F.first("keys").alias("keys")), "distinct-lines")
-    rows = distinct.select("h1", F.explode("keys").alias("k")).select("h1", "k.key", "k.own")
-    index = rows.where("own").select("key", "h1")
-    hubs = index.groupBy("key").agg(F.min("h1").alias("hub"), F.max("h1").alias("top"))
-    met = rows.select("key", "h1").join(hubs, "key").where("h1 <> hub OR hub <> top")
-    met = written(met.select("key", "h1", "hub", (F.col("hub") != F.col("top")).alias("multi")).distinct(), "line-hubs")
+    # Keys of short lines go unused; a condition around them would compute each of their parts anew.
+    keyed = lines.select("h1", "h2", "place", "n", lookups(F.col("line"), F.col("n"), edits).alias("keys"))
+    distinct = written(keyed.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.count("*").alias("c"), F.min("n").alias("n"), F.first("keys").alias("keys")), "distinct-lines")
+    rows = distinct.where(F.col("n") >= min_chars).select("h1", F.posexplode("keys").alias("at", "key")).select("key", "h1", (F.col("at") <= edits).alias("own"))
+    # Keys of an index entry that some other line looks up; minima are combined before they are dealt out.
+    own = F.when(F.col("own"), F.col("h1"))
+    shared = rows.groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high"), F.min(own).alias("hub"), F.max(own).alias("top"))
+    shared = written(shared.where("hub IS NOT NULL AND low <> high").select("key", "hub", (F.col("hub") != F.col("top")).alias("multi")), "shared-keys")
+    few = shared.count() <= BROADCAST_LINES
+    met = written(rows.join(F.broadcast(shared) if few else shared, "key").where("h1 <> hub OR multi").groupBy("key", "h1").agg(F.max("own").alias("own"), F.first("hub").alias("hub"), F.first("multi").alias("multi")), "line-hubs")
 
     stars = written(met.where("h1 <> hub").select(F.least("h1", "hub").alias("a"), F.greatest("h1", "hub").alias("b")).distinct(), "line-stars")
     ids = written(stars.select(F.explode(F.array("a", "b")).alias("h1")).distinct(), "line-ids")
     near = written(_near(stars, _texts(ids, docs, min_chars, "star-texts"), edits), "near-lines")
     # Entries of several indexed lines: the others meet too, where counts leave it open and the later line of the two is
     # not known as a repeat yet.
-    many = met.where("multi").select("key", "h1", "hub")
+    many = met.where("multi").select("key", "h1", "hub", "own")
     texts = _texts(many.select("h1").distinct(), docs, min_chars, "entry-texts")
     state = texts.drop("line").join(near.withColumn("known", F.lit(True)), ["h1", "h2"], "left").withColumn("known", F.coalesce("known", F.lit(False)))
-    state = written(state, "line-state")
-    indexed = index.join(many.select("key", "hub").distinct(), "key").where("h1 <> hub").select("key", "h1")
-    x, y = many.select("key", "h1").join(state, "h1").alias("x"), indexed.join(state, "h1").alias("y")
-    unknown = F.expr("x.key = y.key AND x.h1 <> y.h1 AND NOT (CASE WHEN x.first > y.first THEN x.known ELSE y.known END)")
-    others = x.join(y, unknown & _alike("x", "y", edits)).select(F.least("x.h1", "y.h1").alias("a"), F.greatest("x.h1", "y.h1").alias("b")).distinct()
-    others = written(others.join(stars, ["a", "b"], "left_anti"), "line-pairs")
+    others = written(_entry_pairs(many, written(state, "line-state"), edits).join(stars, ["a", "b"], "left_anti"), "line-pairs")
     near = written(near.unionByName(_near(others, texts, edits)).distinct(), "near-lines")
 
-    flagged = distinct.select("h1", "h2", "first", "c").join(near.withColumn("near", F.lit(True)), ["h1", "h2"], "left").where("c > 1 OR near").drop("c")
-    gone = lines.select("h1", "h2", "place").join(flagged, ["h1", "h2"]).where("near OR place <> first").select("place.*")
+    flagged = distinct.select("h1", "h2", "first", "c").join(near.withColumn("near", F.lit(True)), ["h1", "h2"], "left").where("c > 1 OR near")
+    flagged = written(flagged.select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near")), "flagged-lines")
+    release(distinct, shared, met, stars, ids, texts, others, near)
+    few = flagged.count() <= BROADCAST_LINES
+    gone = lines.select("h1", "h2", "place").join(F.broadcast(flagged) if few else flagged, ["h1", "h2"]).where("near OR place <> first").select("place.*")
     gone = gone.groupBy("doc", "t").agg(F.array_sort(F.collect_set("no")).alias("repeats"))
     every = docs.select("doc", "t", F.size(F.split("text", "\n")).alias("n_lines"))
     out = every.alias("e").join(gone.alias("g"), F.expr("e.doc <=> g.doc AND e.t = g.t"), "left")
     return out.select(F.col("e.doc").alias("doc_id"), F.col("e.t").alias("text_hash"), "n_lines", F.coalesce("repeats", F.array().cast("array<int>")).alias("repeats"))
 
 
+def _entry_pairs(members: DataFrame, state: DataFrame, edits: int) -> DataFrame:
+    """Pairs ``a, b`` of lines that share an index entry and that their counts leave open.
+
+    The lines of an entry and those indexed in it are dealt into blocks of ENTRY_SIDE, and each pair of blocks is a
+    key of the join, so that no task gets more than a block of either side at once.
+    """
+    sizes = members.groupBy("key").agg(F.ceil(F.count("*") / ENTRY_SIDE).cast("int").alias("nx"), F.ceil(F.sum(F.when((F.col("h1") != F.col("hub")) & F.col("own"), 1).otherwise(0)) / ENTRY_SIDE).cast("int").alias("ny"))
+    sizes = written(sizes.where("ny > 0"), "entry-sizes")
+    placed = members.join(sizes, "key")
+    x = placed.select("key", "h1", F.pmod(F.xxhash64("h1"), F.col("nx")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("ny") - 1)).alias("j"))
+    y = placed.where("own AND h1 <> hub").select("key", "h1", F.pmod(F.xxhash64("h1"), F.col("ny")).cast("int").alias("j"), F.explode(F.sequence(F.lit(0), F.col("nx") - 1)).alias("i"))
+    unknown = F.expr("x.key = y.key AND x.i = y.i AND x.j = y.j AND x.h1 <> y.h1 AND NOT (CASE WHEN x.first > y.first THEN x.known ELSE y.known END)")
+    met = x.join(state, "h1").alias("x").join(y.join(state, "h1").alias("y"), unknown & _alike("x", "y", edits))
+    return met.select(F.least("x.h1", "y.h1").alias("a"), F.greatest("x.h1", "y.h1").alias("b")).distinct()
+
+
 def remove(docs: DataFrame, repeats: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Documents without their repeated lines; all columns stay. A null text stays null."""
-    some = repeats.where(F.size("repeats") > 0).select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_t"), "repeats").distinct()
-    kept = F.array_join(F.transform(F.filter(F.transform(F.split(text, "\n"), lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: ~F.array_contains("repeats", s["i"])), lambda s: s["x"]), "\n")
-    joined = docs.join(some, F.col(doc_id).eqNullSafe(F.col("_doc")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("_t")), "left")
-    return joined.withColumn(text, F.when(F.col("repeats").isNull(), F.col(text)).otherwise(kept)).select(*docs.columns)
+    """Documents without their repeated lines; all columns stay, whatever their names.
+
+    ``repeats`` is what ``repeated_lines`` returns for the documents. A null text stays null, a row with a null id
+    loses the lines found for its text, a text all of whose lines go becomes empty. An empty table stays empty.
+    """
+    own = unused(docs, "lines_gone")
+    some = repeats.where(F.size("repeats") > 0).select(F.col("doc_id").alias("d"), F.col("text_hash").alias("t"), F.col("repeats").alias(own)).distinct().alias("s")
+    kept = F.array_join(F.transform(F.filter(F.transform(F.split(text, "\n"), lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: ~F.array_contains(F.col(own), s["i"])), lambda s: s["x"]), "\n")
+    joined = docs.alias("o").join(some, F.col(f"o.{doc_id}").eqNullSafe(F.col("s.d")) & (F.xxhash64(F.coalesce(F.col(f"o.{text}"), F.lit(""))) == F.col("s.t")), "left").select("o.*", f"s.{own}")
+    return joined.withColumn(text, F.when(F.col(own).isNull(), F.col(text)).otherwise(kept)).select(*docs.columns)
