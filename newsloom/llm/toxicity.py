@@ -25,7 +25,7 @@ from newsloom.llm.quality import mix
 from newsloom.llm.words import WordTable, chunks
 
 #: Rows of the weight table; lengths of word beginnings and endings; passes, rate and documents in a gradient step.
-BUCKETS, STARTS, ENDS, EPOCHS, RATE, BATCH = 1 << 18, (3, 4, 5, 6), (2, 3), 8, 0.3, 64
+BUCKETS, STARTS, ENDS, EPOCHS, RATE, BATCH = 1 << 18, tuple(range(3, 9)), (2, 3), 8, 0.3, 64
 #: A word is evidence if it is in so many toxic documents at least, and so often in toxic rather than in other ones.
 EVIDENCE_DOCS, EVIDENCE_SHARE = 5, 0.98
 #: What is in this part of all toxic documents is a mark by itself; anything rarer only where no other explains a document.
@@ -133,6 +133,14 @@ def marginals(gain: np.ndarray, sizes: np.ndarray, move: np.ndarray, prior: floa
     return odds / (1 + odds), ahead, behind
 
 
+def none_toxic(ahead: np.ndarray, sizes: np.ndarray, move: np.ndarray) -> np.ndarray:
+    """Probability that no word of a document is toxic, from the forward odds; short of one by a millionth at least."""
+    ends = np.cumsum(sizes)
+    step = np.log(move[0, 0]) - np.log(move[0, 0] + ahead * move[1, 0])
+    step[ends - 1] = -np.log1p(ahead[ends - 1])
+    return np.minimum(np.exp(np.add.reduceat(step, ends - sizes)), 1 - 1e-6)
+
+
 @dataclass
 class ToxicityModel:
     """Weights of feature rows and of state changes, and the curve from a document's evidence to its score."""
@@ -191,32 +199,39 @@ def train(texts: list[str], labels: np.ndarray, totals: dict[int, int], *, seed:
     for i in learn:
         codes = np.array([index[w] for w in lists[i]], np.int64)
         truth = toxic_word[codes] & bool(labels[i])
-        if len(codes) and (truth.any() or not labels[i]):  # a toxic document without evidence says nothing of its words
-            docs.append((codes, truth))
+        if len(codes):
+            docs.append((codes, truth, bool(labels[i]) and not truth.any()))
     owner = np.repeat(np.arange(len(index)), counts)
     for _ in range(EPOCHS if docs else 0):
         for batch in np.array_split(rng.permutation(len(docs)), -(-len(docs) // BATCH)):
             codes = np.concatenate([docs[k][0] for k in batch])
             truth = np.concatenate([docs[k][1] for k in batch]).astype(float)
             sizes = np.array([len(docs[k][0]) for k in batch])
+            unmarked = np.array([docs[k][2] for k in batch])
             emit = np.exp(np.clip(np.add.reduceat(weight[rows], begin), -30, 30))
             gain = emit[codes]
             e = np.exp(move)
             p, ahead, behind = marginals(gain, sizes, e, float(np.exp(prior)))
+            heads = np.cumsum(sizes) - sizes
+            some = 1 - none_toxic(ahead, sizes, e)
+            hidden = np.repeat(unmarked, sizes)
+            truth[hidden] = (p / np.repeat(some, sizes))[hidden]
             miss = np.bincount(codes, p - truth, len(index))
             step = np.bincount(rows, miss[owner], BUCKETS)
             seen += step**2
             weight -= RATE * step / np.sqrt(seen + 1e-8) + 1e-4 * RATE * weight * (step != 0)
             inside = np.ones(len(codes), bool)
-            inside[np.cumsum(sizes) - sizes] = False
+            inside[heads] = False
             t = np.flatnonzero(inside)
             if len(t):
                 r, s = ahead[t - 1], gain[t] * behind[t]
                 joint = np.stack([np.full(len(t), e[0, 0]), e[0, 1] * s, r * e[1, 0], r * e[1, 1] * s], 1)
                 joint /= joint.sum(1, keepdims=True)
-                want = np.bincount((2 * truth[t - 1] + truth[t]).astype(int), minlength=4)
+                some = np.repeat(some, sizes)[t][:, None]
+                given = (joint - (1 - some) * np.array([1, 0, 0, 0])) / some  # if some word is toxic
+                seen_pairs = np.eye(4)[(2 * truth[t - 1] + truth[t]).astype(int) * ~hidden[t]]
+                want = np.where(hidden[t][:, None], given, seen_pairs).sum(0)
                 move -= RATE * ((joint.sum(0) - want) / len(t)).reshape(2, 2)
-            heads = np.cumsum(sizes) - sizes
             prior -= RATE * float((p[heads] - truth[heads]).mean())
     model = ToxicityModel(weight, np.exp(move), float(np.exp(prior)))
     aside = np.flatnonzero(turn == 0)
@@ -265,4 +280,4 @@ def score(docs: DataFrame, model: ToxicityModel, *, threshold: float = 0.5, doc_
 def fit(docs: DataFrame, labels: DataFrame, *, parts: int = 3, held: int = 1, per_class: int = labelled.PER_CLASS) -> ToxicityModel:
     """Trains on a sample of the rows whose fold is not held out, ``per_class`` rows of each label at most."""
     rows, totals = labelled.sample(docs, labels, "toxic", parts, held, per_class=per_class)
-    return train(rows["text"].tolist(), rows["label"].to_numpy(), totals)
+    return labelled.train_on_executor(rows, lambda texts, marks: train(texts, marks, totals))
