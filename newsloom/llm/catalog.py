@@ -22,8 +22,12 @@ def tokenizer(name: str) -> str:
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Fewer rows in an Arrow batch, for whole texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    """Fewer rows in an Arrow batch, for whole texts; a session that has set its own number keeps it.
+
+    Spark reads the setting when a plan is run, after the query has returned it, so it stays set.
+    """
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":  # Spark's default
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -1,8 +1,12 @@
-"""Bounded samples of labelled documents, for models that are trained on the driver."""
+"""Bounded samples of labelled documents, and training on them in one task."""
 
 from __future__ import annotations
 
-import pandas as pd
+import pickle
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,29 +19,49 @@ def fold(doc_id: Column, parts: int, held: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % parts == held, F.lit(False))
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, parts: int, held: int, *, per_class: int = PER_CLASS, max_chars: int = MAX_CHARS, doc_id: str = "doc_id", text: str = "text") -> tuple[pd.DataFrame, dict[int, int]]:
-    """Texts and labels of a training sample, and how many rows each class has in all.
+def sample(docs: DataFrame, labels: DataFrame, label: str, parts: int, held: int, *, per_class: int = PER_CLASS, max_chars: int = MAX_CHARS, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, dict[int, int]]:
+    """Rows ``id, text, label`` of a training sample, and how many labels each class has in all.
 
-    Held-out rows are never read. Of each class the rows that come first in the order of a hash of their id are
+    Held-out rows are never read. Of each class the documents that come first in the order of a hash of their id are
     taken, ``per_class`` at most, so the sample is the same at every run; texts over ``max_chars`` are left to the
-    other rows. Rows without a label of 0 or 1, without an id or without a text teach nothing.
+    other rows. Rows without a label of 0 or 1, without an id or without a text teach nothing, nor do labels of
+    documents that are not there. Of an id with several texts the one with the smallest hash is taken.
     """
     known = labels.select(F.col("doc_id").alias("id"), F.col(label).cast("int").alias("label")).where(F.col("label").isin(0, 1) & F.col("id").isNotNull()).where(~fold(F.col("id"), parts, held)).distinct()
     totals = {int(r["label"]): int(r["count"]) for r in known.groupBy("label").count().collect()}
+    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).where(F.col("id").isNotNull() & (F.length("text") <= max_chars))
+    texts = texts.select("id", "text", F.xxhash64("text").alias("t"))
+    there = texts.select("id", "t").where(~fold(F.col("id"), parts, held)).groupBy("id").agg(F.min("t").alias("t")).join(known, "id")
     chosen = None
     for value in (0, 1):
-        first = known.where(F.col("label") == value).orderBy(F.xxhash64("id"), "id").limit(2 * per_class)
+        first = there.where(F.col("label") == value).orderBy(F.xxhash64("id"), "id").limit(per_class)
         chosen = first if chosen is None else chosen.unionByName(first)
-    found = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).where(F.col("text").isNotNull() & (F.length("text") <= max_chars))
-    rows = found.join(F.broadcast(chosen), "id").toPandas()  # the broadcast has 4 * per_class rows at most
-    rows = rows.drop_duplicates(["id", "label"]).assign(order=lambda d: pd.util.hash_array(d["id"].astype(str).to_numpy(dtype=object)))
-    return rows.sort_values(["order", "id"]).groupby("label").head(per_class).reset_index(drop=True), totals
+    rows = texts.join(F.broadcast(chosen), ["id", "t"])  # the broadcast has 2 * per_class rows at most
+    return rows.dropDuplicates(["id", "t", "label"]).select("id", "text", "label"), totals
+
+
+def train_on_executor(rows: DataFrame, train: Callable[[list[str], np.ndarray], object]) -> object:
+    """What ``train(texts, labels)`` returns for a sample, computed in one task; the sample never reaches the driver.
+
+    The sample is bounded, so the task is; if its executor is lost, the task is done again and gives the same.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts: list[str] = []
+        marks = np.zeros(0, np.int32)
+        if own := [b for b in batches if b.num_rows]:
+            table = pa.Table.from_batches(own).sort_by([("at", "ascending"), ("t", "ascending"), ("label", "ascending")])
+            texts, marks = table.column("text").to_pylist(), table.column("label").to_numpy()
+        model = train(texts, marks)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    one = rows.select("text", "label", F.xxhash64("id", F.lit(3)).alias("at"), F.xxhash64("text").alias("t")).repartition(1)
+    made = one.mapInArrow(run, "model binary").first()
+    return pickle.loads(made["model"]) if made else train([], np.zeros(0, np.int32))  # nothing to learn from
 
 
 def platt(scores, labels, weights, rounds: int = 200) -> tuple[float, float]:
     """Slope and intercept of a logistic curve through scores, by Newton steps with a little shrinkage."""
-    import numpy as np
-
     x, y, w = (np.asarray(v, float) for v in (scores, labels, weights))
     if not len(x) or y.min() == y.max():
         return 1.0, 0.0

@@ -1,8 +1,8 @@
 """Operator 4, quality classifier with supervised subword embeddings.
 
-A text is the mean of the learned vectors of its features: words, character n-grams of words and word pairs, each
-hashed to a row of one embedding table. A softmax over the mean gives the label. Embedding and output weights are
-trained together by stochastic gradient descent in numpy, on the driver, over a bounded sample.
+A text is the mean of the learned vectors of its features: words, character n-grams of words, word pairs and how
+lately a word stood in the text before, each hashed to a row of one embedding table. A softmax over the mean gives the label. Embedding and output weights are
+trained together by stochastic gradient descent in numpy, in one task, over a bounded sample.
 
 With two labels, what a feature adds to the outcome is one number, so executors get one number a row, and a word's
 own sum is computed once in a worker.
@@ -29,8 +29,6 @@ BUCKETS, DIM, GRAMS, EPOCHS, RATE, BATCH = 1 << 18, 8, (3, 4), 6, 0.5, 32
 WORDS_AT_ONCE = 20_000
 #: Gradient steps that a small sample gets at least.
 LEAST_STEPS = 400
-#: What a word pair hashes to if it is one word twice, whatever the word.
-TWICE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -69,7 +67,18 @@ def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 def pair_rows(hashes: np.ndarray) -> np.ndarray:
     """Feature rows of neighbouring words."""
     a, b = hashes[:-1], hashes[1:]
-    return (np.where(a == b, mix(np.full(len(a), TWICE)), mix(a * np.uint64(3) + b)) % np.uint64(BUCKETS)).astype(np.int64)
+    return (mix(a * np.uint64(3) + b) % np.uint64(BUCKETS)).astype(np.int64)
+
+
+def recency_rows(codes: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Feature rows of how many words ago each word stood in its text before, in powers of two; one for a new word."""
+    by = np.lexsort((doc, codes))
+    again = np.zeros(len(by), bool)
+    again[1:] = (codes[by[1:]] == codes[by[:-1]]) & (doc[by[1:]] == doc[by[:-1]])
+    lag = np.zeros(len(by), np.int64)
+    lag[by[again]] = by[again] - by[np.flatnonzero(again) - 1]
+    step = np.where(lag > 0, np.floor(np.log2(np.maximum(lag, 1))) + 1, 0).astype(np.uint64)
+    return (mix(step + np.uint64(0x5EED0000)) % np.uint64(BUCKETS)).astype(np.int64)
 
 
 @dataclass
@@ -80,6 +89,7 @@ class QualityModel:
     bias: float
     slope: float
     intercept: float
+    learned: bool = False
 
     def table(self) -> WordTable:
         """Per word: its hash, the sum of its features' gains, and their number, as three 64-bit values."""
@@ -101,7 +111,9 @@ class QualityModel:
         doc = np.repeat(np.arange(len(texts)), sizes)
         total = np.bincount(doc, sums.view(np.float64), len(texts))
         number = np.bincount(doc, counts.view(np.float64), len(texts))
-        if len(own) > 1:
+        if len(own):
+            total += np.bincount(doc, self.gain[recency_rows(codes, doc)], len(texts))
+            number += sizes
             same = np.flatnonzero(doc[1:] == doc[:-1])
             total += np.bincount(doc[same], self.gain[pair_rows(own)][same], len(texts))
             number += np.bincount(doc[same], minlength=len(texts))
@@ -127,7 +139,7 @@ def train(texts: list[str], labels: np.ndarray, totals: dict[int, int], *, seed:
     starts = np.cumsum(counts) - counts
     for words in lists:
         codes = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
-        rows = np.r_[flat[expand(starts[codes], counts[codes])], pair_rows(own[codes])]
+        rows = np.r_[flat[expand(starts[codes], counts[codes])], pair_rows(own[codes]), recency_rows(codes, np.zeros_like(codes))]
         ids, number = np.unique(rows, return_counts=True)
         features.append((ids.astype(np.int32), (number / max(1, number.sum())).astype(np.float32)))
     del lists, index, flat
@@ -158,7 +170,7 @@ def train(texts: list[str], labels: np.ndarray, totals: dict[int, int], *, seed:
                 np.subtract.at(table, ids, rate * part[:, None] * back[doc])
                 out -= rate * mean.T @ p
                 bias -= rate * p.mean(0)
-    model = QualityModel((table @ (out[:, 1] - out[:, 0])).astype(np.float32), float(bias[1] - bias[0]), 1.0, 0.0)
+    model = QualityModel((table @ (out[:, 1] - out[:, 0])).astype(np.float32), float(bias[1] - bias[0]), 1.0, 0.0, len(texts) > 0 and labels.min() != labels.max())
     aside = np.flatnonzero(np.arange(len(texts)) % 5 == 0)
     if len(aside):
         sampled = {k: max(1, int((labels == k).sum())) for k in (0, 1)}
@@ -214,4 +226,4 @@ def keep(docs: DataFrame, model: QualityModel, least: float, *, text: str = "tex
 def fit(docs: DataFrame, labels: DataFrame, *, parts: int = 4, held: int = 2, per_class: int = labelled.PER_CLASS) -> QualityModel:
     """Trains on a sample of the rows whose fold is not held out, ``per_class`` rows of each label at most."""
     rows, totals = labelled.sample(docs, labels, "quality", parts, held, per_class=per_class)
-    return train(rows["text"].tolist(), rows["label"].to_numpy(), totals)
+    return labelled.train_on_executor(rows, lambda texts, marks: train(texts, marks, totals))

@@ -23,6 +23,7 @@ def test_sample_leaves_held_out_rows_alone(spark):
     docs = spark.range(400).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("text"))
     labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
     rows, totals = labelled.sample(docs, labels, "quality", 4, 2, per_class=30)
+    rows = rows.toPandas()
     held = {r["doc_id"] for r in docs.where(labelled.fold(F.col("doc_id"), 4, 2)).collect()}
     assert not held & set(rows["id"]) and (rows["label"].value_counts() == 30).all() and sum(totals.values()) == 400 - len(held)
 
