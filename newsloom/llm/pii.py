@@ -125,8 +125,8 @@ def disclosing_terms(docs: DataFrame, *, allowed: float = ALLOWED, prior: float
     """
     lines = written(docs.select(F.explode(F.split("text", "\n")).alias("line")).where("line <> ''").distinct(), "distinct-lines")
     total = max(lines.count(), 1)
-    shown = lines.where(F.col("line").rlike("[0-9@]")).select("line", entities(F.col("line")).alias("es")).where(F.size("es") > 0)
-    shown = shown.select(F.explode("es").alias("entity"), F.concat(F.array(F.lit("")), names(F.col("line"))).alias("names"))
+    shown = lines.where(F.col("line").rlike("[0-9@]")).select("line", F.explode(entities(F.col("line"))).alias("entity"))
+    shown = shown.select("entity", F.concat(F.array(F.lit("")), names(F.col("line"))).alias("names"))
     pairs = written(shown.select("entity", F.explode("names").alias("name")).groupBy("entity", "name").agg(F.count("*").alias("n_te")), "entity-names")
     of_entity = pairs.where("name = ''").select("entity", F.col("n_te").alias("n_e"))
     of_name = lines.select(F.explode(names(F.col("line"))).alias("name")).groupBy("name").agg(F.count("*").alias("n_t"))
@@ -159,8 +159,8 @@ def term_spans(docs: DataFrame, *, allowed: float = ALLOWED, prior: float = PRIO
     term may be generalised to for all those entities, or null if it has to go.
     """
     pairs = written(disclosing_terms(docs, allowed=allowed, prior=prior), "disclosing")
-    holders = docs.where(F.col("text").rlike("[0-9@]")).select(F.xxhash64("text").alias("h"), entities(F.col("text")).alias("es")).where(F.size("es") > 0)
-    hints = holders.select("h", F.explode("es").alias("entity")).distinct().join(pairs, "entity")
+    holders = docs.where(F.col("text").rlike("[0-9@]")).select(F.xxhash64("text").alias("h"), F.explode(entities(F.col("text"))).alias("entity"))
+    hints = holders.distinct().join(pairs, "entity")
     hints = hints.groupBy("h", "term").agg(F.when(F.count("*") == F.count("general"), F.first("general")).alias("general"))
     hints = hints.groupBy("h").agg(F.map_from_entries(F.collect_list(F.struct("term", F.coalesce("general", F.lit("")).alias("general")))).alias("hints"))  # terms of one text
     hints = written(hints, "hints")
