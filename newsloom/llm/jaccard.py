@@ -19,6 +19,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from newsloom.llm.columns import let
 from newsloom.llm.components import connected_components
@@ -38,6 +39,8 @@ CHUNK = 400_000
 BRIEF = 16
 #: Ids up to which a set of documents goes out as a broadcast (8 bytes each); beyond it joins are by shuffle.
 BROADCAST_IDS = 1_000_000
+#: Members of an index entry that meet others in one block.
+ENTRY_SIDE = 512
 
 
 class HeavyCounter:
@@ -295,31 +298,47 @@ def open_pairs(members: DataFrame, links: DataFrame, sets: DataFrame, num: int,
     roots = connected_components(links).withColumnRenamed("node", "doc")
     placed = members.join(roots, "doc", "left").select("sig", "doc", F.coalesce("component", "doc").alias("root"))
     counts = placed.groupBy("sig", "root").agg(F.count("*").alias("n"))
-    main = counts.groupBy("sig").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("k")).where("k > 1").select("sig", "main")
+    main = counts.groupBy("sig").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("k"), F.sum("n").alias("every"), F.max("n").alias("most")).where("k > 1")
+    # The members that ask and those that they meet are dealt into blocks of ENTRY_SIDE; each pair of blocks is a key.
+    sides = [F.ceil(c / ENTRY_SIDE).cast("int").alias(x) for x, c in (("nx", F.col("every") - F.col("most")), ("ny", F.col("every")))]
+    main = written(main.select("sig", "main", *sides), "open-roots")
     placed = placed.join(main, "sig")
     brief = _narrow(sets.select("doc", "n", _brief(F.col("sketch")).alias("s")), placed.select("doc").distinct(), "left_semi")
     placed = written(placed.join(brief, "doc"), "open-entries")
-    x, y = placed.where("root <> main").alias("x"), placed.alias("y")
+    deal = lambda n: F.pmod(F.xxhash64("doc"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    x = placed.where("root <> main").select("sig", "doc", "root", "main", "n", "s", deal("nx").alias("i"), every("ny").alias("j")).alias("x")
+    y = placed.select("sig", "doc", "root", "main", "n", "s", deal("ny").alias("j"), every("nx").alias("i")).alias("y")
     fit = F.least("x.n", "y.n") * den >= F.greatest("x.n", "y.n") * num
     near = _differ(F.col("x.s"), F.col("y.s")) * (den + num) <= (F.col("x.n") + F.col("y.n")) * (den - num)
-    meet = x.join(y, F.expr("x.sig = y.sig AND x.root <> y.root AND (y.root = y.main OR x.doc < y.doc)") & fit & near)
+    meet = x.join(y, F.expr("x.sig = y.sig AND x.i = y.i AND x.j = y.j AND x.root <> y.root AND (y.root = y.main OR x.doc < y.doc)") & fit & near)
     return meet.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct()
 
 
 def similar_groups(docs: DataFrame, *, width: int = 5, num: int = 3, den: int = 4, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every document with its group: ``doc_id, n_shingles, component_id, n_links``.
+    """Every document with its group: ``doc_id, n_shingles, component_id, n_spanning``.
 
     Documents link when their sets of ``width``-word shingles have a Jaccard similarity of num / den or more. The
-    component is the smallest doc_id that links reach, the document's own included. ``n_links`` counts links between
-    documents of different sets that were verified; members that were already joined were not compared again.
+    component is the smallest doc_id that links reach, the document's own included. ``n_spanning`` counts the verified
+    links between documents of different sets that span the groups; it is not the number of all links, since members
+    that are joined already are not compared again. Shingles are told apart by 64-bit hashes, so similarities are
+    exact but for collisions of these.
 
     Words are cut at ASCII blanks, A-Z in lower case. With fewer words the whole sequence is one shingle. Null or
     empty texts, and texts of blanks only, have no shingles and link with nothing. Rows with one doc_id are one
     document with several texts: they share a component. A null doc_id links with nothing and has a null component.
-    Other columns are left out, so their names cannot clash; an empty table gives an empty result.
+    Ids may be of any ordered type; those that are no whole numbers are told apart by a 64-bit hash. Other columns
+    are left out, so their names cannot clash; an empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    kind = docs.schema[doc_id].dataType.simpleString()
+    kind = docs.schema[doc_id].dataType
+    if not isinstance(kind, IntegralType):
+        named = docs.select(F.col(doc_id).alias("id"), F.when(F.col(doc_id).isNotNull(), F.xxhash64(doc_id)).alias("doc"), F.col(text).alias("text"))
+        groups = similar_groups(named, width=width, num=num, den=den, doc_id="doc")
+        ids = named.where("id IS NOT NULL").select(F.col("doc").alias("doc_id"), "id").distinct()
+        first = groups.join(ids, "doc_id").groupBy("component_id").agg(F.min("id").alias("first"))
+        groups = groups.join(first, "component_id", "left").join(ids, "doc_id", "left")
+        return groups.select(F.col("id").alias("doc_id"), "n_shingles", F.col("first").alias("component_id"), "n_spanning")
+    spark, kind = docs.sparkSession, kind.simpleString()
     docs = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"))
     known = docs.where("doc IS NOT NULL")
     profile = written(profiles(known, width), "profiles")
@@ -328,9 +347,13 @@ def similar_groups(docs: DataFrame, *, width: int = 5, num: int = 3, den: int =
     frequent = spark.sparkContext.broadcast(np.sort(often["k1"].to_numpy(np.int64).view(np.uint64)))
 
     full = sets.where("n > 0")
-    first = full.groupBy("n", "k1", "k2").agg(F.min("doc").alias("hub"))
+    # Minima are written, so that the copies of one text are the large side of the join, which Spark splits.
+    first = written(full.groupBy("n", "k1", "k2").agg(F.min("doc").alias("hub"), F.max("doc").alias("top")).where("hub < top").drop("top"), "first-copies")
     copies = written(full.select("doc", "n", "k1", "k2").join(first, ["n", "k1", "k2"]).where("doc <> hub").select("doc", "hub").distinct(), "copies")
-    kept = _narrow(known, copies.select("doc").distinct(), "left_anti")
+    # A document of several sets stays in the index, as some of them may have no copy.
+    several = full.groupBy("doc").agg(F.min("k1").alias("low"), F.max("k1").alias("high")).where("low < high").select("doc")
+    out = written(copies.select("doc").distinct().join(several, "doc", "left_anti"), "left-to-copies")
+    kept = _narrow(known, out, "left_anti")
 
     total = sets.agg(F.sum(F.col("n") - F.ceil(F.col("n") * num / den) + 1)).first()[0] or 0
     buckets = max(8, -(-int(total) // BUCKET_ENTRIES))
@@ -343,11 +366,10 @@ def similar_groups(docs: DataFrame, *, width: int = 5, num: int = 3, den: int =
     if len(often):
         pairs = written(combinations(kept, frequent, width, num, den), "combinations")
         hubs = pairs.distinct().groupBy("sig").agg(F.min("doc").alias("hub"), F.max("doc").alias("top"), F.xxhash64(F.bit_xor(F.xxhash64("doc")), F.count("*")).alias("group")).where("hub < top")
-        rare = rare.unionByName(pairs.join(hubs, "sig").select(F.col("group").alias("sig"), "doc", "hub"))
+        rare = rare.unionByName(pairs.join(written(hubs, "pair-hubs"), "sig").select(F.col("group").alias("sig"), "doc", "hub"))
     members = written(rare.distinct(), "entries")
 
-    known_sets = sets.join(F.broadcast(copies.select("doc").distinct()) if copies.count() <= BROADCAST_IDS else copies.select("doc").distinct(), "doc", "left_anti")
-    known_sets = known_sets.where("n > 0")
+    known_sets = _narrow(full, out, "left_anti")
     stars = written(plausible(members.where("doc <> hub").select(F.col("hub").alias("a"), F.col("doc").alias("b")).distinct(), known_sets, num, den), "stars")
     links = written(verified(stars, kept, width, num, den), "links")
     rest = open_pairs(members, links, known_sets, num, den)
@@ -356,18 +378,22 @@ def similar_groups(docs: DataFrame, *, width: int = 5, num: int = 3, den: int =
 
     edges = links.unionByName(copies.select(F.col("hub").alias("a"), F.col("doc").alias("b")))
     groups = connected_components(edges)
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
+    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_spanning"))
     out = sets.select("doc", F.col("n").alias("n_shingles")).join(groups, F.col("doc") == F.col("node"), "left").drop("node")
     out = out.join(degree, F.col("doc") == F.col("node"), "left")
-    out = out.select(F.col("doc").cast(kind).alias("doc_id"), "n_shingles", F.coalesce("component", "doc").cast(kind).alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    out = out.select(F.col("doc").cast(kind).alias("doc_id"), "n_shingles", F.coalesce("component", "doc").cast(kind).alias("component_id"), F.coalesce("n_spanning", F.lit(0)).cast("long").alias("n_spanning"))
     lost = profiles(docs.where("doc IS NULL").select(F.lit(0).cast("long").alias("doc"), "text"), width).where("doc IS NOT NULL")
     null = F.lit(None).cast(kind)
-    return out.unionByName(lost.select(null.alias("doc_id"), F.col("n").alias("n_shingles"), null.alias("component_id"), F.lit(0).cast("long").alias("n_links")))
+    return out.unionByName(lost.select(null.alias("doc_id"), F.col("n").alias("n_shingles"), null.alias("component_id"), F.lit(0).cast("long").alias("n_spanning")))
 
 
 def keep_first(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """Rows of the document with the smallest id of each group, with all their columns; rows without an id stay."""
+    """Rows of the document with the smallest id of each group, with all their columns, whatever their names.
+
+    Rows without an id stay, as do null and empty texts, which are in no group. Several rows of one id are one document:
+    they stay or go together. An empty table stays empty.
+    """
     groups = similar_groups(docs, doc_id=doc_id, text=text, **options)
-    gone = written(groups.where("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct(), "near-copies")
+    gone = written(groups.where("component_id < doc_id").select("doc_id").distinct(), "near-copies")
     few = gone.count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(gone) if few else gone, F.col(doc_id) == F.col("_gone"), "left_anti").select(*docs.columns)
+    return docs.alias("o").join((F.broadcast(gone) if few else gone).alias("g"), F.col(f"o.{doc_id}") == F.col("g.doc_id"), "left_anti")
