@@ -51,25 +51,41 @@ def rule_of(host: Column, path: Column, rules: Iterable[tuple[str, str]]) -> tup
 
 
 def absolute(target: Column, base: Column) -> Column:
-    """A link's address: absolute as it is; ``//host/x`` and ``/x`` completed from its page; null for any other."""
+    """A link's address, completed from its page: its scheme, host, folder or path. Null for addresses that are no
+    pages, as those of a ``mailto:``."""
     target = F.regexp_replace(F.trim(target), "&amp;", "&")
+    here = F.concat(F.lit("http://"), host_of(base))
+    path = F.when(path_of(base) == "", F.lit("/")).otherwise(path_of(base))
     return (
-        F.when(target.contains("://"), target)
+        F.when(target.rlike(r"(?i)^[a-z][a-z0-9+.-]*://"), target)
+        .when(target.rlike(r"(?i)^[a-z][a-z0-9+.-]*:"), F.lit(None).cast("string"))
         .when(target.startswith("//"), F.concat(F.lit("http:"), target))
-        .when(target.startswith("/"), F.concat(F.lit("http://"), host_of(base), target))
+        .when(target.startswith("/"), F.concat(here, target))
+        .when(target.startswith("?"), F.concat(here, path, target))
+        .when(target.startswith("#"), base)
+        .otherwise(F.concat(here, without_dots(F.concat(F.regexp_extract(path, r"^(.*/)", 1), F.regexp_extract(target, r"^([^?#]*)", 1))), F.regexp_extract(target, r"^[^?#]*(.*)$", 1)))
     )
 
 
+def without_dots(path: Column) -> Column:
+    """A path with its ``.`` and ``..`` steps taken."""
+    steps = F.split(path, "/")
+    last = F.when(F.element_at(steps, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    shorter = lambda a: F.slice(a, F.lit(1), F.greatest(F.size(a) - 1, F.lit(1)))
+    taken = F.aggregate(steps, F.array().cast("array<string>"), lambda a, x: F.when(x == "..", shorter(a)).when(x == ".", a).otherwise(F.concat(a, F.array(x))))
+    return F.array_join(F.concat(taken, last), "/")
+
+
 def declared_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """Canonical links and meta refreshes of the pages: ``source`` and ``target`` keys."""
+    """Canonical links and meta refreshes of the pages, all of each: ``source`` and ``target`` keys."""
     body = F.col(html)
-    tag = F.regexp_extract(body, r"(?is)(<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>)", 1)
-    canonical = F.regexp_extract(tag, r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
-    meta = F.regexp_extract(body, r"(?is)(<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>)", 1)
-    refresh = F.regexp_extract(meta, r"(?is)\burl\s*=\s*['\"]?([^\"'\s>;]+)", 1)
+    tags = F.regexp_extract_all(body, F.lit(r"(?is)(<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>)"), 1)
+    canonical = F.transform(tags, lambda t: F.regexp_extract(t, r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1))
+    metas = F.regexp_extract_all(body, F.lit(r"(?is)(<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>)"), 1)
+    refresh = F.transform(metas, lambda t: F.regexp_extract(t, r"(?is)\burl\s*=\s*['\"]?([^\"'\s>;]+)", 1))
     return (
         pages.where(body.rlike(r"(?i)\brel\s*=\s*[\"']?canonical|\bhttp-equiv\s*=\s*[\"']?refresh"))
-        .select(F.col(url).alias("base"), F.explode(F.array(canonical, refresh)).alias("target"))
+        .select(F.col(url).alias("base"), F.explode(F.concat(canonical, refresh)).alias("target"))
         .where("target <> ''")
         .select(key_of(F.col("base")).alias("source"), key_of(absolute(F.col("target"), F.col("base"))).alias("target"))
         .where("source IS NOT NULL AND target IS NOT NULL AND source <> target")
@@ -104,6 +120,9 @@ def filter_urls(pages: DataFrame, rules: Iterable[tuple[str, str]], *, redirects
     _, ruled = rule_of(host, path, rules)
     spread = nodes.groupBy("component").agg(F.max(ruled == "allow").alias("allowed"), F.max(ruled == "block").alias("blocked"))
     spread = spread.select("component", (F.coalesce("blocked", F.lit(False)) & ~F.coalesce("allowed", F.lit(False))).alias("inherits"))
-    nodes = nodes.join(spread, "component").select(F.col("node").alias("key"), "component", "inherits")
+    spread = written(spread, "alias-verdicts")  # a row for each group: its members are the side of the join that Spark splits
+    nodes = written(nodes.join(spread, "component").select(F.col("node").alias("key"), "component", "inherits"), "alias-verdicts")
     verdict = F.coalesce(F.col("own"), F.when(F.col("inherits"), F.lit("block")).otherwise(F.lit("allow")))
-    return judged.join(nodes, "key", "left").select("page_id", "host", "path", "rule", verdict.alias("verdict"), "component")
+    # Pages without a host have no key; a number of their own spreads them over the tasks.
+    spot = F.coalesce("key", F.concat(F.lit("/"), F.xxhash64("page_id", F.monotonically_increasing_id()).cast("string")))
+    return judged.withColumn("key", spot).join(nodes, "key", "left").select("page_id", "host", "path", "rule", verdict.alias("verdict"), "component")
