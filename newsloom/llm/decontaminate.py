@@ -17,18 +17,23 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
+from newsloom.llm.columns import unused
 from newsloom.llm.quality import mix
 from newsloom.llm.shingles import Shingler
+from newsloom.llm.storage import written
 from newsloom.llm.words import chunks
 
-#: Edits per word of an item that still count as its text; recall wanted of them; fewest and most walks; words of items in
-#: a pass.
-RATE, RECALL, LEAST_WALKS, MOST_WALKS, BLOCK_WORDS = 0.15, 0.99, 3, 8, 2_000_000
+#: Edits per word of an item that still count as its text; recall wanted of them; fewest walks, and walks after which a
+#: block that still misses its recall is an error; words of items in a pass.
+RATE, RECALL, LEAST_WALKS, MOST_WALKS, BLOCK_WORDS = 0.15, 0.99, 3, 64, 2_000_000
 #: Neighbours that an anchor is the least of, steps of a walk, and steps that are sampled for a key.
 ANCHOR, STEPS, SAMPLED = 6, 14, 4
 #: Slots of the filter that rules out most keys before they are looked up.
 FILTER_BITS = 22
+#: Documents to remove up to which their keys go out as a broadcast (some 40 bytes each); beyond it the join is by shuffle.
+BROADCAST_ROWS = 500_000
 
 
 def word_hasher() -> Shingler:
@@ -107,9 +112,18 @@ def masks_of(words: list[int]) -> dict[int, int]:
     return out
 
 
+def shape(size: int) -> tuple[int, int, int]:
+    """Neighbours of an anchor, steps of a walk and sampled steps for an item of so many words.
+
+    A short item has few windows: they begin everywhere and their walks are short.
+    """
+    steps = min(STEPS, max(1, size))
+    return (ANCHOR if size >= 2 * ANCHOR else 1), steps, min(SAMPLED, steps)
+
+
 @dataclass
 class Benchmark:
-    """Items as word sequences with the keys of their windows."""
+    """Items of one shape as word sequences with the keys of their windows."""
 
     ids: list
     items: list[list[int]]
@@ -123,11 +137,7 @@ class Benchmark:
     offset: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
 
     def __post_init__(self) -> None:
-        shortest = min(map(len, self.items), default=ANCHOR)
-        # A short item has few windows: they begin everywhere and their walks are short.
-        self.span = ANCHOR if shortest >= 2 * ANCHOR else 1
-        self.steps = min(STEPS, max(1, shortest))
-        self.sampled = min(SAMPLED, self.steps)
+        self.span, self.steps, self.sampled = min((shape(len(w)) for w in self.items), default=shape(ANCHOR))
         self.edits = [int(self.rate * len(w)) for w in self.items]
         self.forward = [masks_of(w) for w in self.items]
         self.backward = [masks_of(w[::-1]) for w in self.items]
@@ -153,7 +163,10 @@ class Benchmark:
         self.filter[(self.keys >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
 
     def calibrate(self, recall: float, trials: int = 400, seed: int = 5) -> float:
-        """Adds walks until simulated edits at the full rate are found with the wanted recall; returns the recall."""
+        """Adds walks until simulated edits at the full rate are found with the wanted recall; returns the recall.
+
+        If MOST_WALKS do not reach it, that is an error: the items are never searched with less.
+        """
         rng = np.random.default_rng(seed)
         made = []
         for k in rng.integers(0, len(self.items), trials).tolist():
@@ -173,8 +186,8 @@ class Benchmark:
             hit = self.item[entry] == np.array([k for k, _ in made])[owner]
             found = len(np.unique(owner[hit])) / max(1, len(made))
             if found >= recall:
-                break
-        return found
+                return found
+        raise RuntimeError(f"items of {min(map(len, self.items))} words and more are found with a recall of {found:.3f} only, by {MOST_WALKS} walks")
 
     def meet(self, words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of texts whose key an item's window has: (place, entry of the index), for all walks."""
@@ -215,28 +228,32 @@ class Benchmark:
         return [(t, k, begin, length, found) for (t, k), (found, begin, length) in sorted(best.items())]
 
 
-def load(benchmark: DataFrame, *, rate: float = RATE, recall: float = RECALL, item_id: str = "item_id", text: str = "text", block_words: int = BLOCK_WORDS) -> list[Benchmark]:
-    """The benchmark in blocks of about ``block_words`` words, read to the driver one after the other."""
-    hasher, out, ids, items, held = word_hasher(), [], [], [], 0
+def load(benchmark: DataFrame, *, rate: float = RATE, recall: float = RECALL, item_id: str = "item_id", text: str = "text", block_words: int = BLOCK_WORDS) -> Iterator[list[Benchmark]]:
+    """The benchmark in blocks of about ``block_words`` words, one on the driver at a time.
 
-    def close() -> None:
-        nonlocal ids, items, held
-        if items:
-            block = Benchmark(ids, items, rate)
-            block.calibrate(recall)
-            out.append(block)
-        ids, items, held = [], [], 0
+    The items of a block are parted by their shape, so that a short one does not make the windows of the others short.
+    """
+    hasher, held = word_hasher(), 0
+    shapes: dict[tuple[int, int, int], tuple[list, list[list[int]]]] = {}
+
+    def block() -> list[Benchmark]:
+        out = [Benchmark(ids, items, rate) for ids, items in shapes.values()]
+        for part in out:
+            part.calibrate(recall)
+        return out
 
     for row in benchmark.select(F.col(item_id).alias("i"), F.col(text).alias("t")).where("t IS NOT NULL").toLocalIterator():
         words, _ = sequences(hasher, [row["t"]])
         if len(words):
+            ids, items = shapes.setdefault(shape(len(words)), ([], []))
             ids.append(row["i"])
             items.append(words.tolist())
             held += len(words)
         if held >= block_words:
-            close()
-    close()
-    return out
+            yield block()
+            shapes, held = {}, 0
+    if shapes:
+        yield block()
 
 
 _hashers: dict[str, Shingler] = {}
@@ -251,8 +268,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, rate: float = RATE, recall
     out, so their names cannot clash; empty tables give an empty result.
     """
     spark = docs.sparkSession
-    d, i = docs.schema[doc_id].dataType.simpleString(), benchmark.schema[item_id].dataType.simpleString()
-    schema = f"doc_id {d}, item_id {i}, start_word int, n_words int, edits int"
+    d, i = docs.schema[doc_id].dataType, benchmark.schema[item_id].dataType
+    schema = f"doc_id {d.simpleString()}, item_id {i.simpleString()}, start_word int, n_words int, edits int"
+    kinds = pa.schema([("doc_id", to_arrow_type(d)), ("item_id", to_arrow_type(i)), ("start_word", pa.int32()), ("n_words", pa.int32()), ("edits", pa.int32())])
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     out = None
     for block in load(benchmark, rate=rate, recall=recall, item_id=item_id, text="text"):
@@ -260,14 +278,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, rate: float = RATE, recall
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             hasher = _hashers.setdefault("words", word_hasher())
-            block = shared.value
-            kinds = pa.schema([("doc_id", _arrow(d)), ("item_id", _arrow(i)), ("start_word", pa.int32()), ("n_words", pa.int32()), ("edits", pa.int32())])
             for batch in batches:
                 texts, ids = [t or "" for t in batch.column(1).to_pylist()], batch.column(0).to_pylist()
                 for a, b in chunks(texts):
-                    found = block.search(*sequences(hasher, texts[a:b]))
-                    if found:
-                        rows = [(ids[a + t], block.ids[k], begin, length, edits) for t, k, begin, length, edits in found]
+                    words, counts = sequences(hasher, texts[a:b])
+                    rows = [(ids[a + t], part.ids[k], begin, length, edits) for part in shared.value for t, k, begin, length, edits in part.search(words, counts)]
+                    if rows:
                         yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), kinds, strict=True)], schema=kinds)
 
         found = docs.mapInArrow(run, schema)
@@ -275,13 +291,15 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, rate: float = RATE, recall
     return spark.createDataFrame([], schema) if out is None else out
 
 
-def _arrow(kind: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+def remove(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """Documents that hold no benchmark item; all columns stay, whatever their names.
 
-
-def remove(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", **options) -> DataFrame:
-    """Documents that hold no benchmark item; all columns stay. Documents without an id are judged by their text."""
-    key = "_row_key"
-    keyed = docs.withColumn(key, F.concat_ws(":", F.col(doc_id).cast("string"), F.xxhash64(F.coalesce(options.get("text", "text"), F.lit(""))).cast("string")))
-    held = matches(keyed, benchmark, doc_id=key, **options).select(F.col("doc_id").alias(key)).distinct()
-    return keyed.join(held, key, "left_anti").drop(key).select(*docs.columns)
+    Rows are judged by their id and text together, so a row without an id by its text. Null and empty texts hold
+    nothing and stay; with an empty benchmark all rows do.
+    """
+    key = unused(docs, "row_key")
+    keyed = docs.withColumn(key, F.concat_ws(":", F.col(doc_id).cast("string"), F.xxhash64(F.coalesce(text, F.lit(""))).cast("string")))
+    held = matches(keyed.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), benchmark, **options)
+    held = written(held.select(F.col("doc_id").alias(key)).distinct(), "contaminated")
+    few = held.count() <= BROADCAST_ROWS
+    return keyed.join(F.broadcast(held) if few else held, key, "left_anti").select(*docs.columns)
