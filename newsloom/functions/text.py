@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -15,8 +16,12 @@ PAYWALLS = [
     "this article is for subscribers", "仅限会员", "会员专享", "登录后阅读全文", "订阅后阅读全文", "付费后阅读全文",
 ]
 CUT_ENDING = r"(?i)(\.{3}|…|read more|continue reading|阅读全文|查看全文|点击展开)\s*$"
+#: Characters at the end of a stripped text that hold any of these endings.
+CUT_CHARS = 20
 SECRET = r"(?i)((?:access[_-]?token|api[_-]?key|password|secret|authorization)(?:%3[dD]|=|:)\s*)[^&\s,;]+"
 RANKS = {"missing": 0, "unknown": 1, "incomplete": 2, "full": 3}
+#: The blanks of Unicode.
+BLANKS = "\t\n\x0b\x0c\r \x85\xa0                　"
 
 
 def present(c: Column | str) -> Column:
@@ -24,9 +29,14 @@ def present(c: Column | str) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
 
 
+def once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with the value computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     """Without blanks of any kind at both ends; null stays null."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.trim(c, F.lit(BLANKS))
 
 
 def _any(conditions: list[Column]) -> Column:
@@ -48,30 +58,34 @@ def is_challenge_page(html: Column) -> Column:
 
 
 def assess(content: Column, method: Column = None, declared_full: Column = None) -> Column:
-    """Completeness of a text as a struct (status, issue); the first rule that holds decides."""
-    text = strip(present(content))
-    low = F.lower(text)
+    """Completeness of a text as a struct (status, issue); the first rule that holds decides.
+
+    The text in lower case is made once, and the verdict is the number of one rule, looked up in a constant.
+    """
     method = present(method) if method is not None else F.lit("")
     declared = F.coalesce(declared_full, F.lit(False)) if declared_full is not None else F.lit(False)
-    rules = [
-        (text == "", "missing", "empty_content"),
-        (has_all_of(low, TEXT_CHALLENGES), "missing", "access_challenge"),
-        (_any([low.contains(m) for m in PAYWALLS]), "incomplete", "paywall_or_login_wall"),
-        (text.rlike(CUT_ENDING), "incomplete", "truncated_ending"),
-        ((method == "rss_excerpt") & ~declared, "incomplete", "rss_excerpt_only"),
-        (method == "public_preview", "incomplete", "public_preview_only"),
-        (method != "", "full", ""),
-    ]
-    out = F.struct(F.lit("unknown").alias("status"), F.lit("legacy_record_not_verified").alias("issue"))
-    for holds, status, issue in reversed(rules):
-        out = F.when(holds, F.struct(F.lit(status).alias("status"), F.lit(issue).alias("issue"))).otherwise(out)
-    return out
+
+    def verdict(low: Column) -> Column:
+        rules = [
+            (low == "", "missing", "empty_content"),
+            (has_all_of(low, TEXT_CHALLENGES), "missing", "access_challenge"),
+            (_any([low.contains(m) for m in PAYWALLS]), "incomplete", "paywall_or_login_wall"),
+            (F.right(low, F.lit(CUT_CHARS)).rlike(CUT_ENDING), "incomplete", "truncated_ending"),
+            ((method == "rss_excerpt") & ~declared, "incomplete", "rss_excerpt_only"),
+            (method == "public_preview", "incomplete", "public_preview_only"),
+            (method != "", "full", ""),
+            (F.lit(True), "unknown", "legacy_record_not_verified"),
+        ]
+        named = F.array(*(F.struct(F.lit(status).alias("status"), F.lit(issue).alias("issue")) for _, status, issue in rules))
+        number = reduce(lambda out, k: F.when(rules[k][0], k).otherwise(out), range(len(rules) - 2, -1, -1), F.lit(len(rules) - 1))
+        return F.get(named, number)
+
+    return once(F.lower(strip(present(content))), verdict)
 
 
 def content_rank(status: Column) -> Column:
     """missing 0, unknown and anything else 1, incomplete 2, full 3."""
-    low = F.lower(strip(present(status)))
-    return reduce(lambda out, kv: F.when(low == kv[0], kv[1]).otherwise(out), RANKS.items(), F.lit(1))
+    return once(F.lower(strip(present(status))), lambda low: reduce(lambda out, kv: F.when(low == kv[0], kv[1]).otherwise(out), RANKS.items(), F.lit(1)))
 
 
 def title_key(title: Column) -> Column:
