@@ -54,11 +54,17 @@ def worth(status: Column, content: Column) -> Column:
 
 
 def best_by(rows: DataFrame, key: str, seq: str, *, status: str = "content_status", content: str = "content") -> DataFrame:
-    """The best record of each key; of equals the one that came first. One pass of partial aggregation, no sort."""
-    rest = [c for c in rows.columns if c != key]
-    order = F.struct(worth(F.col(status), F.col(content)).alias("worth"), (-F.col(seq)).alias("first"))
-    best = rows.groupBy(key).agg(F.max_by(F.struct(*rest), order).alias("best"))
-    return best.select(key, *(F.col(f"best.{c}").alias(c) for c in rest)).select(*rows.columns)
+    """The best record of each key; of equals the one that came first (``seq`` is a whole number, once for each key).
+
+    Tier, length and place make one number of fixed width, whose maximum is summed up by hashing; the texts themselves
+    are moved once, for the join with the winners, and not sorted.
+    """
+    w = worth(F.col(status), F.col(content))
+    number = (w["tier"].cast("decimal(1,0)") * F.lit(10**10).cast("decimal(11,0)") + w["chars"].cast("decimal(10,0)")) * F.lit("1" + "0" * 19).cast("decimal(20,0)") - F.col(seq).cast("decimal(19,0)")
+    ranked = rows.withColumn("_rank", number.cast("decimal(38,0)"))
+    best = ranked.groupBy(key).agg(F.max("_rank").alias("_rank")).hint("shuffle_hash")
+    same = F.col(f"r.{key}").eqNullSafe(F.col(f"b.{key}")) & (F.col("r._rank") == F.col("b._rank"))
+    return ranked.alias("r").join(best.alias("b"), same, "left_semi").select(*rows.columns)
 
 
 def fold_best(rows: DataFrame, key: str, seq: str, source: str, title_placeholder: str) -> DataFrame:
@@ -91,7 +97,8 @@ def upsert(stored: DataFrame, incoming: DataFrame, key: str, seq: str) -> DataFr
     later copies stay as they are. Columns of the classification come from the stored row unless the new one's stand.
     """
     new = best_by(incoming, key, seq)
-    heads = stored.withColumn("_nth", F.row_number().over(Window.partitionBy(key).orderBy(seq)))
+    first = stored.groupBy(key).agg(F.min(seq).alias("_first"))
+    heads = stored.join(first, key, "left").withColumn("_nth", F.when(F.col(seq) == F.col("_first"), 1).otherwise(2)).drop("_first").select(*stored.columns, "_nth")
     cols = [c for c in stored.columns if c not in (key, seq)]
     joined = heads.alias("o").join(new.alias("n"), (F.col(f"o.{key}") == F.col(f"n.{key}")) & (F.col("o._nth") == 1), "full_outer")
     old_there, new_there = F.col("o._nth").isNotNull(), F.col(f"n.{key}").isNotNull()
