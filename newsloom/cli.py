@@ -54,7 +54,7 @@ def main(argv: list[str] | None = None) -> int:
     after = incidents.resolve(queue, args.ids, args.action, F.lit(now))
     changed = not after.exceptAll(queue).isEmpty()
     if changed:
-        write_version(after, f"{args.home}/queue", f"{path.rpartition('version=')[2]}-{now.replace(':', '')}")
+        write_version(after, f"{args.home}/queue", args.action)
     return int(not changed)
 
 

@@ -28,6 +28,10 @@ def _table(spark: SparkSession, home: str, name: str, schema: str) -> DataFrame:
 def run(spark: SparkSession, home: str, articles: DataFrame, health: DataFrame, day: str, now: str, *, backfill: Callable[[DataFrame], None] | None = None, send: Callable[[str], bool] | None = None) -> dict[str, str]:
     """One day's cycle; returns the paths of the new versions. Run again for the day it writes the same tables.
 
+    Every run adds versions and leaves those that it reads alone, so a run that fails half way loses nothing. Attempts
+    are known by their id: a day that is run again adds none to the ledger and none to a channel's streak, and what a
+    person has resolved in between stays resolved, whatever ``now`` the run is given.
+
     ``articles`` is the article table, ``health`` the run's health rows. ``backfill`` is called with the confirmed
     incidents before articles are counted again; ``send`` delivers messages.
     """
@@ -45,7 +49,7 @@ def run(spark: SparkSession, home: str, articles: DataFrame, health: DataFrame,
     judged = audit.channel_anomalies(audit.zero_streak(audit.with_baseline(rich, "article_count", "source")))
     out["audit"] = write_version(judged, f"{home}/audit", day)
 
-    queue = _table(spark, home, "queue", QUEUE).where(F.col("updated_at") < now)
+    queue = _table(spark, home, "queue", QUEUE)
     gaps = audit.missing_runs(stats, audit.daily_summary(rich), found).withColumn("crawl_status", F.lit("failed")).withColumn("article_count", F.lit(0).cast("long")).withColumn("expected_daily", F.lit(True))
     cells = rich.where(F.col("date") == target).select("date", "source", "frequency", "crawl_status", "article_count", "expected_daily").unionByName(gaps)
     reasons = health.select("source", "reason", "candidates_seen", "pages_fetched")

@@ -91,22 +91,32 @@ def export_day(rows: DataFrame, folder: str, day: dt.date, columns: list[str], d
     return path
 
 
-def write_version(rows: DataFrame, folder: str, version: str) -> str:
-    """A state table as a new version beside the old ones; readers take the last that is complete."""
-    path = f"{folder}/version={version}"
-    rows.write.mode("overwrite").parquet(path)
+def versions(spark: SparkSession, folder: str) -> list[tuple[int, str, str, bool]]:
+    """Versions of a state table in the order they were begun: number, label, path, whether it was committed."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = []
+    for status in fs.listStatus(root) if fs.exists(root) else []:
+        if name := re.fullmatch(r"version=(\d+)-(.*)", status.getPath().getName()):
+            found.append((int(name[1]), name[2], str(status.getPath()), fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS"))))
+    return sorted(found)
+
+
+def write_version(rows: DataFrame, folder: str, label: str) -> str:
+    """A state table as a new version behind all others, which stay as they are, so ``rows`` may be made of them.
+
+    A version counts once its ``_SUCCESS`` marker is there: a write that fails, or is still under way, is never read.
+    """
+    last = max((n for n, *_ in versions(rows.sparkSession, folder)), default=0)
+    path = f"{folder}/version={last + 1:010d}-{label}"
+    rows.write.mode("error").parquet(path)
     return path
 
 
 def latest_version(spark: SparkSession, folder: str) -> str | None:
     """Path of the last version that was committed, on any file system."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return None
-    done = [str(s.getPath()) for s in fs.listStatus(root) if fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
-    return max(done, default=None)
+    return max(((n, path) for n, _, path, done in versions(spark, folder) if done), default=(0, None))[1]
 
 
 def purge_challenges(rows: DataFrame) -> DataFrame:

@@ -5,25 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsloom.functions.urls import canonical_url
 from newsloom.operators.articles import upsert
-from newsloom.sources.files import ARTICLE, latest_version, write_version
+from newsloom.sources.files import ARTICLE, latest_version, versions, write_version
 
 
-def ingest(spark: SparkSession, landing: str, table: str, checkpoint: str, key: str = "url"):
-    """A query that merges landing JSON lines into versions of a table, each micro-batch once.
+def ingest(spark: SparkSession, landing: str, table: str, checkpoint: str):
+    """A query that merges landing JSON lines into versions of a table by canonical address, each micro-batch once.
 
-    A batch that is run again writes the same version, so the table does not change.
+    A batch that is run again finds its version committed and changes nothing. Rows of a batch are numbered behind
+    all stored ones, so the first of equals stays the first. Each batch writes the whole table anew: let a trigger
+    gather much before it runs.
     """
     incoming = spark.readStream.schema(ARTICLE).json(landing)
 
     def merge(batch: DataFrame, epoch: int) -> None:
-        new = batch.withColumn("_seq", F.monotonically_increasing_id() + F.lit(epoch << 40))
-        version = f"{epoch:012d}"
-        last = latest_version(spark, table)
-        if last and last.endswith(f"version={version}"):
+        label = f"batch{epoch}"
+        if any(done and name == label for _, name, _, done in versions(spark, table)):
             return
-        merged = upsert(spark.read.parquet(last), new, key, "_seq").drop("change") if last else upsert(new.limit(0), new, key, "_seq").drop("change")
-        write_version(merged, table, version)
+        last = latest_version(spark, table)
+        stored = spark.read.parquet(last) if last else None
+        begin = (stored.agg(F.max("_seq")).first()[0] or 0) + 1 if last else 0
+        new = batch.withColumn("_seq", F.monotonically_increasing_id() + F.lit(begin)).withColumn("_key", canonical_url("url"))
+        write_version(upsert(new.limit(0) if stored is None else stored, new, "_key", "_seq").drop("change"), table, label)
 
     return incoming.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

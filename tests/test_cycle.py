@@ -5,7 +5,33 @@ from newsloom.plans import cycle
 from newsloom.sources import listings
 
 
-def test_cycle_twice_is_the_same(spark, tmp_path):
+def test_a_day_run_again(spark, tmp_path):
+    home = str(tmp_path)
+    articles = spark.createDataFrame([("2024-01-04", "https://a/1", "a", "full", "x" * 600)], "published_at string, url string, source_name string, content_status string, content string")
+    health = spark.createDataFrame([("a", "每日", "healthy", "", 1, 1), ("b", "每日", "failed", "HTTP 403", 0, 0)], "source string, frequency string, status string, reason string, candidates_seen long, pages_fetched long")
+
+    def tables(out):
+        return {name: sorted(str({k: v for k, v in r.asDict().items() if k not in ("updated_at", "notified_at")}) for r in spark.read.parquet(path).collect()) for name, path in out.items()}
+
+    sent = []
+    run = lambda now: cycle.run(spark, home, articles, health, "2024-01-04", now, send=lambda m: sent.append(m) or True)
+    first = run("2024-01-04T08")
+    before = tables(first)
+    for now in ("2024-01-04T09", "2024-01-04T09", "2023-12-31T00"):  # later, once more, and with a clock gone back
+        again = tables(run(now))
+        assert again == {k: v for k, v in before.items() if k in again} and len(sent) == 1
+    assert tables(first) == before  # what was read is still there
+    ledger = before["ledger"]
+    assert len(ledger) == len(set(ledger)) == 2
+    assert cli.main(["resolve", "--home", home, "ignore", "2024-01-04::b"]) == 0
+    out = run("2024-01-04T10")
+    assert [r["status"] for r in spark.read.parquet(out["queue"]).collect()] == ["ignored"]
+    half = tmp_path / "queue" / "version=0000000099-2024-01-05"  # a write that did not end
+    half.mkdir()
+    assert [r["status"] for r in spark.read.parquet(run("2024-01-04T11")["queue"]).collect()] == ["ignored"]
+
+
+def test_cycle_over_days(spark, tmp_path):
     home = str(tmp_path)
     articles = spark.createDataFrame([("2024-01-04", "https://a/1", "a", "full", "x" * 600), ("2024-01-05", "https://a/2", "a", "full", "x" * 600)], "published_at string, url string, source_name string, content_status string, content string")
     schema = "source string, frequency string, status string, reason string, candidates_seen long, pages_fetched long"

@@ -127,7 +127,10 @@ def test_files(spark, tmp_path):
     (tmp_path / "s.xlsx").write_bytes(files.write_workbook({"s": (headers, [["n", "", "", "", "每日", "", "", "https://x"], [""] * 8])}))
     assert [(r["name"], r["url"]) for r in files.read_sources(spark, str(tmp_path / "s.xlsx")).collect()] == [("n", "https://x")]
     state = files.write_version(spark.range(3).toDF("id"), str(tmp_path / "state"), "0001")
-    assert files.latest_version(spark, str(tmp_path / "state")).endswith("version=0001") and spark.read.parquet(state).count() == 3
+    assert files.latest_version(spark, str(tmp_path / "state")).endswith("version=0000000001-0001") and spark.read.parquet(state).count() == 3
+    again = files.write_version(spark.read.parquet(state).limit(2), str(tmp_path / "state"), "0001")  # a label that is there is no reason to overwrite
+    assert again != state and files.latest_version(spark, str(tmp_path / "state")).endswith(again.rpartition("/")[2])
+    assert spark.read.parquet(state).count() == 3 and spark.read.parquet(again).count() == 2
 
 
 def test_export_and_download(spark, tmp_path):
@@ -144,8 +147,8 @@ def test_streaming_upsert_is_idempotent(spark, tmp_path):
     from newsloom.streaming.ingest import ingest
 
     (tmp_path / "in").mkdir()
-    for k, text in enumerate(["short", "longer text"]):
-        (tmp_path / "in" / f"{k}.json").write_text(json.dumps({"url": "u", "content": text, "content_status": "unknown"}) + "\n")
+    for k, (url, text) in enumerate([("https://h.org/u", "short"), ("https://h.org/u?utm_source=x", "longer text")]):
+        (tmp_path / "in" / f"{k}.json").write_text(json.dumps({"url": url, "content": text, "content_status": "unknown"}) + "\n")
         ingest(spark, str(tmp_path / "in"), str(tmp_path / "t"), str(tmp_path / "c")).awaitTermination()
     rows = spark.read.parquet(files.latest_version(spark, str(tmp_path / "t"))).collect()
     assert [r["content"] for r in rows] == ["longer text"]
