@@ -19,9 +19,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Rows in the sample, children of a node, sample rows in a leaf, and queries that calibrate the search.
-SAMPLE, BRANCH, LEAF, PROBES = 20_000, 12, 48, 200
-#: Recall wanted on the sample; rows of a leaf that one task compares at a time.
-RECALL, CHUNK = 0.97, 2048
+SAMPLE, BRANCH, LEAF, PROBES = 50_000, 12, 24, 200
+#: Recall wanted on the sample; rows of a leaf, and queries, that one task compares at a time; queries that walk in one task.
+RECALL, CHUNK, ASKED, WALKERS = 0.97, 2048, 2048, 64
 
 
 @dataclass
@@ -157,9 +157,13 @@ def neighbours(vectors: DataFrame, queries: Column, *, k: int = 10, vec_id: str
     placed = base.mapInArrow(place, f"vec_id {kind}, v array<double>, q boolean, leaf int")
     held = {r["leaf"]: r["count"] for r in placed.groupBy("leaf").count().collect()}  # a row a leaf
     sizes = spark.sparkContext.broadcast(np.array([held.get(i, 0) for i in range(tree.value.leaves())], np.int64))
-    salts = F.create_map(*(F.lit(x) for i, n in held.items() if n > CHUNK for x in (i, -(-n // CHUNK)))) if any(n > CHUNK for n in held.values()) else F.lit(None).cast("map<int,int>")
-    stored = placed.select("vec_id", "v", "leaf", F.pmod(F.xxhash64("vec_id"), F.coalesce(F.try_element_at(salts, F.col("leaf")), F.lit(1))).cast("int").alias("salt"))
     asked = base.where("q").groupBy(F.col("vec_id").alias("query_id")).agg(F.min("v").alias("v"))
+    n_asked = asked.count()
+    # Large leaves are parted by rows, and all leaves by queries if many meet in one; a task gets one part of each.
+    deals = max(1, -(-n_asked * tree.value.visits // (tree.value.leaves() * ASKED)))
+    salts = spark.createDataFrame([(i, -(-n // CHUNK)) for i, n in held.items() if n > CHUNK], "leaf int, salts int")  # a row a leaf
+    stored = placed.join(F.broadcast(salts), "leaf", "left")
+    stored = stored.select("vec_id", "v", "leaf", F.pmod(F.xxhash64("vec_id"), F.coalesce("salts", F.lit(1))).cast("int").alias("salt"), F.explode(F.sequence(F.lit(0), F.lit(deals - 1))).alias("deal"))
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = sizes.value
@@ -178,7 +182,8 @@ def neighbours(vectors: DataFrame, queries: Column, *, k: int = 10, vec_id: str
             take = pa.array(at)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(leaf, pa.int32()), pa.array(salt, pa.int32())], names=["query_id", "v", "leaf", "salt"])
 
-    visits = asked.mapInArrow(visit, f"query_id {kind}, v array<double>, leaf int, salt int")
+    visits = asked.repartition(max(1, -(-n_asked // WALKERS))).mapInArrow(visit, f"query_id {kind}, v array<double>, leaf int, salt int")
+    visits = visits.withColumn("deal", F.pmod(F.xxhash64("query_id"), F.lit(deals)).cast("int"))
 
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         parts = []
@@ -193,6 +198,6 @@ def neighbours(vectors: DataFrame, queries: Column, *, k: int = 10, vec_id: str
                 parts.append(pd.DataFrame({"query_id": query, "vec_id": ids[best], "score": gaps[best]}))
         return pd.concat(parts) if parts else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
-    near = visits.groupBy("leaf", "salt").cogroup(stored.groupBy("leaf", "salt")).applyInPandas(compare, f"query_id {kind}, vec_id {kind}, score double")
+    near = visits.groupBy("leaf", "salt", "deal").cogroup(stored.groupBy("leaf", "salt", "deal")).applyInPandas(compare, f"query_id {kind}, vec_id {kind}, score double")
     ranked = near.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id")))
     return ranked.where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
