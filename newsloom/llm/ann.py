@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 #: Rows in the sample, children of a node, sample rows in a leaf, and queries that calibrate the search.
 SAMPLE, BRANCH, LEAF, PROBES = 50_000, 12, 24, 200
-#: Recall wanted on the sample; rows of a leaf, and queries, that one task compares at a time; queries that walk in one task.
+#: Recall wanted on the sample; rows of a bin of leaves, and queries, that one task compares; queries that walk in one task.
 RECALL, CHUNK, ASKED, WALKERS = 0.97, 2048, 2048, 64
 
 
@@ -33,6 +33,7 @@ class Tree:
     width: list[int] = field(default_factory=list)
     leaf: list[int] = field(default_factory=list)
     visits: int = 1
+    stacked: dict[int, np.ndarray] = field(default_factory=dict)
 
     def leaves(self) -> int:
         return max(self.leaf, default=0) + 1
@@ -61,7 +62,9 @@ class Tree:
             _, at = heapq.heappop(queue)
             while self.width[at]:
                 kids = range(self.first[at], self.first[at] + self.width[at])
-                gaps = ((np.stack(self.centre[kids.start : kids.stop]) - query) ** 2).sum(1).tolist()
+                if at not in self.stacked:
+                    self.stacked[at] = np.stack(self.centre[kids.start : kids.stop])
+                gaps = ((self.stacked[at] - query) ** 2).sum(1).tolist()
                 best = min(range(len(gaps)), key=gaps.__getitem__)
                 for i, k in enumerate(kids):
                     if i != best:
@@ -118,6 +121,20 @@ def build(points: np.ndarray, *, branch: int = BRANCH, leaf: int = LEAF, recall:
     return tree
 
 
+def packed(sizes: list[int], most: int) -> tuple[list[int], list[int]]:
+    """The bin of every leaf, and the parts of every bin: neighbouring leaves share a bin of ``most`` rows, a larger leaf
+    has one of its own that is dealt into parts of as many."""
+    bins, parts, rows = [], [], most + 1
+    for n in sizes:
+        if rows + n > most:
+            parts.append(1)
+            rows = 0
+        rows += n
+        parts[-1] = max(1, -(-rows // most))
+        bins.append(len(parts) - 1)
+    return bins, parts
+
+
 def usable(vector: Column, size: int) -> Column:
     """Whether a vector takes part: of the usual length, all components there and finite, not all zero."""
     good = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -156,48 +173,52 @@ def neighbours(vectors: DataFrame, queries: Column, *, k: int = 10, vec_id: str
 
     placed = base.mapInArrow(place, f"vec_id {kind}, v array<double>, q boolean, leaf int")
     held = {r["leaf"]: r["count"] for r in placed.groupBy("leaf").count().collect()}  # a row a leaf
-    sizes = spark.sparkContext.broadcast(np.array([held.get(i, 0) for i in range(tree.value.leaves())], np.int64))
+    bins, parts = packed([held.get(i, 0) for i in range(tree.value.leaves())], CHUNK)
+    shared = spark.sparkContext.broadcast((np.array(bins), np.array(parts), np.array([held.get(i, 0) for i in range(len(bins))])))  # a value a leaf
     asked = base.where("q").groupBy(F.col("vec_id").alias("query_id")).agg(F.min("v").alias("v"))
     n_asked = asked.count()
-    # Large leaves are parted by rows, and all leaves by queries if many meet in one; a task gets one part of each.
-    deals = max(1, -(-n_asked * tree.value.visits // (tree.value.leaves() * ASKED)))
-    salts = spark.createDataFrame([(i, -(-n // CHUNK)) for i, n in held.items() if n > CHUNK], "leaf int, salts int")  # a row a leaf
-    stored = placed.join(F.broadcast(salts), "leaf", "left")
-    stored = stored.select("vec_id", "v", "leaf", F.pmod(F.xxhash64("vec_id"), F.coalesce("salts", F.lit(1))).cast("int").alias("salt"), F.explode(F.sequence(F.lit(0), F.lit(deals - 1))).alias("deal"))
+    deals = max(1, -(-n_asked // ASKED))
+    homes = spark.createDataFrame([(i, int(b), int(parts[b])) for i, b in enumerate(bins)], "leaf int, bin int, parts int")  # a row a leaf
+    stored = placed.join(F.broadcast(homes), "leaf").select("vec_id", "v", "leaf", "bin", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int").alias("part"), F.explode(F.sequence(F.lit(0), F.lit(deals - 1))).alias("deal"))
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = sizes.value
+        bin_of, parts_of, count = shared.value
         for batch in batches:
-            out: list[tuple[int, int, int]] = []
             points = np.asarray(batch.column(1).flatten(), float).reshape(batch.num_rows, -1)
+            rows: list[tuple[int, int, int, np.ndarray]] = []
             for i in range(batch.num_rows):
-                rows = visited = 0
+                seen, found = [], 0
                 for leaf in tree.value.walk(points[i]):
-                    if visited >= tree.value.visits and rows > k:
+                    if len(seen) >= tree.value.visits and found > k:
                         break
-                    visited += 1
-                    rows += int(count[leaf])
-                    out += [(i, leaf, s) for s in range(-(-int(count[leaf]) // CHUNK))]
-            at, leaf, salt = (np.array(x, np.int64) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 3
-            take = pa.array(at)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(leaf, pa.int32()), pa.array(salt, pa.int32())], names=["query_id", "v", "leaf", "salt"])
-
-    visits = asked.repartition(max(1, -(-n_asked // WALKERS))).mapInArrow(visit, f"query_id {kind}, v array<double>, leaf int, salt int")
+                    seen.append(leaf)
+                    found += int(count[leaf])
+                leaves = np.sort(np.array(seen, np.int32))
+                for own in np.split(leaves, np.flatnonzero(np.diff(bin_of[leaves])) + 1):
+                    rows += [(i, int(bin_of[own[0]]), part, own) for part in range(int(parts_of[bin_of[own[0]]]))]
+            at, bin_, part, leaves_ = ([r[j] for r in rows] for j in range(4))
+            take = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(bin_, pa.int32()), pa.array(part, pa.int32()), pa.array(leaves_, pa.list_(pa.int32()))], names=["query_id", "v", "bin", "part", "leaves"])
+
+    visits = asked.repartition(max(1, -(-n_asked // WALKERS))).mapInArrow(visit, f"query_id {kind}, v array<double>, bin int, part int, leaves array<int>")
     visits = visits.withColumn("deal", F.pmod(F.xxhash64("query_id"), F.lit(deals)).cast("int"))
 
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        parts = []
+        asks, found, scores = [], [], []
         if len(left) and len(right):
-            ids, points = right["vec_id"].to_numpy(), np.array(right["v"].tolist(), float)
-            order = np.argsort(ids, kind="stable")
-            ids, points = ids[order], points[order]
-            for query, v in zip(left["query_id"].to_numpy(), left["v"], strict=True):
-                gaps = np.sqrt(((points - np.asarray(v)) ** 2).sum(1))
-                other = np.flatnonzero(ids != query)
-                best = other[np.argsort(gaps[other], kind="stable")[:k]]
-                parts.append(pd.DataFrame({"query_id": query, "vec_id": ids[best], "score": gaps[best]}))
-        return pd.concat(parts) if parts else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-
-    near = visits.groupBy("leaf", "salt", "deal").cogroup(stored.groupBy("leaf", "salt", "deal")).applyInPandas(compare, f"query_id {kind}, vec_id {kind}, score double")
+            right = right.sort_values("vec_id", kind="stable")
+            ids, leaf, points = right["vec_id"].to_numpy(), right["leaf"].to_numpy(), np.array(right["v"].tolist(), float)
+            for query, v, leaves in zip(left["query_id"].to_numpy(), left["v"], left["leaves"], strict=True):
+                take = np.flatnonzero(np.isin(leaf, leaves) & (ids != query))
+                gaps = np.sqrt(((points[take] - np.asarray(v)) ** 2).sum(1))
+                best = np.argsort(gaps, kind="stable")[:k]
+                asks.append(np.repeat(query, len(best)))
+                found.append(ids[take[best]])
+                scores.append(gaps[best])
+        columns = [np.concatenate(x) if x else np.zeros(0) for x in (asks, found, scores)]
+        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), columns, strict=True)))
+
+    one = ("bin", "part", "deal")
+    near = visits.groupBy(*one).cogroup(stored.groupBy(*one)).applyInPandas(compare, f"query_id {kind}, vec_id {kind}, score double")
     ranked = near.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id")))
     return ranked.where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
