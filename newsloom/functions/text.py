@@ -18,6 +18,23 @@ PAYWALLS = [
 CUT_ENDING = r"(?i)(\.{3}|…|read more|continue reading|阅读全文|查看全文|点击展开)\s*$"
 #: Characters at the end of a stripped text that hold any of these endings.
 CUT_CHARS = 20
+#: Where a page's body stops, lines of legal notices that end it, what a line begins with that is a label,
+#: and the channel that gives its own name for a title.
+STOP_MARKERS = [
+    "\nPopular content\n", "\nRelated Articles\n", "\nRelated Stories\n", "\nAdvertisement\n", "\nAdvertisements\n", "\nShare\n", "\nSign up for Battery Technology newsletters\n",
+    "\nWant more Battery Technology in your search results?\n", "\nYour Privacy Choices\n", "\nExplore more about Hymson", "\nThis is a sponsored article", "\n相关阅读\n", "\n相关推荐\n", "\n热门推荐\n",
+    "\n更多新闻\n", "\n版权声明\n", "\n免责声明\n",
+]
+LEGAL_LINES = [
+    "版权声明", "免责声明", "版权归", "未经授权", "如需转载", "This content is protected by copyright", "If you want to cooperate", "This is a sponsored article", "If you'd like to inquire",
+    "If you’d like to inquire", "Explore more about", "Sign up for Battery Technology newsletters", "Want more Battery Technology in your search results", "Your Privacy Choices",
+]
+LABELS = (
+    r"(?iU)^(?:source|from|author|by|published|updated|editor|copyright|tags?|share|newsletter|sign up|want more|your privacy choices|advertisement|sponsored|来源|来自|作者|记者|编辑|责任编辑|"
+    r"发布时间|发布日期|时间|关键词|标签|声明|版权|分享到|分享|打印|字号|阅读|浏览|打开网易新闻 查看精彩图片|上一篇|下一篇|相关|推荐|热门|更多)\b|"
+    r"^(?:来源|作者|编辑|责任编辑|发布时间|发布日期|时间|关键词|标签|版权|声明)[：:]"
+)
+NAMED = "ne时代"
 SECRET = r"(?i)((?:access[_-]?token|api[_-]?key|password|secret|authorization)(?:%3[dD]|=|:)\s*)[^&\s,;]+"
 RANKS = {"missing": 0, "unknown": 1, "incomplete": 2, "full": 3}
 #: The blanks of Unicode.
@@ -111,6 +128,38 @@ def clip(text: Column, limit: int) -> Column:
     return F.when(F.length(flat) <= limit, flat).otherwise(F.concat(F.left(flat, F.lit(head)), F.lit("\n……[正文截断]……\n"), F.right(flat, F.lit(tail))))
 
 
+def is_body_line(line: Column) -> Column:
+    """Whether a stripped line is body: not short, no address, domain, label or mere date."""
+    apart = line.rlike(r"(?i)[\w.+-]+@[\w.-]+\.[a-z]{2,}") | line.rlike(r"(?i)^(?:[a-z0-9-]+\.)+[a-z]{2,}(?:/\S*)?$") | line.rlike(LABELS) | line.rlike(r"^[\d\s:/.\-年月日时分秒]+$")
+    return (F.length(line) >= 8) & ~apart
+
+
+def trim_body(text: Column) -> Column:
+    """The body of a page's text: up to the first stop marker or legal line, its body lines only.
+
+    A marker at the very beginning stops nothing.
+    """
+
+    def shortened(t: Column) -> Column:
+        at = [F.instr(t, m) for m in STOP_MARKERS]
+        ends = F.least(*(F.when(a > 1, a - 1).otherwise(F.length(t)) for a in at))
+        return F.left(t, ends)
+
+    def kept(lines: Column) -> Column:
+        legal = F.array_position(F.transform(lines, lambda x: _any([x.contains(m) for m in LEGAL_LINES])), F.lit(True))
+        return F.filter(F.slice(lines, F.lit(1), F.when(legal > 0, legal - 1).otherwise(F.size(lines)).cast("int")), is_body_line)
+
+    lines = F.transform(F.split(once(clean(text), shortened), "\n"), strip)
+    return clean(F.array_join(once(lines, kept), "\n"))
+
+
+def repaired_title(title: Column, content: Column, source: Column) -> Column:
+    """The title, or for the channel NAMED that puts its own name there, the first other line of the text, cut to 500."""
+    named = lambda c: F.lower(strip(present(c))) == NAMED
+    lines = F.filter(F.transform(F.split(present(content), r"\r\n|\n|\r"), strip), lambda x: (x != "") & (F.lower(x) != NAMED))
+    return F.when(named(source) & (named(title) | (strip(present(title)) == "")), F.coalesce(F.left(F.get(lines, F.lit(0)), F.lit(500)), title)).otherwise(title)
+
+
 def body_lines(text: Column) -> Column:
     """Lines of a body that are neither short nor an address, a bare domain or a date: an array."""
     lines = F.transform(F.split(present(text), "\n"), lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+$", ""))

@@ -127,6 +127,11 @@ def first_seen(rows: DataFrame, key: str, position: str) -> DataFrame:
     return rows.groupBy(key).agg(F.min_by(F.struct(*[c for c in rows.columns if c != key]), F.col(position)).alias("r")).select(key, "r.*")
 
 
+def not_collected(rows: DataFrame, collected: DataFrame, key: str) -> DataFrame:
+    """Rows whose address is not among those that are stored in full."""
+    return rows.join(collected.select(key), key, "left_anti").select(*rows.columns)
+
+
 def limit_each(rows: DataFrame, by: str, order: list, k: int) -> DataFrame:
     """The first k rows of each group."""
     return rows.withColumn("_n", F.row_number().over(Window.partitionBy(by).orderBy(*order))).where(F.col("_n") <= k).drop("_n")

@@ -41,11 +41,20 @@ def sync(stats: DataFrame, queue: DataFrame, health: DataFrame, now: Column) ->
     )
 
 
-def resolve(queue: DataFrame, ids: list[str], action: str, now: Column) -> DataFrame:
-    """``confirm`` moves pending and failed incidents to confirmed, ``ignore`` any open one to ignored."""
+def resolve(queue: DataFrame, ids: list[str] | DataFrame, action: str, now: Column) -> DataFrame:
+    """``confirm`` moves pending and failed incidents to confirmed, ``ignore`` any open one to ignored.
+
+    ``ids`` are those that a person has typed, or a frame with a column ``id``, which is joined and never collected.
+    """
     allowed = ["pending_confirmation", "recovery_failed"] if action == "confirm" else OPEN
-    hit = F.col("id").isin(ids) & F.col("status").isin(allowed)
-    return queue.withColumn("updated_at", F.when(hit, now).otherwise(F.col("updated_at"))).withColumn("status", F.when(hit, "confirmed" if action == "confirm" else "ignored").otherwise(F.col("status")))
+    if isinstance(ids, DataFrame):
+        rows = queue.join(ids.select("id").distinct().withColumn("_named", F.lit(True)), "id", "left")
+        named = F.coalesce("_named", F.lit(False))
+    else:
+        rows, named = queue, F.col("id").isin(ids)
+    hit = named & F.col("status").isin(allowed)
+    moved = {"updated_at": F.when(hit, now).otherwise(F.col("updated_at")), "status": F.when(hit, "confirmed" if action == "confirm" else "ignored").otherwise(F.col("status"))}
+    return rows.select(*(moved[c].alias(c) if c in moved else F.col(c) for c in queue.columns))
 
 
 def auto_confirm(queue: DataFrame) -> DataFrame:

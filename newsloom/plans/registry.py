@@ -296,12 +296,6 @@ def per_source_limit(spark, d):
     return A.limit_each(dated(spark, d).where(F.col("date") >= F.lit("2024-01-10").cast("date")).select("source_name", "seq"), "source_name", ["seq"], 5)
 
 
-@query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1)")
-def skip_full(spark, d):
-    full = inputs.table(spark, d, "labels").where("quality = 1").select("doc_id")
-    return inputs.table(spark, d, "documents").select("doc_id").join(full, "doc_id", "left_anti")
-
-
 @query("SELECT s_suppkey, s_name, n_name, r_name FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey")
 def denormalised(spark, d):
     """Rows with their dimension's columns; the optimizer broadcasts dimensions that are small enough."""
@@ -390,7 +384,7 @@ def diagnoses(spark, d):
 @query(sql.DAYS + sql.QUEUE + "SELECT id, CASE WHEN day(date) = 3 AND status IN ('pending_confirmation', 'recovery_failed') THEN 'confirmed' WHEN status = 'pending_confirmation' AND diagnosis_code = 'missing_run_record' THEN 'confirmed' ELSE status END AS status FROM queue")
 def resolved_incidents(spark, d):
     q = inputs.incidents(spark, d)
-    ids = [r["id"] for r in q.where(F.dayofmonth("date") == 3).select("id").collect()]  # what a person named
+    ids = q.where(F.dayofmonth("date") == 3).select("id")
     return incidents.auto_confirm(incidents.resolve(q, ids, "confirm", F.lit("now"))).select("id", "status")
 
 
@@ -477,12 +471,13 @@ def valid_matches(spark, d):
     return classify.valid_matches(raw, taxonomy).select("article_id", F.col("rank").cast("long").alias("rank"), "path_text", "confidence")
 
 
-@query("""WITH a AS (SELECT c_custkey AS id FROM customer WHERE c_custkey % 3 <> 0), r AS (SELECT o_custkey AS id, count(*) AS n FROM orders WHERE o_orderkey % 40 = 0 GROUP BY o_custkey)
-SELECT coalesce(a.id, r.id) AS article_id, CASE WHEN r.id IS NULL THEN 'missing' WHEN a.id IS NULL THEN 'unexpected' ELSE 'duplicate' END AS fault FROM a FULL JOIN r ON a.id = r.id WHERE r.id IS NULL OR a.id IS NULL OR r.n > 1""")
+@query("""WITH r AS (SELECT o_custkey AS id, count(*) AS n FROM orders GROUP BY o_custkey)
+SELECT coalesce(c_custkey, r.id) AS article_id, CASE WHEN r.id IS NULL THEN 'missing' WHEN c_custkey IS NULL THEN 'unexpected' ELSE 'duplicate' END AS fault
+FROM customer FULL JOIN r ON c_custkey = r.id WHERE r.id IS NULL OR c_custkey IS NULL OR r.n > 1""")
 def batch_faults(spark, d):
-    asked = inputs.table(spark, d, "customer").where("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("article_id"))
-    got = inputs.table(spark, d, "orders").where("o_orderkey % 40 = 0").select(F.col("o_custkey").alias("article_id"))
-    return classify.batch_faults(asked, got)
+    """JOI-16: all customers are asked for, all orders answer."""
+    asked = inputs.table(spark, d, "customer").select(F.col("c_custkey").alias("article_id"))
+    return classify.batch_faults(asked, inputs.table(spark, d, "orders").select(F.col("o_custkey").alias("article_id")))
 
 
 @query("SELECT n_nationkey AS key, 'extra' AS side FROM (SELECT n_nationkey FROM nation EXCEPT SELECT r_regionkey FROM region)")
@@ -497,15 +492,15 @@ def classify_candidates(spark, d):
     return classify.candidates(rows, F.col("date") == F.lit("2024-01-15").cast("date"), "v1").select("seq")
 
 
-@query(sql.ARTICLES + """, p AS (SELECT seq, CASE WHEN seq % 2 = 0 THEN title ELSE '' END AS title, left(content, 200) AS content, CASE WHEN seq % 5 = 0 THEN 'full' ELSE 'unknown' END AS st, content_extraction AS ce FROM articles WHERE seq % 3 <> 0),
-f AS (SELECT seq, title AS ft, left(content, CAST(100 + seq % 4 * 50 AS INT)) AS fx, seq % 7 = 0 AS ff FROM articles WHERE seq % 2 = 1),
-j AS (SELECT p.*, f.ft, f.fx, coalesce(f.ff, false) AS ff, (coalesce(f.ff, false) OR st <> 'full') AND length(trim(coalesce(fx, ''), ' ' || chr(10))) > length(trim(content, ' ' || chr(10))) AS takes FROM p LEFT JOIN f USING (seq))
+@query(sql.ARTICLES + """, p AS (SELECT seq, CASE WHEN seq % 2 = 0 THEN title ELSE '' END AS title, content, CASE WHEN seq % 5 = 0 THEN 'full' ELSE 'unknown' END AS st, content_extraction AS ce FROM articles),
+f AS (SELECT page_id AS seq, url AS ft, html AS fx, page_id % 7 = 0 AS ff FROM pages),
+j AS (SELECT p.*, f.ft, f.fx, coalesce(f.ff, false) AS ff, (coalesce(f.ff, false) OR st <> 'full') AND length(trim(coalesce(fx, ''), ' ' || chr(9) || chr(10) || chr(13))) > length(trim(content, ' ' || chr(9) || chr(10) || chr(13))) AS takes FROM p LEFT JOIN f USING (seq))
 SELECT seq, coalesce(nullif(title, ''), ft, '') AS title, CASE WHEN takes THEN fx ELSE content END AS content, CASE WHEN takes THEN CASE WHEN ff THEN 'rss_full_content' ELSE 'rss_excerpt' END ELSE ce END AS content_extraction FROM j""")
 def feed_pages(spark, d):
-    a = inputs.articles(spark, d)
+    """PRJ-8: all articles, with whole stored pages as their feed entries."""
     s = F.col("seq")
-    pages = a.where(s % 3 != 0).select("seq", F.when(s % 2 == 0, F.col("title")).otherwise("").alias("title"), F.lit("2024-01-01").alias("published_at"), F.left("content", F.lit(200)).alias("content"), F.when(s % 5 == 0, "full").otherwise("unknown").alias("content_status"), "content_extraction")
-    feed = a.where(s % 2 == 1).select("seq", "title", "published_at", F.left("content", (100 + s % 4 * 50).cast("int")).alias("summary"), (s % 7 == 0).alias("content_is_full"))
+    pages = inputs.articles(spark, d).select("seq", F.when(s % 2 == 0, F.col("title")).otherwise("").alias("title"), F.lit("2024-01-01").alias("published_at"), "content", F.when(s % 5 == 0, "full").otherwise("unknown").alias("content_status"), "content_extraction")
+    feed = inputs.table(spark, d, "pages").select(F.col("page_id").alias("seq"), F.col("url").alias("title"), F.lit("").alias("published_at"), F.col("html").alias("summary"), (F.col("page_id") % 7 == 0).alias("content_is_full"))
     return feeds.merge_pages(pages, feed, "seq").select("seq", "title", "content", "content_extraction")
 
 

@@ -35,6 +35,11 @@ def stored_quality(rows: DataFrame) -> DataFrame:
     return rows.withColumn("content_status", F.when(is_challenge(F.col("content")), "missing").otherwise(present("content_status")))
 
 
+def collected(rows: DataFrame, key: Column) -> DataFrame:
+    """Addresses whose text is stored in full, each once: a later run need not fetch them again."""
+    return rows.where(F.lower(strip(present("content_status"))) == "full").select(key.alias("url_key")).distinct()
+
+
 def longest_content(rows: DataFrame, key: Column) -> DataFrame:
     """Greatest trimmed text length per address."""
     return rows.groupBy(key.alias("url_key")).agg(F.max(F.length(strip(present("content")))).alias("content_chars"))
@@ -57,6 +62,27 @@ def daily_paths(folder: str, first: dt.date, last: dt.date) -> list[str]:
     return [f"{folder}/articles-{first + dt.timedelta(days=k)}.csv" for k in range((last - first).days + 1)]
 
 
+def read_window(spark: SparkSession, folder: str, first: dt.date, last: dt.date, columns: list[str]) -> DataFrame:
+    """Articles of the daily exports of a window with the day of their file as ``summary_date``; absent days have none."""
+    there = [p for p in daily_paths(folder, first, last) if exists(spark, p)]
+    schema = ", ".join(f"`{c}` string" for c in [*columns, "_file"])
+    rows = read_csv(spark, there, columns) if there else spark.createDataFrame([], schema)
+    return rows.withColumn("summary_date", file_date(F.col("_file"))).drop("_file")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def first_path(spark: SparkSession, paths: list[str]) -> str:
+    """The first of several places that is there, as for the channel workbook; none of them is an error."""
+    for path in paths:
+        if exists(spark, path):
+            return path
+    raise FileNotFoundError(", ".join(paths))
+
+
 def read_state(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A JSON state file; a corrupt one is an error, never an empty state."""
     return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
