@@ -23,15 +23,15 @@ from newsloom.llm.columns import unused
 from newsloom.llm.quality import mix
 from newsloom.llm.shingles import Shingler
 from newsloom.llm.storage import written
-from newsloom.llm.words import chunks
+from newsloom.llm.words import chunks, held, trimmed
 
 #: Edits per word of an item that still count as its text; recall wanted of them; fewest walks, and walks after which a
 #: block that still misses its recall is an error; words of items in a pass.
 RATE, RECALL, LEAST_WALKS, MOST_WALKS, BLOCK_WORDS = 0.15, 0.99, 3, 64, 2_000_000
 #: Neighbours that an anchor is the least of, steps of a walk, and steps that are sampled for a key.
 ANCHOR, STEPS, SAMPLED = 6, 14, 4
-#: Slots of the filter that rules out most keys before they are looked up.
-FILTER_BITS = 22
+#: Slots for each key, in powers of two, of the filter that rules out most keys before they are looked up, and most slots.
+FILTER_SPARE, FILTER_BITS = 6, 22
 #: Documents to remove up to which their keys go out as a broadcast (some 40 bytes each); beyond it the join is by shuffle.
 BROADCAST_ROWS = 500_000
 
@@ -159,8 +159,9 @@ class Benchmark:
         self.keys, self.item, self.offset = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (keys, item, offset))
         by = np.argsort(self.keys, kind="stable")
         self.keys, self.item, self.offset = self.keys[by], self.item[by], self.offset[by]
-        self.filter = np.zeros(1 << FILTER_BITS, bool)
-        self.filter[(self.keys >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
+        bits = min(FILTER_BITS, len(self.keys).bit_length() + FILTER_SPARE)
+        self.filter, self.shift = np.zeros(1 << bits, bool), np.uint64(64 - bits)
+        self.filter[(self.keys >> self.shift).astype(np.int64)] = True
 
     def calibrate(self, recall: float, trials: int = 400, seed: int = 5) -> float:
         """Adds walks until simulated edits at the full rate are found with the wanted recall; returns the recall.
@@ -195,7 +196,7 @@ class Benchmark:
         places, entries = [], []
         for walk in range(self.walks):
             key, _ = walk_keys(words, starts, walk, self.steps, self.sampled)
-            maybe = np.flatnonzero(self.filter[(key >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
+            maybe = np.flatnonzero(self.filter[(key >> self.shift).astype(np.int64)])
             key = key[maybe]
             low, high = np.searchsorted(self.keys, key, "left"), np.searchsorted(self.keys, key, "right")
             n = high - low
@@ -256,9 +257,6 @@ def load(benchmark: DataFrame, *, rate: float = RATE, recall: float = RECALL, it
         yield block()
 
 
-_hashers: dict[str, Shingler] = {}
-
-
 def matches(docs: DataFrame, benchmark: DataFrame, *, rate: float = RATE, recall: float = RECALL, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id") -> DataFrame:
     """Benchmark items in documents: ``doc_id, item_id, start_word, n_words, edits``, the best match of each pair.
 
@@ -277,7 +275,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, rate: float = RATE, recall
         shared = spark.sparkContext.broadcast(block)  # BLOCK_WORDS and an item more at most
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            hasher = _hashers.setdefault("words", word_hasher())
+            hasher = held("word hasher", word_hasher)
             for batch in batches:
                 texts, ids = [t or "" for t in batch.column(1).to_pylist()], batch.column(0).to_pylist()
                 for a, b in chunks(texts):
@@ -286,7 +284,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, rate: float = RATE, recall
                     if rows:
                         yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), kinds, strict=True)], schema=kinds)
 
-        found = docs.mapInArrow(run, schema)
+        found = docs.mapInArrow(trimmed(run), schema)
         out = found if out is None else out.unionByName(found)
     return spark.createDataFrame([], schema) if out is None else out
 

@@ -26,7 +26,7 @@ from newsloom.llm.components import connected_components
 from newsloom.llm.quality import mix
 from newsloom.llm.shingles import Shingler
 from newsloom.llm.storage import written
-from newsloom.llm.words import chunks, expand
+from newsloom.llm.words import chunks, expand, held, trimmed
 
 #: Tokens in more documents than FREQUENT are of the frequent class, of which the FREQUENT_TOKENS most frequent ones at
 #: most are told apart (8 bytes each, broadcast); any other token counts as rare, which changes costs, never results.
@@ -112,13 +112,8 @@ def is_in(values: np.ndarray, table: np.ndarray) -> np.ndarray:
     return table[np.minimum(np.searchsorted(table, values), len(table) - 1)] == values
 
 
-_shinglers: dict[int, Shingler] = {}
-
-
 def _shingler(width: int) -> Shingler:
-    if width not in _shinglers:
-        _shinglers[width] = Shingler(width)
-    return _shinglers[width]
+    return held(("shingler", width), lambda: Shingler(width))
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -157,7 +152,7 @@ def profiles(docs: DataFrame, width: int) -> DataFrame:
         none = pa.nulls(k, pa.int64())
         yield pa.RecordBatch.from_arrays([none, pa.array(counter.counts[often]), _signed(counter.keys[often]), none, pa.nulls(k, pa.list_(pa.int64()))], names=names)
 
-    return docs.mapInArrow(run, "doc long, n long, k1 long, k2 long, sketch array<long>")
+    return docs.mapInArrow(trimmed(run), "doc long, n long, k1 long, k2 long, sketch array<long>")
 
 
 def _narrow(docs: DataFrame, ids: DataFrame, how: str, id_: str = "doc") -> DataFrame:
@@ -181,7 +176,7 @@ def entries(docs: DataFrame, frequent, width: int, num: int, den: int, buckets:
                 found, first = np.unique(bucket[by], return_index=True)
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array([x.tobytes() for x in np.split(packed, first[1:])][: len(found)], pa.binary())], names=["bucket", "packed"])
 
-    return docs.mapInArrow(run, "bucket int, packed binary")
+    return docs.mapInArrow(trimmed(run), "bucket int, packed binary")
 
 
 def shared_entries(group: pa.Table) -> pa.Table:
@@ -225,7 +220,7 @@ def combinations(docs: DataFrame, frequent, width: int, num: int, den: int) -> D
                 sig, doc = pair_entries(*shingler.sets(texts[a:b]), frequent.value, num, den)
                 yield pa.RecordBatch.from_arrays([_signed(sig), pa.array(ids[a:b][doc].astype(np.int64))], names=["sig", "doc"])
 
-    return docs.mapInArrow(run, "sig long, doc long")
+    return docs.mapInArrow(trimmed(run), "sig long, doc long")
 
 
 def plausible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:

@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsloom.llm.words import held, trimmed
+
 #: Rows of each class that a model is trained on, and the longest text among them.
 PER_CLASS, MAX_CHARS = 2000, 20_000
 
@@ -52,11 +54,12 @@ def train_on_executor(rows: DataFrame, train: Callable[[list[str], np.ndarray],
         if own := [b for b in batches if b.num_rows]:
             table = pa.Table.from_batches(own).sort_by([("at", "ascending"), ("t", "ascending"), ("label", "ascending")])
             texts, marks = table.column("text").to_pylist(), table.column("label").to_numpy()
-        model = train(texts, marks)
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+        made = pickle.dumps(held("training", lambda: train)(texts, marks))
+        del texts, marks, own
+        yield pa.RecordBatch.from_arrays([pa.array([made], pa.binary())], names=["model"])
 
     one = rows.select("text", "label", F.xxhash64("id", F.lit(3)).alias("at"), F.xxhash64("text").alias("t")).repartition(1)
-    made = one.mapInArrow(run, "model binary").first()
+    made = one.mapInArrow(trimmed(run), "model binary").first()
     return pickle.loads(made["model"]) if made else train([], np.zeros(0, np.int32))  # nothing to learn from
 
 

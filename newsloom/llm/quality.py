@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm import labelled
-from newsloom.llm.words import WordTable, chunks, expand
+from newsloom.llm.words import WordTable, chunks, expand, held, trimmed
 
 #: Rows and columns of the embedding, lengths of character n-grams, and passes over the sample.
 BUCKETS, DIM, GRAMS, EPOCHS, RATE, BATCH = 1 << 18, 8, (3, 4), 6, 0.5, 32
@@ -133,15 +133,17 @@ def train(texts: list[str], labels: np.ndarray, totals: dict[int, int], *, seed:
     out, bias = np.zeros((DIM, 2), np.float32), np.zeros(2, np.float32)
     labels = np.asarray(labels, np.int64)
     features = []
-    lists = [t.split() for t in texts]
-    index = {w: i for i, w in enumerate(dict.fromkeys(w for words in lists for w in words))}
+    index: dict[str, int] = {}
+    lists = []
+    for t in texts:
+        words = t.split()
+        lists.append(np.fromiter((index.setdefault(w, len(index)) for w in words), np.int32, len(words)))
     own, flat, counts = word_features(list(index)) if index else (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
     starts = np.cumsum(counts) - counts
-    for words in lists:
-        codes = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
-        rows = np.r_[flat[expand(starts[codes], counts[codes])], pair_rows(own[codes]), recency_rows(codes, np.zeros_like(codes))]
+    for codes in lists:
+        rows = np.r_[flat[expand(starts[codes], counts[codes])], pair_rows(own[codes]), recency_rows(codes, np.zeros_like(codes))].astype(np.int32)
         ids, number = np.unique(rows, return_counts=True)
-        features.append((ids.astype(np.int32), (number / max(1, number.sum())).astype(np.float32)))
+        features.append((ids, (number / max(1, number.sum())).astype(np.float32)))
     del lists, index, flat
     learn = np.flatnonzero((np.arange(len(texts)) % 5 != 0))
     if len(texts) and labels.min() != labels.max():
@@ -179,9 +181,6 @@ def train(texts: list[str], labels: np.ndarray, totals: dict[int, int], *, seed:
     return model
 
 
-_workers: dict[str, tuple[QualityModel, WordTable]] = {}
-
-
 def score(docs: DataFrame, model: QualityModel, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Score of every whole text: ``doc_id, score``, from 0 to 1, higher for label 1.
 
@@ -192,17 +191,14 @@ def score(docs: DataFrame, model: QualityModel, *, doc_id: str = "doc_id", text:
     name = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if name not in _workers:
-            _workers.clear()
-            _workers[name] = (shared.value, shared.value.table())
-        own, table = _workers[name]
+        own, table = held(name, lambda: (shared.value, shared.value.table()))
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for a, b in chunks(texts):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(own.scores(table, texts[a:b]), pa.float64())], names=["doc_id", "score"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, f"doc_id {kind}, score double")
+    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(trimmed(run), f"doc_id {kind}, score double")
 
 
 def keep(docs: DataFrame, model: QualityModel, least: float, *, text: str = "text") -> DataFrame:
@@ -211,16 +207,13 @@ def keep(docs: DataFrame, model: QualityModel, least: float, *, text: str = "tex
     name, at = uuid.uuid4().hex, docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if name not in _workers:
-            _workers.clear()
-            _workers[name] = (shared.value, shared.value.table())
-        own, table = _workers[name]
+        own, table = held(name, lambda: (shared.value, shared.value.table()))
         for batch in batches:
             texts = [t or "" for t in batch.column(at).to_pylist()]
             good = [own.scores(table, texts[a:b]) >= least for a, b in chunks(texts)]
             yield batch.filter(pa.array(np.concatenate(good))) if good else batch
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(trimmed(run), docs.schema)
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, parts: int = 4, held: int = 2, per_class: int = labelled.PER_CLASS) -> QualityModel:

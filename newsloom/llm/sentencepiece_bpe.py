@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.words import WordTable, chunks, expand
+from newsloom.llm.words import WordTable, chunks, expand, held, trimmed
 
 SPACE = "▁"
 NONE = np.int32(2**31 - 1)
@@ -220,9 +220,6 @@ def _lenient(raw: bytes) -> str:
     return "".join(out)
 
 
-_models: dict[str, tuple[PieceModel, WordTable]] = {}
-
-
 def encode_texts(model: PieceModel, table: WordTable, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Ids of texts one after the other, and how many each has."""
     lists = [model.words(t) for t in texts]
@@ -246,11 +243,7 @@ def encode_decode(docs: DataFrame, model_path: str, *, doc_id: str = "doc_id", t
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if name not in _models:
-            _models.clear()
-            model = shared.value
-            _models[name] = (model, WordTable(model.key_ids, np.int32))
-        model, table = _models[name]
+        model, table = held(name, lambda: (shared.value, WordTable(shared.value.key_ids, np.int32)))
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for a, b in chunks(texts):
@@ -259,7 +252,7 @@ def encode_decode(docs: DataFrame, model_path: str, *, doc_id: str = "doc_id", t
                 decoded = model.decode(ids, offsets)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32())), pa.array(decoded, pa.string())], names=["doc_id", "ids", "decoded"])
 
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded string")
+    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(trimmed(run), f"doc_id {kind}, ids array<int>, decoded string")
 
 
 def digests(encoded: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from newsloom.llm.storage import scratch, written
 from newsloom.llm.quality import mix
-from newsloom.llm.words import HashIndex, chunks, expand
+from newsloom.llm.words import HashIndex, chunks, expand, held
 
 #: Ids in a block (a longer document has a block of its own), coders in a block, and steps between checkpoints.
 BLOCK_IDS, LANES, CHECKPOINT_STEPS = 1 << 20, 1024, 256
@@ -276,16 +276,9 @@ class TokenTable:
         self.used += len(values)
 
 
-_tokenizers: dict[int, TokenTable] = {}
-
-
 def _table(text: str) -> TokenTable:
-    """A worker's tokenizer with its memory; one at a time."""
-    key = zlib.crc32(text.encode())
-    if key not in _tokenizers:
-        _tokenizers.clear()
-        _tokenizers[key] = TokenTable(text)
-    return _tokenizers[key]
+    """A worker's tokenizer with its memory."""
+    return held(("tokenizer", zlib.crc32(text.encode())), lambda: TokenTable(text))
 
 
 def width_of(tokenizer_path: str, end_id: int | None) -> str:

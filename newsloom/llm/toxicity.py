@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from newsloom.llm import labelled
 from newsloom.llm.quality import mix
-from newsloom.llm.words import WordTable, chunks
+from newsloom.llm.words import WordTable, chunks, held, trimmed
 
 #: Rows of the weight table; lengths of word beginnings and endings; passes, rate and documents in a gradient step.
 BUCKETS, STARTS, ENDS, EPOCHS, RATE, BATCH = 1 << 18, tuple(range(3, 9)), (2, 3), 8, 0.3, 64
@@ -188,8 +188,11 @@ def train(texts: list[str], labels: np.ndarray, totals: dict[int, int], *, seed:
     turn = np.arange(len(texts)) % 5
     learn = np.flatnonzero(turn != 0)
     marks = evidence([texts[i] for i in learn], labels[learn])
-    lists = [t.split() for t in texts]
-    index = {w: i for i, w in enumerate(dict.fromkeys(w for i in learn for w in lists[i]))}
+    index: dict[str, int] = {}
+    lists = {}
+    for i in learn:
+        words = texts[i].split()
+        lists[i] = np.fromiter((index.setdefault(w, len(index)) for w in words), np.int32, len(words))
     rows, counts = feature_rows(list(index))
     begin = np.cumsum(counts) - counts
     toxic_word = np.array([any(c in marks for c in cues(w)) for w in index], bool)
@@ -197,7 +200,7 @@ def train(texts: list[str], labels: np.ndarray, totals: dict[int, int], *, seed:
     seen = np.zeros(BUCKETS)
     docs = []
     for i in learn:
-        codes = np.array([index[w] for w in lists[i]], np.int64)
+        codes = lists[i]
         truth = toxic_word[codes] & bool(labels[i])
         if len(codes):
             docs.append((codes, truth, bool(labels[i]) and not truth.any()))
@@ -243,9 +246,6 @@ def train(texts: list[str], labels: np.ndarray, totals: dict[int, int], *, seed:
     return model
 
 
-_workers: dict[str, tuple[ToxicityModel, WordTable]] = {}
-
-
 def score(docs: DataFrame, model: ToxicityModel, *, threshold: float = 0.5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Score of every whole text with the words that offend: ``doc_id, score, spans array<struct<start, end, p>>``.
 
@@ -258,10 +258,7 @@ def score(docs: DataFrame, model: ToxicityModel, *, threshold: float = 0.5, doc_
     span = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("p", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if name not in _workers:
-            _workers.clear()
-            _workers[name] = (shared.value, shared.value.table())
-        own, table = _workers[name]
+        own, table = held(name, lambda: (shared.value, shared.value.table()))
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for a, b in chunks(texts):
@@ -274,7 +271,7 @@ def score(docs: DataFrame, model: ToxicityModel, *, threshold: float = 0.5, doc_
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(own.scores(p, sizes), pa.float64()), pa.array(spans, pa.list_(span))], names=["doc_id", "score", "spans"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, f"doc_id {kind}, score double, spans array<struct<start:int,end:int,p:double>>")
+    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(trimmed(run), f"doc_id {kind}, score double, spans array<struct<start:int,end:int,p:double>>")
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, parts: int = 3, held: int = 1, per_class: int = labelled.PER_CLASS) -> ToxicityModel:

@@ -5,12 +5,52 @@ Text repeats its words, so work per distinct word is done once in a Python worke
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterable, Iterator
+from typing import Any
 
 import numpy as np
+import pyarrow as pa
 
 #: Distinct words that a worker remembers before it starts afresh, and characters of text handled at a time.
-MEMORY_WORDS, CHUNK_CHARS = 300_000, 2_000_000
+MEMORY_WORDS, CHUNK_CHARS = 150_000, 500_000
+
+
+_held: dict[object, Any] = {}
+
+
+def held(name: object, make: Callable[[], Any]) -> Any:
+    """What a worker keeps from task to task under a name. Whatever it keeps under another one goes first, so that a
+    worker which is used again by the next step does not hold the tables of those before."""
+    if name not in _held:
+        if _held:
+            _held.clear()
+            trim()
+        _held[name] = make()
+    return _held[name]
+
+
+def trim() -> None:
+    """Gives free memory back to the system, where the C library can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        return
+
+
+def trimmed(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function over the batches of a task that gives free memory back when it ends, before the worker goes on."""
+
+    def task(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            trim()
+
+    return task
 
 
 def chunks(texts: list[str], size: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
