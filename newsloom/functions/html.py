@@ -13,11 +13,30 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newsloom.functions.dates import published_date, url_date
+from newsloom.functions.text import assess, repaired_title, trim_body
+from newsloom.functions.urls import resolve_canonical
+
+#: A date in an address, as far as two addresses can be told apart by it.
+DATE_IN_URL = r"20\d{2}[-/]?\d{1,2}[-/]?\d{1,2}"
 #: Elements without content, elements that are no part of a body, elements that hold its text, meta tags of dates.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 NOISE = {"script", "style", "noscript", "nav", "footer", "header", "aside", "form", "iframe", "svg", "button", "template"}
 BLOCKS = {"p", "li", "h2", "h3", "h4", "blockquote", "pre", "td", "th", "figcaption"}
 DATE_METAS = ["article:published_time", "publishdate", "pubdate", "date", "dc.date", "og:published_time", "weibo:article:create_at"]
+#: Ids and classes of elements that hold a date, and how it is written there.
+DATE_IDS, DAY_FIRST = re.compile(r"(?:published|publish).*date", re.I), re.compile(r"\d{1,2}/\d{1,2}/20\d{2}")
+DATE_CLASSES = ["time-source-address", "article-time", "publish-time", "publish-date", "pubtime", "showtitinfo", "qr_code", "date", "time"]
+DATE_VALUE = re.compile(r"(20\d{2}[-/.]\d{1,2}[-/.]\d{1,2}(?:\s+\d{1,2}:\d{2}(?::\d{2})?)?)")
+#: Channels whose body is in one element and nowhere else; ids, classes, and elements within elements.
+STRICT = {
+    "中国能源网": "#showcontent",
+    "interesting engineering": ".body-content",
+    "batteries news": ".entry-content",
+    "data center knowledge": ".ArticleBase-BodyContent_Article",
+    "pv magazine c&i pv": ".pvmagazine-post-content .entry-content",
+    "新华网科技": ".main-left.left",
+}
 
 
 @dataclass
@@ -27,12 +46,14 @@ class Node:
     parent: Node | None = None
     children: list = field(default_factory=list)
 
-    def walk(self) -> Iterator[Node]:
+    def walk(self, skip: frozenset = frozenset()) -> Iterator[Node]:
+        """This element and those in it, in the order of the page; not into elements to skip."""
         stack = [self]
         while stack:
             node = stack.pop()
-            yield node
-            stack += [c for c in reversed(node.children) if isinstance(c, Node)]
+            if node.tag not in skip:
+                yield node
+                stack += [c for c in reversed(node.children) if isinstance(c, Node)]
 
     def text(self, skip: frozenset = frozenset()) -> str:
         out, stack = [], [self]
@@ -121,23 +142,36 @@ def published(root: Node) -> str:
         if isinstance(x.get("datePublished"), str):
             return x["datePublished"]
     found = re.search(r"(?:发布时间|发布日期|时间|日期|Published)\s*[:：]?\s*(\d{4}[-/.年]\d{1,2}[-/.月]\d{1,2}日?(?:\s+\d{1,2}:\d{2}(?::\d{2})?)?)", root.text(frozenset(NOISE - {"header"})))
-    return found[1] if found else ""
+    if found:
+        return found[1]
+    for n in root.walk():
+        if DATE_IDS.search(n.attrs.get("id", "")):
+            if DAY_FIRST.fullmatch(text := n.text()):
+                return text
+            break  # the first such element decides
+    for name in DATE_CLASSES:
+        for n in root.walk():
+            if name in n.attrs.get("class", "").split() and (found := DATE_VALUE.search(n.text())):
+                return found[1]
+    return ""
+
+
+def block_texts(node: Node) -> list[str]:
+    """Texts of an element's innermost blocks, outside of menus, footers and the like."""
+    noise = frozenset(NOISE)
+    return [t for b in node.walk(noise) if b.tag in BLOCKS and not any(c.tag in BLOCKS for c in b.children if isinstance(c, Node)) and (t := b.text(noise))]
 
 
 def body(root: Node) -> tuple[str, str]:
     """Text and how it was found: the block that scores best by its paragraphs less its links, or a longer JSON-LD body."""
     best, score = "", 0.0
-    for n in root.walk():
+    noise = frozenset(NOISE)
+    for n in root.walk(noise):
         if n.tag not in ("article", "main", "section", "div", "body", "#"):
             continue
-        up, hidden = n, False
-        while up:
-            hidden, up = hidden or up.tag in NOISE, up.parent
-        if hidden:
-            continue
-        blocks = [t for b in n.walk() if b.tag in BLOCKS and not any(c.tag in BLOCKS for c in b.children if isinstance(c, Node)) and (t := b.text(frozenset(NOISE)))]
-        text = "\n".join(dict.fromkeys(blocks)) or n.text(frozenset(NOISE))
-        links = sum(len(a.text()) for a in n.walk() if a.tag == "a")
+        blocks = block_texts(n)
+        text = "\n".join(dict.fromkeys(blocks)) or n.text(noise)
+        links = sum(len(a.text()) for a in n.walk(noise) if a.tag == "a")
         own = len(text) + 120 * len(blocks) - 2 * min(links, len(text)) + (1 if n.tag == "article" else 0)
         if own > score:
             best, score = text, own
@@ -145,6 +179,67 @@ def body(root: Node) -> tuple[str, str]:
     return (ld, "json_ld") if len(ld) > len(best) else (best, "dom_or_structured_full_text" if best else "")
 
 
+def matches(node: Node, selector: str) -> bool:
+    """Whether an element is one that ``#id``, ``.class``, ``.both.classes`` or ``.outer .inner`` names."""
+    *outer, own = selector.split()
+    wanted = re.findall(r"([#.])([^#.]+)", own)
+    classes = node.attrs.get("class", "").split()
+    if not all(node.attrs.get("id") == name if kind == "#" else name in classes for kind, name in wanted):
+        return False
+    if not outer:
+        return True
+    up = node.parent
+    while up:
+        if matches(up, " ".join(outer)):
+            return True
+        up = up.parent
+    return False
+
+
+def strict_body(root: Node, source: str) -> str | None:
+    """The longest text of a channel's one body element, empty if a page has none; null for channels without one."""
+    selector = STRICT.get((source or "").strip().lower())
+    if selector is None:
+        return None
+    found = []
+    for n in root.walk():
+        if matches(n, selector):
+            found.append("\n".join(dict.fromkeys(block_texts(n))) or n.text(frozenset(NOISE)))
+    return max(found, key=len, default="")
+
+
+def page_articles(pages: DataFrame, *, url: str = "url", html: str = "html", source: str = "source_name") -> DataFrame:
+    """Pages as articles: ``url, source_name, title, published_at, content, content_extraction, content_status,
+    content_issue``.
+
+    The address is the declared one, unless that is a placeholder or dated differently. A date in the address goes
+    before the one written on the page. The body is cut at stop markers and legal lines, the title of the channel that
+    names itself is repaired, and the completeness is judged. Pages without title and text are left out; null pages
+    are such; other columns are left out.
+    """
+    pages = pages.select(F.col(url).alias("url"), F.col(html).alias("html"), F.coalesce(source, F.lit("")).alias("source_name"))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = []
+            for address, page, name in zip(frame["url"], frame["html"], frame["source_name"], strict=True):
+                root = parse(page)
+                content, method = body(root)
+                own = strict_body(root, name)
+                if own is not None:
+                    content, method = (own, "dom_or_structured_full_text") if own else ("", "")
+                declared = next((n.attrs.get("href", "") for n in root.walk() if n.tag == "link" and "canonical" in n.attrs.get("rel", "").lower()), "") or metas(root).get("og:url", "")
+                target = resolve_canonical(address or "", declared, lambda u: (re.search(DATE_IN_URL, u) or [""])[0])
+                rows.append((target, name, title(root), published(root), content, method))
+            yield pd.DataFrame(rows, columns=["url", "source_name", "title", "written", "content", "method"])
+
+    made = pages.mapInPandas(run, "url string, source_name string, title string, written string, content string, method string").where("title <> '' OR content <> ''")
+    dated = F.coalesce(url_date(F.col("url")), published_date(F.col("written")))
+    rows = made.select("url", "source_name", "title", F.coalesce(dated.cast("string"), "written").alias("published_at"), trim_body(F.col("content")).alias("content"), F.col("method").alias("content_extraction"))
+    rows = rows.withColumn("title", repaired_title(F.col("title"), F.col("content"), F.col("source_name"))).withColumn("_v", assess(F.col("content"), F.col("content_extraction")))
+    return rows.select("url", "source_name", "title", "published_at", "content", "content_extraction", F.col("_v.status").alias("content_status"), F.col("_v.issue").alias("content_issue"))
+
+
 def links(root: Node, base: str) -> list[tuple[str, str]]:
     return [(urljoin(base, n.attrs["href"]), n.text()) for n in root.walk() if n.tag == "a" and n.attrs.get("href") and not n.attrs["href"].startswith(("#", "javascript:", "mailto:"))]
 
