@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from newsloom.llm.storage import scratch, written
 from newsloom.llm.quality import mix
-from newsloom.llm.words import HashIndex, chunks, expand, held
+from newsloom.llm.words import MORE_CHARS, HashIndex, chunks, expand, held
 
 #: Ids in a block (a longer document has a block of its own), coders in a block, and steps between checkpoints.
 BLOCK_IDS, LANES, CHECKPOINT_STEPS = 1 << 20, 1024, 256
@@ -303,7 +303,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, *, end_id: int | None = None,
         table = _table(shared.value)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in chunks(texts):
+            for a, b in chunks(texts, MORE_CHARS):
                 ids, counts = table.encode(texts[a:b])
                 ids, ends = ids.astype(width), np.cumsum(counts)
                 rows = [ids[i:j].tobytes() + tail.tobytes() for i, j in zip((ends - counts).tolist(), ends.tolist(), strict=True)]

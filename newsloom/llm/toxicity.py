@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from newsloom.llm import labelled
 from newsloom.llm.quality import mix
-from newsloom.llm.words import WordTable, chunks, held, trimmed
+from newsloom.llm.words import MORE_CHARS, MORE_WORDS, WordTable, chunks, held, trimmed
 
 #: Rows of the weight table; lengths of word beginnings and endings; passes, rate and documents in a gradient step.
 BUCKETS, STARTS, ENDS, EPOCHS, RATE, BATCH = 1 << 18, tuple(range(3, 9)), (2, 3), 8, 0.3, 64
@@ -157,7 +157,7 @@ class ToxicityModel:
             sums = np.add.reduceat(self.weight[rows], np.cumsum(counts) - counts)
             return np.exp(np.clip(sums, -30, 30)), np.ones(len(words), np.int64)
 
-        return WordTable(make, np.float64)
+        return WordTable(make, np.float64, MORE_WORDS)
 
     def tag(self, table: WordTable, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Probability of every word, one text after the other, and the number of words in each."""
@@ -261,7 +261,7 @@ def score(docs: DataFrame, model: ToxicityModel, *, threshold: float = 0.5, doc_
         own, table = held(name, lambda: (shared.value, shared.value.table()))
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in chunks(texts):
+            for a, b in chunks(texts, MORE_CHARS):
                 p, sizes = own.tag(table, texts[a:b])
                 spans: list[list[dict]] = [[] for _ in range(b - a)]
                 begin = np.cumsum(sizes) - sizes
