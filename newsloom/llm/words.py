@@ -15,8 +15,6 @@ import pyarrow as pa
 
 #: Distinct words that a worker remembers before it starts afresh, and characters of text handled at a time.
 MEMORY_WORDS, CHUNK_CHARS = 150_000, 500_000
-#: The same for operators that run by themselves, whose workers have the memory.
-MORE_WORDS, MORE_CHARS = 300_000, 2_000_000
 
 
 _held: dict[object, Any] = {}
