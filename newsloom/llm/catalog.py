@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import ann, decontaminate, jaccard, labelled, line_dedup, pii, quality, sentencepiece_bpe, sql, token_files, toxicity
+from newsloom.llm import ann, decontaminate, jaccard, labelled, line_dedup, pii, quality, sentencepiece_bpe, sql, token_files, toxicity, vector_codes
 from newsloom.llm.url_filter import filter_urls
 
 #: Fixed values of the url rules.
@@ -100,6 +100,14 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector of ``embeddings`` as codes of 16 parts against trained codebooks of 64 entries, with its error.
+
+    Vectors that are null or hold null or non-finite components are left out; null labels are one label.
+    """
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 

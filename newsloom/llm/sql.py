@@ -68,3 +68,42 @@ WITH RECURSIVE w AS (
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(g.low, d.doc_id)) AS component_id
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN groups g USING (doc_id)
 """
+
+_ROUND = r"""
+near{i} AS MATERIALIZED (
+  SELECT rid, b.part, min({{'d': list_sum(list_transform(list_zip(x, y), lambda t: (t[1] - t[2]) * (t[1] - t[2])))::BIGINT, 'e': e}}) AS best
+  FROM cut JOIN book{i} b ON cut.part = b.part GROUP BY rid, b.part
+)"""
+
+_MEANS = r"""
+sums{i} AS (
+  SELECT part, e, place, sum(z)::BIGINT AS s, count(*)::BIGINT AS n
+  FROM (SELECT cut.part, near{i}.best.e AS e, unnest(x) AS z, unnest(range(len(x))) AS place FROM cut JOIN near{i} ON cut.rid = near{i}.rid AND cut.part = near{i}.part)
+  GROUP BY part, e, place
+), means{i} AS (
+  SELECT part, e, list((s - ((s % n) + n) % n) // n ORDER BY place) AS y FROM sums{i} GROUP BY part, e
+), book{j} AS MATERIALIZED (
+  SELECT b.part, b.e, coalesce(m.y, b.y) AS y FROM book{i} b LEFT JOIN means{i} m ON b.part = m.part AND b.e = m.e
+)"""
+
+ORACLES["op11_vector_codes"] = (
+    r"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), cut AS MATERIALIZED (
+  SELECT rid, part, v[part * (len(v) // 16) + 1:(part + 1) * (len(v) // 16)] AS x FROM kept, range(16) r(part)
+), book0 AS MATERIALIZED (
+  SELECT part, e, x AS y FROM cut JOIN (SELECT rid, row_number() OVER (ORDER BY vec_id NULLS LAST, v) - 1 AS e FROM kept) USING (rid) WHERE e < 64
+),"""
+    + ",".join((_ROUND + "," + _MEANS).format(i=i, j=i + 1) for i in range(2))
+    + ","
+    + _ROUND.format(i=2)
+    + r""", coded AS (
+  SELECT rid, string_agg(lpad(lower(to_hex(best.e)), 2, '0'), '' ORDER BY part) AS code, sum(best.d)::BIGINT AS error FROM near2 GROUP BY rid
+), whole AS (
+  SELECT sha256(string_agg(array_to_string(y, ','), ',' ORDER BY part, e)) AS codebooks_sha256 FROM book2
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM kept JOIN coded USING (rid), whole
+"""
+)
