@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import ann, decontaminate, jaccard, labelled, line_dedup, pii, quality, sentencepiece_bpe, sql, token_files, toxicity, vector_codes
+from newsloom.llm import ann, decontaminate, jaccard, labelled, line_dedup, lm_scoring, pii, prefix_trie, quality, sentencepiece_bpe, sql, token_files, toxicity, vector_codes
 from newsloom.llm.url_filter import filter_urls
 
 #: Fixed values of the url rules.
@@ -108,6 +108,23 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(table(spark, sf_dir, "embeddings"))
 
 
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text of ``documents`` with its log10 probability, learned from the documents that are not held out.
+
+    A null text is an empty one; its only token is the end.
+    """
+    small_batches(spark)
+    return lm_scoring.score(table(spark, sf_dir, "documents"), parts=7, held=2)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie that the rebuilt ``conversations`` make, with members, children, leaves and savings.
+
+    Null roles and texts are empty; a null turn comes first; an empty table has no nodes.
+    """
+    return prefix_trie.shared_prefixes(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 

@@ -107,3 +107,36 @@ WITH kept AS MATERIALIZED (
 SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM kept JOIN coded USING (rid), whole
 """
 )
+
+ORACLES["op13_prefix_trie"] = r"""
+WITH own AS MATERIALIZED (
+  SELECT conv_id AS conv, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS place,
+         md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS mark, length(coalesce(text, '')) AS tokens
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv, conv - conv % 100 AS base,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(conv::VARCHAR, ''), lambda c: [ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+             lambda acc, s: CASE WHEN s >= 0 THEN xor(acc, s) WHEN acc % 2 = 1 THEN xor(acc >> 1, 3988292384) ELSE acc >> 1 END), 4294967295::BIGINT) % 6 AS h
+  FROM (SELECT DISTINCT conv FROM own)
+), rebuilt AS (
+  SELECT c.conv, 0 AS own_turn, o.place, o.mark, o.tokens FROM convs c JOIN own o ON o.conv = c.base AND o.place < c.h
+  UNION ALL SELECT c.conv, 1, o.place, o.mark, o.tokens FROM convs c JOIN own o ON o.conv = c.conv AND o.place >= c.h
+), path AS MATERIALIZED (
+  SELECT conv, row_number() OVER w AS depth, string_agg(mark, '') OVER w AS k, tokens FROM rebuilt WINDOW w AS (PARTITION BY conv ORDER BY own_turn, place)
+  UNION ALL SELECT conv, 0, '', 0 FROM convs
+), nodes AS MATERIALIZED (
+  SELECT depth, k, min(conv) AS conv_id, count(*) AS n_convs, max(tokens) AS tokens FROM path GROUP BY depth, k
+), kids AS MATERIALIZED (
+  SELECT n.depth, n.k, n.conv_id, n.n_convs, (n.n_convs - 1) * n.tokens AS saved, count(m.k) AS n_children
+  FROM nodes n LEFT JOIN nodes m ON m.depth = n.depth + 1 AND m.k[1:32 * n.depth] = n.k GROUP BY ALL
+), below AS (
+  SELECT up.depth, up.k, sum(n.saved) AS saved_tokens, sum((n.n_children = 0)::INT) AS n_leaves
+  FROM kids n JOIN path own ON own.conv = n.conv_id AND own.depth <= n.depth JOIN nodes up ON up.depth = own.depth AND up.k = own.k GROUP BY ALL
+), ends AS (
+  SELECT p.depth, p.k, sha256(string_agg(p.conv::VARCHAR, ',' ORDER BY p.conv)) AS ends_sha256
+  FROM path p JOIN (SELECT conv, max(depth) AS depth FROM path GROUP BY conv) l USING (conv, depth) GROUP BY p.depth, p.k
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, up.conv_id AS parent_conv_id, n.n_convs::BIGINT AS n_convs, n.n_children::BIGINT AS n_children,
+       below.n_leaves::BIGINT AS n_leaves, below.saved_tokens::BIGINT AS saved_tokens, coalesce(ends_sha256, sha256('')) AS ends_sha256
+FROM kids n JOIN below USING (depth, k) LEFT JOIN ends USING (depth, k) LEFT JOIN nodes up ON up.depth = n.depth - 1 AND up.k = n.k[1:32 * (n.depth - 1)]
+"""
