@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions.channels import expects_on
 from newsloom.functions.text import assess, present, strip
+from newsloom.operators.reports import audited_days
 
 DAY = 86_400
 
@@ -180,13 +181,14 @@ def crawl_status(changed: Column, usable: Column, expected: Column) -> Column:
     return F.when((changed == 0) & ~expected, "idle").when(changed == 0, "zero").when(F.greatest(changed - usable, F.lit(0)) > 0, "degraded").otherwise("healthy")
 
 
-def missing_runs(stats: DataFrame, summary: DataFrame, inventory: DataFrame, lookback: int = 31) -> DataFrame:
+def missing_runs(stats: DataFrame, summary: DataFrame, inventory: DataFrame, lookback: int = 31, latest: Column | None = None) -> DataFrame:
     """Days on which a channel should have been crawled and no run was recorded: ``date, source, frequency``.
 
     Days between the first audited one (31 days back at most) and the last that no audit covers, for channels that
-    were active by then, are not skipped now, are expected on that day and have no articles of it.
+    were active by then, are not skipped now, are expected on that day and have no articles of it. With ``latest`` as
+    the last day there are no gaps at all unless that day is audited itself: an audit that has not run finds nothing.
     """
-    audited = summary.where("sources_configured > 0").select("date").distinct()
+    audited = summary.where("sources_configured > 0").select("date").distinct() if latest is None else audited_days(summary, latest)
     ends = audited.agg(F.min("date").alias("first"), F.max("date").alias("last")).where("first < last")
     days = ends.select(F.explode(F.sequence(F.greatest("first", F.date_sub("last", lookback)), F.date_sub("last", 1))).alias("date"))
     days = days.join(audited, "date", "left_anti")

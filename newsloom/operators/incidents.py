@@ -5,40 +5,74 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.functions.channels import OPEN, UNHEALTHY, diagnosis, next_action
+from newsloom.functions.channels import OPEN, SUCCESS, UNHEALTHY, diagnosis, diagnosis_text, next_action
 from newsloom.functions.text import present, redact
 
-#: States that are worth a message, and states that count as success.
+#: States that are worth a message, and what the system notes where it confirms an incident itself.
 NOTIFIABLE = ["pending_confirmation", "recovery_failed", "recovered"]
-SUCCESS = ["healthy", "already_collected", "idle", "recovered", "verified_no_news"]
+AUTO_NOTE = "系统检测到整日运行记录缺失，自动确认补抓"
+STILL_EMPTY = "补抓完成但目标日期仍无文章"
+#: An incident as it is stored.
+INCIDENT = (
+    "id string, date date, source string, frequency string, status string, detected_at string, confirmed_at string, confirmation_note string, attempts long, last_attempt_at string, "
+    "recovered_articles long, recovered_at string, anomaly_level string, anomaly_codes string, crawl_status string, crawl_mode string, candidates_seen long, pages_fetched long, "
+    "diagnosis_code string, diagnosis string, technical_reason string, error_type string, failed_at string, last_error string, updated_at string"
+)
+#: What a day's reasons may tell.
+REASON = "source string, date date, reason string, candidates_seen long, pages_fetched long, crawl_mode string, error_type string, failed_at string"
+CELL = "date date, source string, frequency string, crawl_status string, article_count long, expected_daily boolean, anomaly_level string, anomaly_codes string"
 
 
 def incident_id(day: Column, source: Column) -> Column:
     return F.concat(day.cast("string"), F.lit("::"), source)
 
 
-def sync(stats: DataFrame, queue: DataFrame, health: DataFrame, now: Column) -> DataFrame:
-    """The queue after a day's statistics: open incidents of days with articles now are recovered; expected days that
-    are zero or failed open an incident or refresh its diagnosis; closed ones are never opened again."""
-    s = stats.where("source <> '' AND date IS NOT NULL").select(incident_id(F.col("date"), F.col("source")).alias("id"), "date", "source", "frequency", "crawl_status", "article_count", "expected_daily")
-    h = health.select("source", F.col("reason").alias("h_reason"), "candidates_seen", "pages_fetched")
-    s = s.join(h, "source", "left").alias("s")
-    both = s.join(queue.alias("q"), F.col("s.id") == F.col("q.id"), "full_outer")
+def padded(rows: DataFrame, schema: str) -> DataFrame:
+    """The columns of a schema in its order and types; absent ones are null, others are left out."""
+    have = set(rows.columns)
+    fields = [f.rsplit(" ", 1) for f in schema.split(", ")]
+    return rows.select(*((F.col(c) if c in have else F.lit(None)).cast(kind).alias(c) for c, kind in fields))
+
+
+def sync_days(cells: DataFrame, queue: DataFrame, reasons: DataFrame, now: Column) -> DataFrame:
+    """The whole queue (``INCIDENT``) after statistics of some days (``CELL``) and what is known of them (``REASON``).
+
+    Open incidents of days that have articles now are recovered, however old the day is. Expected days that are zero
+    or failed open an incident, or refresh the diagnosis of the one they have; closed ones are never opened again.
+    Reasons belong to a channel's day: a gap is diagnosed by its own, not by that of a later run.
+    """
+    s = padded(cells.where("source <> '' AND date IS NOT NULL"), CELL).withColumn("id", incident_id(F.col("date"), F.col("source")))
+    s = s.join(padded(reasons, REASON).withColumnsRenamed({"crawl_mode": "h_mode", "reason": "h_reason"}), ["source", "date"], "left").alias("s")
+    both = s.join(padded(queue, INCIDENT).alias("q"), F.col("s.id") == F.col("q.id"), "full_outer")
     here, known = F.col("s.id").isNotNull(), F.col("q.id").isNotNull()
     filled = here & (F.col("s.article_count") > 0)
-    bad = here & ~filled & F.col("s.expected_daily") & F.col("s.crawl_status").isin("zero", "failed")
-    recovered = known & filled & F.col("q.status").isin(OPEN)
-    code = diagnosis(F.col("s.crawl_status"), F.col("h_reason"), F.col("candidates_seen"), F.col("pages_fetched"))
-    return both.where(known | F.coalesce(bad, F.lit(False))).select(
-        F.coalesce("q.id", "s.id").alias("id"),
-        F.coalesce("q.date", "s.date").alias("date"),
-        F.coalesce("q.source", "s.source").alias("source"),
-        F.when(recovered, "recovered").when(known, F.col("q.status")).otherwise("pending_confirmation").alias("status"),
-        F.coalesce("q.attempts", F.lit(0).cast("long")).alias("attempts"),
-        F.when(recovered, F.col("s.article_count")).otherwise(F.coalesce("q.recovered_articles", F.lit(0).cast("long"))).alias("recovered_articles"),
-        F.when(bad, code).otherwise(F.col("q.diagnosis_code")).alias("diagnosis_code"),
-        F.when(bad | recovered, now).otherwise(F.col("q.updated_at")).alias("updated_at"),
-    )
+    bad = F.coalesce(here & ~filled & F.col("s.expected_daily") & F.col("s.crawl_status").isin("zero", "failed"), F.lit(False))
+    recovered = F.coalesce(known & filled & F.col("q.status").isin(OPEN), F.lit(False))
+    code = diagnosis(F.col("s.crawl_status"), F.col("h_reason"), F.col("s.candidates_seen"), F.col("s.pages_fetched"))
+    zero, blank = F.lit(0).cast("long"), F.lit("")
+    fresh = {
+        "anomaly_level": F.coalesce("s.anomaly_level", F.lit("warning")), "anomaly_codes": present("s.anomaly_codes"), "crawl_status": F.col("s.crawl_status"), "crawl_mode": present("h_mode"),
+        "candidates_seen": F.coalesce("s.candidates_seen", zero), "pages_fetched": F.coalesce("s.pages_fetched", zero), "diagnosis_code": code, "diagnosis": diagnosis_text(code, F.col("h_reason")),
+        "technical_reason": present("h_reason"), "error_type": present("s.error_type"), "failed_at": present("s.failed_at"),
+    }
+    out = {c: F.when(bad, v).otherwise(F.col(f"q.{c}")) for c, v in fresh.items()}
+    out |= {c: F.coalesce(f"q.{c}", f"s.{c}") for c in ("id", "date", "source")}
+    out |= {c: F.coalesce(f"q.{c}", blank) for c in ("confirmed_at", "confirmation_note", "last_attempt_at", "last_error")}
+    out["frequency"] = F.coalesce("q.frequency", present("s.frequency"))
+    out["detected_at"] = F.when(known, F.col("q.detected_at")).otherwise(now)
+    out["attempts"] = F.coalesce("q.attempts", zero)
+    out["status"] = F.when(recovered, "recovered").when(known, F.col("q.status")).otherwise("pending_confirmation")
+    out["recovered_articles"] = F.when(recovered, F.col("s.article_count")).otherwise(F.coalesce("q.recovered_articles", zero))
+    out["recovered_at"] = F.when(recovered, now).otherwise(F.coalesce("q.recovered_at", blank))
+    out["updated_at"] = F.when(bad | recovered, now).otherwise(F.col("q.updated_at"))
+    return both.where(known | bad).select(*(out[f.rsplit(" ", 1)[0]].alias(f.rsplit(" ", 1)[0]) for f in INCIDENT.split(", ")))
+
+
+def sync(stats: DataFrame, queue: DataFrame, health: DataFrame, now: Column) -> DataFrame:
+    """``sync_days`` for statistics of any days, each with the reason of its channel's only health row."""
+    h = health.select("source", "reason", "candidates_seen", "pages_fetched")
+    reasons = stats.select("source", "date").distinct().join(h, "source")
+    return sync_days(stats, queue, reasons, now).select("id", "date", "source", "status", "attempts", "recovered_articles", "diagnosis_code", "updated_at")
 
 
 def resolve(queue: DataFrame, ids: list[str] | DataFrame, action: str, now: Column) -> DataFrame:
@@ -57,10 +91,42 @@ def resolve(queue: DataFrame, ids: list[str] | DataFrame, action: str, now: Colu
     return rows.select(*(moved[c].alias(c) if c in moved else F.col(c) for c in queue.columns))
 
 
-def auto_confirm(queue: DataFrame) -> DataFrame:
+def auto_confirm(queue: DataFrame, now: Column | None = None) -> DataFrame:
     """Pending incidents of missing runs are confirmed without a person."""
     hit = (F.col("status") == "pending_confirmation") & (F.col("diagnosis_code") == "missing_run_record")
-    return queue.withColumn("status", F.when(hit, "confirmed").otherwise(F.col("status")))
+    moved = {"status": F.lit("confirmed")} | ({} if now is None else {"confirmed_at": now, "confirmation_note": F.lit(AUTO_NOTE), "updated_at": now})
+    return queue.select(*(F.when(hit, moved[c]).otherwise(F.col(c)).alias(c) if c in moved else F.col(c) for c in queue.columns))
+
+
+def begin_recovery(queue: DataFrame, now: Column) -> DataFrame:
+    """First step of a backfill: confirmed incidents, and those that an earlier one left behind, are under way.
+
+    The result is stored before anything is fetched, so an attempt that dies is counted and taken up again.
+    """
+    hit = F.col("status").isin("confirmed", "recovering")
+    moved = {"status": F.lit("recovering"), "attempts": F.col("attempts") + 1, "last_attempt_at": now, "updated_at": now}
+    return queue.select(*(F.when(hit, moved[c]).otherwise(F.col(c)).alias(c) if c in moved else F.col(c) for c in queue.columns))
+
+
+def end_recovery(queue: DataFrame, inventory: DataFrame, now: Column, outcomes: DataFrame | None = None) -> DataFrame:
+    """Second step, over the inventory as it is after the backfill: incidents under way are recovered if their day has
+    articles and the backfill reports no error, else failed, with what it says (``outcomes``: ``id, exit_code, reason``).
+    """
+    found = inventory.groupBy(incident_id(F.col("date"), F.col("source")).alias("id")).agg(F.max("article_count").alias("_n"))
+    rows = queue.join(found, "id", "left")
+    if outcomes is None:
+        rows = rows.withColumn("_code", F.lit(0)).withColumn("_said", F.lit(""))
+    else:
+        told = outcomes.groupBy("id").agg(F.max(F.struct(F.coalesce("exit_code", F.lit(0)).alias("c"), present("reason").alias("r"))).alias("_o"))
+        rows = rows.join(told, "id", "left").withColumn("_code", F.coalesce("_o.c", F.lit(0))).withColumn("_said", present("_o.r")).drop("_o")
+    tried, n = F.col("status") == "recovering", F.coalesce("_n", F.lit(0).cast("long"))
+    done = (n > 0) & (F.col("_code") == 0)
+    error = F.when(F.col("_said") != "", F.col("_said")).when(F.col("_code") != 0, F.concat(F.lit("补抓命令退出码为 "), F.col("_code").cast("string"))).otherwise(STILL_EMPTY)
+    moved = {
+        "status": F.when(done, "recovered").otherwise("recovery_failed"), "recovered_articles": F.when(done, n).otherwise(F.col("recovered_articles")),
+        "recovered_at": F.when(done, now).otherwise(F.col("recovered_at")), "last_error": F.when(done, "").otherwise(error), "updated_at": now,
+    }
+    return rows.select(*(F.when(tried, moved[c]).otherwise(F.col(c)).alias(c) if c in moved else F.col(c) for c in queue.columns))
 
 
 def finish(queue: DataFrame, inventory: DataFrame) -> DataFrame:

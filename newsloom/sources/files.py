@@ -10,6 +10,7 @@ from collections.abc import Iterator
 from xml.etree import ElementTree
 from xml.sax.saxutils import escape
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -129,17 +130,38 @@ def versions(spark: SparkSession, folder: str) -> list[tuple[int, str, str, bool
     return sorted(found)
 
 
+def claim(spark: SparkSession, folder: str) -> int:
+    """The next number of a version, taken by creating a file that must not be there yet: of two writers that see the
+    same last version one gets the next number and the other the one after it, wherever the store creates atomically."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    number = max((n for n, *_ in versions(spark, folder)), default=0) + 1
+    while True:
+        try:
+            fs.create(jvm.org.apache.hadoop.fs.Path(root, f"_claims/{number:010d}"), False).close()
+            return number
+        except Py4JJavaError as taken:
+            if "AlreadyExists" not in taken.java_exception.getClass().getName():
+                raise
+            number += 1
+
+
 def write_version(rows: DataFrame, folder: str, label: str) -> str:
     """A state table as a new version behind all others, which stay as they are, so ``rows`` may be made of them.
 
     A version counts once its ``_SUCCESS`` marker is there: a write that fails, or is still under way, is never read.
     """
-    last = max((n for n, *_ in versions(rows.sparkSession, folder)), default=0)
-    path = f"{folder}/version={last + 1:010d}-{label}"
+    path = f"{folder}/version={claim(rows.sparkSession, folder):010d}-{label}"
     rows.write.mode("error").parquet(path)
     return path
 
 
+def committed(spark: SparkSession, folder: str) -> list[str]:
+    """Paths of all committed versions, for tables whose versions are additions."""
+    return [path for _, _, path, done in versions(spark, folder) if done]
+
+
 def latest_version(spark: SparkSession, folder: str) -> str | None:
     """Path of the last version that was committed, on any file system."""
     return max(((n, path) for n, _, path, done in versions(spark, folder) if done), default=(0, None))[1]
