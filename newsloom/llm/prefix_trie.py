@@ -91,11 +91,15 @@ def owners(path: DataFrame) -> DataFrame:
 
     Its nodes lie from depth ``owns_from`` on and hold ``owned`` tokens; ``above`` owns the node before them (null at
     the root), and ``leaf`` says whether the last one has no children. The table of minima has one row a node; paths
-    are joined with it, so a node that most paths share is on the side of the join that adaptive execution splits.
+    are joined with it, so a node that most paths share is on the side of the join that adaptive execution splits. All
+    paths share the root, whose only row goes to them instead.
     """
-    nodes = path.groupBy(*KEY).agg(F.min("conv").alias("owner"), F.bool_and(F.col("depth") == F.col("end")).alias("childless"))
+    low = [F.min("conv").alias("owner"), F.bool_and(F.col("depth") == F.col("end")).alias("childless")]
+    top, below = path.where("depth = 0"), path.where("depth > 0")
+    rooted = top.crossJoin(F.broadcast(top.agg(*low)))  # one row
+    owned = below.join(below.groupBy(*KEY).agg(*low), KEY)
     own = F.col("owner") == F.col("conv")
-    marked = path.join(nodes, KEY).groupBy("conv").agg(
+    marked = rooted.select(owned.columns).unionByName(owned).groupBy("conv").agg(
         F.min(F.when(own, F.col("depth"))).alias("owns_from"),
         F.max(F.when(own, F.col("rest"))).alias("owned"),  # tokens to the end only shrink with depth
         F.max(F.when(~own, F.struct("depth", "owner")))["owner"].alias("above"),
