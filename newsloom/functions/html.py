@@ -5,29 +5,29 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
-from html.parser import HTMLParser
 from urllib.parse import urljoin
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newsloom.functions import extract
 from newsloom.functions.dates import published_date, url_date
+from newsloom.functions.dom import NOISE, Node, parse
+from newsloom.functions.selectors import select
 from newsloom.functions.text import assess, repaired_title, trim_body
 from newsloom.functions.urls import resolve_canonical
 
 #: A date in an address, as far as two addresses can be told apart by it.
 DATE_IN_URL = r"20\d{2}[-/]?\d{1,2}[-/]?\d{1,2}"
-#: Elements without content, elements that are no part of a body, elements that hold its text, meta tags of dates.
-VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-NOISE = {"script", "style", "noscript", "nav", "footer", "header", "aside", "form", "iframe", "svg", "button", "template"}
-BLOCKS = {"p", "li", "h2", "h3", "h4", "blockquote", "pre", "td", "th", "figcaption"}
+#: Meta tags of dates.
 DATE_METAS = ["article:published_time", "publishdate", "pubdate", "date", "dc.date", "og:published_time", "weibo:article:create_at"]
 #: Ids and classes of elements that hold a date, and how it is written there.
 DATE_IDS, DAY_FIRST = re.compile(r"(?:published|publish).*date", re.I), re.compile(r"\d{1,2}/\d{1,2}/20\d{2}")
 DATE_CLASSES = ["time-source-address", "article-time", "publish-time", "publish-date", "pubtime", "showtitinfo", "qr_code", "date", "time"]
 DATE_VALUE = re.compile(r"(20\d{2}[-/.]\d{1,2}[-/.]\d{1,2}(?:\s+\d{1,2}:\d{2}(?::\d{2})?)?)")
+#: How the text of a page was found if its lines decided, not one element.
+FULL_TEXT = "block_full_text"
 #: Channels whose body is in one element and nowhere else; ids, classes, and elements within elements.
 STRICT = {
     "中国能源网": "#showcontent",
@@ -39,64 +39,6 @@ STRICT = {
 }
 
 
-@dataclass
-class Node:
-    tag: str
-    attrs: dict[str, str]
-    parent: Node | None = None
-    children: list = field(default_factory=list)
-
-    def walk(self, skip: frozenset = frozenset()) -> Iterator[Node]:
-        """This element and those in it, in the order of the page; not into elements to skip."""
-        stack = [self]
-        while stack:
-            node = stack.pop()
-            if node.tag not in skip:
-                yield node
-                stack += [c for c in reversed(node.children) if isinstance(c, Node)]
-
-    def text(self, skip: frozenset = frozenset()) -> str:
-        out, stack = [], [self]
-        while stack:
-            node = stack.pop()
-            if isinstance(node, str):
-                out.append(node)
-            elif node.tag not in skip:
-                stack += reversed(node.children)
-        return re.sub(r"\s+", " ", "".join(out)).strip()
-
-
-class _Tree(HTMLParser):
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.root = self.at = Node("#", {})
-
-    def handle_starttag(self, tag, attrs):
-        if tag == "p" and self.at.tag == "p":
-            self.at = self.at.parent
-        node = Node(tag, {k: v or "" for k, v in attrs}, self.at)
-        self.at.children.append(node)
-        if tag not in VOID:
-            self.at = node
-
-    def handle_endtag(self, tag):
-        node = self.at
-        while node.parent and node.tag != tag:
-            node = node.parent
-        if node.parent:
-            self.at = node.parent
-
-    def handle_data(self, data):
-        self.at.children.append(data)
-
-
-def parse(html: str) -> Node:
-    tree = _Tree()
-    tree.feed(html or "")
-    tree.close()
-    return tree.root
-
-
 def metas(root: Node) -> dict[str, str]:
     out: dict[str, str] = {}
     for n in root.walk():
@@ -156,56 +98,19 @@ def published(root: Node) -> str:
     return ""
 
 
-def block_texts(node: Node) -> list[str]:
-    """Texts of an element's innermost blocks, outside of menus, footers and the like."""
-    noise = frozenset(NOISE)
-    return [t for b in node.walk(noise) if b.tag in BLOCKS and not any(c.tag in BLOCKS for c in b.children if isinstance(c, Node)) and (t := b.text(noise))]
-
-
 def body(root: Node) -> tuple[str, str]:
-    """Text and how it was found: the block that scores best by its paragraphs less its links, or a longer JSON-LD body."""
-    best, score = "", 0.0
-    noise = frozenset(NOISE)
-    for n in root.walk(noise):
-        if n.tag not in ("article", "main", "section", "div", "body", "#"):
-            continue
-        blocks = block_texts(n)
-        text = "\n".join(dict.fromkeys(blocks)) or n.text(noise)
-        links = sum(len(a.text()) for a in n.walk(noise) if a.tag == "a")
-        own = len(text) + 120 * len(blocks) - 2 * min(links, len(text)) + (1 if n.tag == "article" else 0)
-        if own > score:
-            best, score = text, own
+    """Text and how it was found: the element that scores best, or a longer JSON-LD body."""
+    best = extract.best_block(root)
     ld = max((x["articleBody"].strip() for x in json_ld(root) if isinstance(x.get("articleBody"), str)), key=len, default="")
     return (ld, "json_ld") if len(ld) > len(best) else (best, "dom_or_structured_full_text" if best else "")
 
 
-def matches(node: Node, selector: str) -> bool:
-    """Whether an element is one that ``#id``, ``.class``, ``.both.classes`` or ``.outer .inner`` names."""
-    *outer, own = selector.split()
-    wanted = re.findall(r"([#.])([^#.]+)", own)
-    classes = node.attrs.get("class", "").split()
-    if not all(node.attrs.get("id") == name if kind == "#" else name in classes for kind, name in wanted):
-        return False
-    if not outer:
-        return True
-    up = node.parent
-    while up:
-        if matches(up, " ".join(outer)):
-            return True
-        up = up.parent
-    return False
-
-
 def strict_body(root: Node, source: str) -> str | None:
     """The longest text of a channel's one body element, empty if a page has none; null for channels without one."""
     selector = STRICT.get((source or "").strip().lower())
     if selector is None:
         return None
-    found = []
-    for n in root.walk():
-        if matches(n, selector):
-            found.append("\n".join(dict.fromkeys(block_texts(n))) or n.text(frozenset(NOISE)))
-    return max(found, key=len, default="")
+    return max((extract.own_text(n) for n in select(root, selector)), key=len, default="")
 
 
 def page_articles(pages: DataFrame, *, url: str = "url", html: str = "html", source: str = "source_name") -> DataFrame:
@@ -213,8 +118,9 @@ def page_articles(pages: DataFrame, *, url: str = "url", html: str = "html", sou
     content_issue``.
 
     The address is the declared one, unless that is a placeholder or dated differently. A date in the address goes
-    before the one written on the page. The body is cut at stop markers and legal lines, the title of the channel that
-    names itself is repaired, and the completeness is judged. Pages without title and text are left out; null pages
+    before the one written on the page. The body is the best element's text or the full text of the page, whichever is
+    longer once it is cut at stop markers and legal lines; channels with one body element take that if it is there. The
+    title of the channel that names itself is repaired, and the completeness is judged. Pages without title and text are left out; null pages
     are such; other columns are left out.
     """
     pages = pages.select(F.col(url).alias("url"), F.col(html).alias("html"), F.coalesce(source, F.lit("")).alias("source_name"))
@@ -225,17 +131,22 @@ def page_articles(pages: DataFrame, *, url: str = "url", html: str = "html", sou
             for address, page, name in zip(frame["url"], frame["html"], frame["source_name"], strict=True):
                 root = parse(page)
                 content, method = body(root)
+                full = extract.full_text(root)
                 own = strict_body(root, name)
-                if own is not None:
-                    content, method = (own, "dom_or_structured_full_text") if own else ("", "")
+                if own is not None:  # the one element bounds the body; without it the page has what the full text finds
+                    content, method, full = (own, "dom_or_structured_full_text", "") if own else ("", "", full)
                 declared = next((n.attrs.get("href", "") for n in root.walk() if n.tag == "link" and "canonical" in n.attrs.get("rel", "").lower()), "") or metas(root).get("og:url", "")
                 target = resolve_canonical(address or "", declared, lambda u: (re.search(DATE_IN_URL, u) or [""])[0])
-                rows.append((target, name, title(root), published(root), content, method))
-            yield pd.DataFrame(rows, columns=["url", "source_name", "title", "written", "content", "method"])
-
-    made = pages.mapInPandas(run, "url string, source_name string, title string, written string, content string, method string").where("title <> '' OR content <> ''")
+                rows.append((target, name, title(root), published(root), content, method, full))
+            yield pd.DataFrame(rows, columns=["url", "source_name", "title", "written", "content", "method", "full"])
+
+    made = pages.mapInPandas(run, "url string, source_name string, title string, written string, content string, method string, full string")
+    made = made.withColumn("content", trim_body(F.col("content"))).withColumn("full", trim_body(F.col("full")))
+    longer = F.length("full") > F.length("content")
+    made = made.withColumn("method", F.when(longer, FULL_TEXT).otherwise(F.col("method"))).withColumn("content", F.when(longer, F.col("full")).otherwise(F.col("content")))
+    made = made.where("title <> '' OR content <> ''")
     dated = F.coalesce(url_date(F.col("url")), published_date(F.col("written")))
-    rows = made.select("url", "source_name", "title", F.coalesce(dated.cast("string"), "written").alias("published_at"), trim_body(F.col("content")).alias("content"), F.col("method").alias("content_extraction"))
+    rows = made.select("url", "source_name", "title", F.coalesce(dated.cast("string"), "written").alias("published_at"), "content", F.col("method").alias("content_extraction"))
     rows = rows.withColumn("title", repaired_title(F.col("title"), F.col("content"), F.col("source_name"))).withColumn("_v", assess(F.col("content"), F.col("content_extraction")))
     return rows.select("url", "source_name", "title", "published_at", "content", "content_extraction", F.col("_v.status").alias("content_status"), F.col("_v.issue").alias("content_issue"))
 
@@ -263,6 +174,34 @@ def articles(pages: DataFrame, url: str = "url", html: str = "html") -> DataFram
     return pages.mapInPandas(run, schema)
 
 
+def heads(pages: DataFrame, html: str = "html") -> DataFrame:
+    """What pages say of themselves, beside their other columns: title, time and declared address; no body is read."""
+    keep = [c for c in pages.columns if c != html]
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema if f.name != html), "title string", "published_at string", "declared_url string"])
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            roots = [parse(text) for text in frame[html]]
+            rows = [(title(r), published(r), next((n.attrs.get("href", "") for n in r.walk() if n.tag == "link" and "canonical" in n.attrs.get("rel", "").lower()), "")) for r in roots]
+            yield pd.concat([frame[keep], pd.DataFrame(rows, columns=["title", "published_at", "declared_url"], index=frame.index)], axis=1)
+
+    return pages.mapInPandas(run, schema)
+
+
+def bodies(pages: DataFrame, html: str = "html") -> DataFrame:
+    """Texts of pages, beside their other columns: ``body`` of the best element, how it was found, and ``full_text``."""
+    keep = [c for c in pages.columns if c != html]
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema if f.name != html), "body string", "method string", "full_text string"])
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            roots = [parse(text) for text in frame[html]]
+            rows = [(*body(r), extract.full_text(r)) for r in roots]
+            yield pd.concat([frame[keep], pd.DataFrame(rows, columns=["body", "method", "full_text"], index=frame.index)], axis=1)
+
+    return pages.mapInPandas(run, schema)
+
+
 def listing(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """Links of listing pages in their order: the page's address, ``pos, link, title``; the first of each address."""
 

@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.functions import channels, dates, text, urls
-from newsloom.functions.html import articles as parsed_pages
-from newsloom.functions.html import listing
+from newsloom.functions.html import heads, listing
 from newsloom.operators import articles as A
 from newsloom.operators import audit, classify, incidents, rollup
 from newsloom.plans import inputs, sql
@@ -506,7 +505,7 @@ def feed_pages(spark, d):
 
 @query(r"""SELECT page_id, regexp_replace(regexp_replace(replace(replace(replace(replace(regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g'), '^ | $', '', 'g') AS title FROM pages""")
 def page_titles(spark, d):
-    return parsed_pages(inputs.table(spark, d, "pages").select("page_id", "html")).select("page_id", "title")
+    return heads(inputs.table(spark, d, "pages").select("page_id", "html")).where("title <> ''").select("page_id", "title")
 
 
 @query("SELECT page_id, len(list_distinct(regexp_extract_all(html, '<a href=\"([^\"#]*)\"', 1))) AS links FROM pages")
