@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from newsloom.operators import audit, incidents, ledger
 from newsloom.plans import inputs, sql
-from newsloom.plans.registry import query
+from newsloom.plans.registry import dated, query
+from newsloom.sources import scratch
+from newsloom.sources.store import Store
 
 #: Fixed values in SQL: states that ask for something, and open and successful ones.
 BAD, OPEN = "('failed', 'zero', 'degraded')", "('pending_confirmation', 'confirmed', 'recovering', 'recovery_failed')"
@@ -117,3 +119,17 @@ def recovery_attempts(spark, d):
     outcomes = queue.select("id", F.when(k % 4 == 0, 1).otherwise(0).alias("exit_code"), F.when(k % 8 == 0, "no route").alias("reason"))
     done = incidents.end_recovery(incidents.begin_recovery(queue, F.lit("now")), inputs.channel_days(spark, d), F.lit("now"), outcomes)
     return done.select("id", "status", "attempts", "recovered_articles", "last_error", "last_attempt_at")
+
+
+@query(sql.ARTICLES + sql.WORTH + """, b AS (
+  SELECT url_key, seq % 4 >= 2 AS late, content, content_status, cls, tier, w FROM worth QUALIFY row_number() OVER (PARTITION BY url_key, seq % 4 >= 2 ORDER BY tier DESC, w DESC, seq) = 1
+), o AS (SELECT * FROM b WHERE NOT late), n AS (SELECT * FROM b WHERE late),
+m AS (SELECT coalesce(o.url_key, n.url_key) AS url_key, o.url_key IS NULL AS fresh, n.url_key IS NOT NULL AND (o.url_key IS NULL OR n.tier > o.tier OR n.tier = o.tier AND n.w > o.w) AS wins, o.content AS oc, n.content AS nc, o.content_status AS os, n.content_status AS ns, o.cls AS ol, n.cls AS nl FROM o FULL JOIN n ON o.url_key = n.url_key)
+SELECT url_key, md5(CASE WHEN wins THEN nc ELSE oc END) AS digest, CASE WHEN wins THEN ns ELSE os END AS content_status, CASE WHEN wins AND (fresh OR nl IN ('classified', 'unclassified') OR nl = 'error' AND ol NOT IN ('classified', 'unclassified')) THEN nl ELSE ol END AS classification FROM m""")
+def stored_articles(spark, d):
+    """SNK-2, DED-2: a stored table after two batches, of which the second changes what is better and adds what is new."""
+    rows = dated(spark, d).select("url_key", "seq", "content", "content_status", "industry_classification_status")
+    table = Store(spark, scratch.fresh(spark, "articles"), "url_key", buckets=8)
+    for late in (False, True):
+        table.put(rows.where((F.col("seq") % 4 >= 2) == late).withColumnRenamed("seq", "_seq"))
+    return table.read().select("url_key", F.md5("content").alias("digest"), "content_status", F.col("industry_classification_status").alias("classification"))

@@ -6,28 +6,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.functions.urls import canonical_url
-from newsloom.operators.articles import upsert
-from newsloom.sources.files import ARTICLE, latest_version, versions, write_version
+from newsloom.sources.files import ARTICLE
+from newsloom.sources.store import Store
 
 
 def ingest(spark: SparkSession, landing: str, table: str, checkpoint: str):
-    """A query that merges landing JSON lines into versions of a table by canonical address, each micro-batch once.
+    """A query that merges landing JSON lines into a stored table (``sources.store``) by canonical address, each
+    micro-batch once: its label is in the log, so a batch that is run again changes nothing.
 
-    A batch that is run again finds its version committed and changes nothing. Rows of a batch are numbered behind
-    all stored ones, so the first of equals stays the first. Each batch writes the whole table anew: let a trigger
-    gather much before it runs.
+    Rows of a batch are numbered behind all stored ones, so the first of equals stays the first. A batch writes its own
+    new and better rows, and reads only the buckets that may hold its addresses.
     """
     incoming = spark.readStream.schema(ARTICLE).json(landing)
+    store = Store(spark, table, "_key")
 
     def merge(batch: DataFrame, epoch: int) -> None:
-        label = f"batch{epoch}"
-        if any(done and name == label for _, name, _, done in versions(spark, table)):
-            return
-        last = latest_version(spark, table)
-        stored = spark.read.parquet(last) if last else None
-        begin = (stored.agg(F.max("_seq")).first()[0] or 0) + 1 if last else 0
-        new = batch.withColumn("_seq", F.monotonically_increasing_id() + F.lit(begin)).withColumn("_key", canonical_url("url"))
-        write_version(upsert(new.limit(0) if stored is None else stored, new, "_key", "_seq").drop("change"), table, label)
+        store.put(batch.withColumn("_seq", F.monotonically_increasing_id()).withColumn("_key", canonical_url("url")), label=f"batch{epoch}")
 
     return incoming.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

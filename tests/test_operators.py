@@ -144,11 +144,14 @@ def test_export_and_download(spark, tmp_path):
 
 
 def test_streaming_upsert_is_idempotent(spark, tmp_path):
+    from newsloom.sources.store import Store
     from newsloom.streaming.ingest import ingest
 
     (tmp_path / "in").mkdir()
     for k, (url, text) in enumerate([("https://h.org/u", "short"), ("https://h.org/u?utm_source=x", "longer text")]):
         (tmp_path / "in" / f"{k}.json").write_text(json.dumps({"url": url, "content": text, "content_status": "unknown"}) + "\n")
         ingest(spark, str(tmp_path / "in"), str(tmp_path / "t"), str(tmp_path / "c")).awaitTermination()
-    rows = spark.read.parquet(files.latest_version(spark, str(tmp_path / "t"))).collect()
-    assert [r["content"] for r in rows] == ["longer text"]
+    table = Store(spark, str(tmp_path / "t"), "_key")
+    assert [r["content"] for r in table.read().collect()] == ["longer text"]
+    batch = spark.createDataFrame([("https://h.org/v", "again", "full", 0)], "_key string, content string, content_status string, _seq long")
+    assert table.put(batch, label="batch0") == {"added": 0, "updated": 0, "kept": 0, "read": 0}  # that batch is in
