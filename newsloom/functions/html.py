@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.functions import extract
+from newsloom.functions import extract, free_dates
 from newsloom.functions.dates import published_date, url_date
 from newsloom.functions.dom import NOISE, Node, parse
 from newsloom.functions.selectors import select
@@ -26,6 +26,8 @@ DATE_METAS = ["article:published_time", "publishdate", "pubdate", "date", "dc.da
 DATE_IDS, DAY_FIRST = re.compile(r"(?:published|publish).*date", re.I), re.compile(r"\d{1,2}/\d{1,2}/20\d{2}")
 DATE_CLASSES = ["time-source-address", "article-time", "publish-time", "publish-date", "pubtime", "showtitinfo", "qr_code", "date", "time"]
 DATE_VALUE = re.compile(r"(20\d{2}[-/.]\d{1,2}[-/.]\d{1,2}(?:\s+\d{1,2}:\d{2}(?::\d{2})?)?)")
+#: Fixed value: channels that write the day before the month.
+DAY_FIRST_CHANNELS = ["4c offshore"]
 #: How the text of a page was found if its lines decided, not one element.
 FULL_TEXT = "block_full_text"
 #: Channels whose body is in one element and nowhere else; ids, classes, and elements within elements.
@@ -137,15 +139,17 @@ def page_articles(pages: DataFrame, *, url: str = "url", html: str = "html", sou
                     content, method, full = (own, "dom_or_structured_full_text", "") if own else ("", "", full)
                 declared = next((n.attrs.get("href", "") for n in root.walk() if n.tag == "link" and "canonical" in n.attrs.get("rel", "").lower()), "") or metas(root).get("og:url", "")
                 target = resolve_canonical(address or "", declared, lambda u: (re.search(DATE_IN_URL, u) or [""])[0])
-                rows.append((target, name, title(root), published(root), content, method, full))
-            yield pd.DataFrame(rows, columns=["url", "source_name", "title", "written", "content", "method", "full"])
+                written = published(root)
+                day_first = (name or "").strip().lower() in DAY_FIRST_CHANNELS
+                rows.append((target, name, title(root), written, free_dates.read(written, day_first), content, method, full))
+            yield pd.DataFrame(rows, columns=["url", "source_name", "title", "written", "read", "content", "method", "full"])
 
-    made = pages.mapInPandas(run, "url string, source_name string, title string, written string, content string, method string, full string")
+    made = pages.mapInPandas(run, "url string, source_name string, title string, written string, read string, content string, method string, full string")
     made = made.withColumn("content", trim_body(F.col("content"))).withColumn("full", trim_body(F.col("full")))
     longer = F.length("full") > F.length("content")
     made = made.withColumn("method", F.when(longer, FULL_TEXT).otherwise(F.col("method"))).withColumn("content", F.when(longer, F.col("full")).otherwise(F.col("content")))
     made = made.where("title <> '' OR content <> ''")
-    dated = F.coalesce(url_date(F.col("url")), published_date(F.col("written")))
+    dated = F.coalesce(url_date(F.col("url")), published_date(F.col("written"), F.lower(F.trim("source_name")).isin(DAY_FIRST_CHANNELS)), F.col("read").cast("date"))
     rows = made.select("url", "source_name", "title", F.coalesce(dated.cast("string"), "written").alias("published_at"), "content", F.col("method").alias("content_extraction"))
     rows = rows.withColumn("title", repaired_title(F.col("title"), F.col("content"), F.col("source_name"))).withColumn("_v", assess(F.col("content"), F.col("content_extraction")))
     return rows.select("url", "source_name", "title", "published_at", "content", "content_extraction", F.col("_v.status").alias("content_status"), F.col("_v.issue").alias("content_issue"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions import extract, html
 from newsloom.functions.dom import parse
+from newsloom.functions.free_dates import free_date
 from newsloom.functions.selectors import compiled
 from newsloom.plans import inputs
 from newsloom.plans.registry import query
@@ -126,3 +127,21 @@ def selected_elements(spark, d):
 
     hits = inputs.table(spark, d, "pages").select("page_id", "html").mapInPandas(run, "page_id long, selector int")
     return hits.groupBy("page_id", "selector").agg(F.count("*").alias("n"))
+
+
+#: Spellings of a date in texts, by Spark's patterns, with what stands around them.
+SPELLED = [
+    ("Published on ", "EEEE, MMMM d, yyyy", " by A. Writer | 4 min read"), ("", "d MMM yyyy", " 10:15:00 +0800"), ("Updated ", "MM/dd/yyyy", " 11:30 AM"), ("发布时间：", "yyyy年M月d日", " 08:00 来源：x"), ("", "d-MMM-yyyy", ""),
+    ("Edition of ", "d MMMM yyyy", ", page 12"), ("on ", "yyyy.MM.dd", "."), ("", "yyyyMMdd", "T101500Z"), ("no day: ", "MMMM yyyy", ""),
+]
+
+
+@query(f"SELECT o_orderkey, CASE WHEN o_orderkey % {len(SPELLED)} < {len(SPELLED) - 1} THEN CAST(o_orderdate AS DATE) END AS day FROM orders")
+def spelled_dates(spark, d):
+    """DAT-1: the day of every order, written in words and numbers of many orders, and read again."""
+    o, k = inputs.table(spark, d, "orders"), F.col("o_orderkey") % len(SPELLED)
+    day = F.col("o_orderdate").cast("date")
+    written = F.lit(None).cast("string")
+    for i, (before, spelling, after) in enumerate(SPELLED):
+        written = F.when(k == i, F.concat(F.lit(before), F.date_format(day, spelling), F.lit(after))).otherwise(written)
+    return o.select("o_orderkey", free_date(written).alias("day"))

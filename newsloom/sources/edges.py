@@ -1,60 +1,25 @@
-"""Edges to the outside as injected interfaces, with offline stand-ins: fetching, delivery, signing, channel rules."""
+"""Edges to the outside as injected interfaces: delivery of messages, signing, downloads. Fetching is in ``fetching``."""
 
 from __future__ import annotations
 
 import base64
 import hashlib
 import hmac
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from urllib.parse import quote_plus
 
-import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from newsloom.functions.text import is_challenge_page, present
-
-#: Retries of a request and what deserves one.
-RETRIES, RETRY_ON = 3, {429, 500, 502, 503, 504}
-
-
-def fetch(urls: DataFrame, get: Callable[[str], tuple[int, str, str]], allowed: Callable[[str], bool] = lambda _: True) -> DataFrame:
-    """Pages of addresses by an injected request (status, content type, body): ``url, html, error``.
-
-    Statuses that may pass are tried again. What robots forbid, what is no page, and empty pages are errors.
-    """
-
-    def one(url: str) -> tuple[str | None, str | None]:
-        if not allowed(url):
-            return None, "robots"
-        for _ in range(RETRIES + 1):
-            status, kind, text = get(url)
-            if status not in RETRY_ON:
-                break
-        if status != 200:
-            return None, f"http {status}"
-        if "html" not in kind and "xml" not in kind:
-            return None, "not a page"
-        return (text, None) if text.strip() else (None, "empty")
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            got = [one(u) for u in frame["url"]]
-            yield pd.DataFrame({"url": frame["url"].tolist(), "html": [g[0] for g in got], "error": [g[1] for g in got]})
-
-    rows = urls.select("url").mapInPandas(run, "url string, html string, error string")
-    return rows.withColumn("error", F.when(is_challenge_page(present("html")), "access challenge").otherwise(F.col("error")))
-
 
 def signature(secret: str, millis: int) -> str:
     """What a chat webhook wants beside its address: HMAC-SHA256 of time and secret, base64, quoted."""
     return quote_plus(base64.b64encode(hmac.new(secret.encode(), f"{millis}\n{secret}".encode(), hashlib.sha256).digest()))
 
 
-def message(rows: list[dict], cap: int = 30) -> str:
-    """A list of incidents for a chat, at most ``cap`` of them with the number of the rest."""
+def message(rows: list[dict], cap: int = 30, total: int | None = None) -> str:
+    """A list of incidents for a chat, at most ``cap`` of them with the number of the rest (of ``total``)."""
+    total = len(rows) if total is None else total
     lines = [f"- {r['date']} {r['source']}: {r['status']}" for r in rows[:cap]]
-    return "\n".join(lines + [f"- and {len(rows) - cap} more"] * (len(rows) > cap))
+    return "\n".join(lines + [f"- and {total - cap} more"] * (total > cap))
 
 
 def deliver(changes: DataFrame, send: Callable[[str], bool], tries: int = 3, cap: int = 30) -> bool:
@@ -66,7 +31,7 @@ def deliver(changes: DataFrame, send: Callable[[str], bool], tries: int = 3, cap
     if not total:
         return True
     rows = [r.asDict() for r in changes.limit(cap).collect()]
-    return any(send(message(rows + [{}] * (total - len(rows)), cap)) for _ in range(tries))
+    return any(send(message(rows, cap, total)) for _ in range(tries))
 
 
 def download_workbook(token: Callable[[], str], get: Callable[[str], bytes], least: int = 1024) -> bytes:

@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from newsloom.functions import free_dates
 from newsloom.functions.dates import once, published_date
 from newsloom.functions.dom import Node, parse
 from newsloom.functions.selectors import compiled, first, select
@@ -140,7 +141,7 @@ def page_cards(root: Node, rule: Cards, base: str) -> tuple[list[tuple[str, str,
 def read_listings(pages: DataFrame) -> DataFrame:
     """What the pages ``name, page_url, page_no, html`` hold by the rules of their channel: ``FOUND``.
 
-    A card has ``selector`` -1 and the texts that may be its date. A page with a next one has a row for that alone,
+    A card has ``selector`` -1 and the texts that may be its date, those that are one as yyyy-mm-dd. A page with a next one has a row for that alone,
     with a null link. Pages that are null or empty give nothing; addresses that are none are left out.
     """
 
@@ -151,7 +152,7 @@ def read_listings(pages: DataFrame) -> DataFrame:
                 root, rule = parse(html), channels.channel(name)
                 if rule.cards:
                     cards, following = page_cards(root, rule.cards, base or "")
-                    out += [(name, base, number, CARD, k, link, title, dates, None) for k, (link, title, dates) in enumerate(cards)]
+                    out += [(name, base, number, CARD, k, link, title, [free_dates.read(d) or d for d in dates], None) for k, (link, title, dates) in enumerate(cards)]
                 else:
                     out += [(name, base, number, s, k, link, title, None, None) for s, k, link, title in page_links(root, rule, base or "", html or "")]
                     nodes = select(root, rule.next_) if rule.next_ else []
