@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from newsloom.operators import audit, incidents, ledger
+from newsloom.operators import audit, incidents, ledger, taxonomy
 from newsloom.plans import inputs, sql
 from newsloom.plans.registry import dated, query
 from newsloom.sources import scratch
@@ -133,3 +133,18 @@ def stored_articles(spark, d):
     for late in (False, True):
         table.put(rows.where((F.col("seq") % 4 >= 2) == late).withColumnRenamed("seq", "_seq"))
     return table.read().select("url_key", F.md5("content").alias("digest"), "content_status", F.col("industry_classification_status").alias("classification"))
+
+
+@query(sql.ARTICLES + """, leaf AS (SELECT DISTINCT domain || ' > ' || source_name || ' > ' || sub_domain AS path FROM articles),
+allowed AS (SELECT DISTINCT domain || ' > ' || source_name || ' > ' || sub_domain AS path FROM articles WHERE content_status = 'full' UNION SELECT DISTINCT domain || ' > ' || source_name FROM articles WHERE seq % 50 = 0)
+SELECT 'missing' AS kind, path FROM leaf WHERE path NOT IN (SELECT path FROM allowed) UNION ALL SELECT 'extra', path FROM allowed WHERE path NOT IN (SELECT path FROM leaf)""")
+def taxonomy_gaps(spark, d):
+    """JOI-17, SET-2: leaves of a tree of topics (domain, channel, sub-domain of all articles) against a taxonomy."""
+    a = inputs.articles(spark, d).select("seq", "domain", "source_name", "sub_domain", "content_status")
+    channel, leaf = F.concat_ws("/", "domain", "source_name"), F.concat_ws("/", "domain", "source_name", "sub_domain", F.lit("."))
+    roots = a.select(F.col("domain").alias("topic"), F.lit(None).cast("string").alias("parent"), F.col("domain").alias("title"))
+    topics = roots.unionByName(a.select(channel.alias("topic"), F.col("domain").alias("parent"), F.col("source_name").alias("title")))
+    topics = topics.unionByName(a.select(leaf.alias("topic"), channel.alias("parent"), F.col("sub_domain").alias("title"))).distinct()
+    allowed = a.where("content_status = 'full'").select(F.array("domain", "source_name", "sub_domain").alias("path"))
+    allowed = allowed.unionByName(a.where("seq % 50 = 0").select(F.array("domain", "source_name").alias("path")))
+    return taxonomy.compare(taxonomy.leaves_of(topics), allowed)

@@ -4,11 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 import io
+import itertools
 import re
-import zipfile
-from collections.abc import Iterator
-from xml.etree import ElementTree
-from xml.sax.saxutils import escape
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +14,7 @@ from pyspark.sql import types as T
 
 from newsloom.functions.text import is_challenge, present, strip
 from newsloom.operators.articles import FIELDS, normalise
+from newsloom.sources import workbooks
 
 MATCH = "array<struct<path:array<string>,path_text:string,confidence:double,reason:string>>"
 ARTICLE = ", ".join(f"{c} {MATCH if c == 'industry_classifications' else 'string'}" for c in FIELDS)
@@ -174,38 +172,15 @@ def purge_challenges(rows: DataFrame) -> DataFrame:
 #: Headers of the channel workbook, and of the export workbook with the names that they may have.
 SOURCE_HEADERS = {"name": "媒体名称", "media_type": "媒体类型", "domain": "领域", "sub_domain": "细分领域", "frequency": "更新频率", "description": "简介", "note": "备注", "url": "链接"}
 EXPORT_HEADERS = {"title": ["新闻标题"], "published_at": ["发布时间"], "media": ["发布媒体"], "url": ["链接"], "content": ["新闻全文"]}
-_NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
-
-
-def workbook_rows(data: bytes) -> Iterator[list[str]]:
-    """Rows of a workbook's first sheet as texts, by the standard library alone."""
-    with zipfile.ZipFile(io.BytesIO(data)) as book:
-        shared = []
-        if "xl/sharedStrings.xml" in book.namelist():
-            shared = ["".join(t.text or "" for t in si.iter(f"{_NS}t")) for si in ElementTree.fromstring(book.read("xl/sharedStrings.xml")).iter(f"{_NS}si")]
-        for row in ElementTree.fromstring(book.read("xl/worksheets/sheet1.xml")).iter(f"{_NS}row"):
-            cells: dict[int, str] = {}
-            for i, cell in enumerate(row.iter(f"{_NS}c")):
-                letters = re.match(r"[A-Z]+", cell.get("r", ""))
-                at = sum((ord(x) - 64) * 26**k for k, x in enumerate(reversed(letters[0]))) - 1 if letters else i
-                raw = cell.find(f"{_NS}v")
-                text = "".join(t.text or "" for t in cell.iter(f"{_NS}t")) if cell.get("t") == "inlineStr" else (raw.text or "") if raw is not None else ""
-                cells[at] = shared[int(text)] if cell.get("t") == "s" and text else text
-            yield [cells.get(k, "") for k in range(max(cells, default=-1) + 1)]
 
 
 def write_workbook(sheets: dict[str, tuple[list[str], list[list]]]) -> bytes:
     """A workbook of sheets of (header, rows), for small roll-ups that a person opens."""
     out = io.BytesIO()
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as book:
-        names = list(sheets)
-        book.writestr("[Content_Types].xml", '<?xml version="1.0"?><Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/>' + "".join(f'<Override PartName="/xl/worksheets/sheet{i}.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>' for i in range(1, len(names) + 1)) + "</Types>")
-        book.writestr("_rels/.rels", '<?xml version="1.0"?><Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="r1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/officeDocument" Target="xl/workbook.xml"/></Relationships>')
-        book.writestr("xl/workbook.xml", f'<?xml version="1.0"?><workbook xmlns="{_NS[1:-1]}" xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"><sheets>' + "".join(f'<sheet name="{escape(n)}" sheetId="{i}" r:id="r{i}"/>' for i, n in enumerate(names, 1)) + "</sheets></workbook>")
-        book.writestr("xl/_rels/workbook.xml.rels", '<?xml version="1.0"?><Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">' + "".join(f'<Relationship Id="r{i}" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/worksheet" Target="worksheets/sheet{i}.xml"/>' for i in range(1, len(names) + 1)) + "</Relationships>")
-        for i, (header, rows) in enumerate(sheets.values(), 1):
-            cell = lambda v: f"<c><v>{v}</v></c>" if isinstance(v, int | float) and not isinstance(v, bool) else f'<c t="inlineStr"><is><t xml:space="preserve">{escape("" if v is None else str(v))}</t></is></c>'
-            book.writestr(f"xl/worksheets/sheet{i}.xml", f'<?xml version="1.0"?><worksheet xmlns="{_NS[1:-1]}"><sheetData>' + "".join("<row>" + "".join(map(cell, row)) + "</row>" for row in [header, *rows]) + "</sheetData></worksheet>")
+    book = workbooks.Book(out)
+    for name, (header, content) in sheets.items():
+        book.sheet(name, header, content)
+    book.close()
     return out.getvalue()
 
 
@@ -227,12 +202,14 @@ def _sheets(spark: SparkSession, path: str, fields: dict[str, list[str]]) -> Dat
 
         for frame in frames:
             for name, data in zip(frame["path"], frame["content"], strict=True):
-                rows = iter(workbook_rows(bytes(data)))
+                rows = workbooks.rows(bytes(data))
                 header = [header_names(h) for h in next(rows, [])]
                 at = {f: next((i for i, h in enumerate(header) if h & set(names)), None) for f, names in fields.items()}
                 if missing := [f for f, i in at.items() if i is None]:
                     raise ValueError(f"{name} has no column for {', '.join(missing)}")
-                yield pd.DataFrame([{f: row[i].strip() if i < len(row) else "" for f, i in at.items()} | {"_pos": k} for k, row in enumerate(rows)], columns=[*fields, "_pos"])
+                numbered = enumerate(rows)
+                while part := list(itertools.islice(numbered, workbooks.BATCH)):
+                    yield pd.DataFrame([{f: row[i].strip() if i < len(row) else "" for f, i in at.items()} | {"_pos": k} for k, row in part], columns=[*fields, "_pos"])
 
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, ", ".join(f"{f} string" for f in fields) + ", _pos long")
 
