@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from functools import reduce
 
@@ -120,6 +121,11 @@ def redact(text: Column, limit: int = 2000) -> Column:
     return F.left(F.regexp_replace(present(text), SECRET, "$1[REDACTED]"), F.lit(limit))
 
 
+def redacted(text: str) -> str:
+    """``redact`` for one text that is already on the driver."""
+    return re.sub(SECRET, r"\1[REDACTED]", text)
+
+
 def clip(text: Column, limit: int) -> Column:
     """Head (72 %) and tail of a long text around a marker, on collapsed blanks."""
     flat = strip(F.regexp_replace(present(text), r"(?U)\s+", " "))

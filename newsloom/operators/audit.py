@@ -170,7 +170,7 @@ def merge_health(stats: DataFrame, health: DataFrame, inventory: DataFrame, day:
 
     A channel that reports zero but has articles stored is ``already_collected``.
     """
-    found = health.withColumn("date", day).join(inventory.select("date", "source", "article_count", "usable_articles"), ["date", "source"], "left")
+    found = health.select("source", "frequency", "status", day.alias("date")).join(inventory.select("date", "source", "article_count", "usable_articles"), ["date", "source"], "left")
     n = F.coalesce("article_count", F.lit(0).cast("long"))
     fresh = found.select("date", "source", "frequency", F.when((F.col("status") == "zero") & (n > 0), "already_collected").otherwise(F.col("status")).alias("crawl_status"), n.alias("article_count"), F.coalesce("usable_articles", F.lit(0).cast("long")).alias("usable_articles"))
     return stats.join(fresh.select("date", "source"), ["date", "source"], "left_anti").unionByName(fresh)

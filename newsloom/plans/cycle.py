@@ -124,10 +124,10 @@ class Cycle:
         queue = self.put("queue", incidents.end_recovery(queue, found, F.lit(self.now), outcomes))
         self.fold(queue)
 
-    def notify(self, send: Callable[[str], bool]) -> bool:
+    def notify(self, send: Callable[[str], bool], render: Callable[[list[dict], int], str] | None = None) -> bool:
         sent = self.table("sent", SENT)
         changes = incidents.status_changes(self.table("queue", QUEUE), sent)
-        done = deliver(changes, send)
+        done = deliver(changes, send, render=render)
         if done:
             self.put("sent", incidents.mark_sent(sent, changes, F.lit(self.now)), SENT)
         return done

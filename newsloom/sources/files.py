@@ -74,6 +74,18 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Writes a small text beside its place and moves it there, on any file system."""
+    jvm = spark.sparkContext._jvm
+    final, part = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(path + ".part")
+    fs = final.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(part, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.delete(final, False)
+    fs.rename(part, final)
+
+
 def first_path(spark: SparkSession, paths: list[str]) -> str:
     """The first of several places that is there, as for the channel workbook; none of them is an error."""
     for path in paths:
