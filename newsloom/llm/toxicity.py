@@ -30,8 +30,8 @@ BUCKETS, STARTS, ENDS, EPOCHS, RATE, BATCH = 1 << 18, tuple(range(3, 9)), (2, 3)
 EVIDENCE_DOCS, EVIDENCE_SHARE = 5, 0.98
 #: What is in this part of all toxic documents is a mark by itself; anything rarer only where no other explains a document.
 EVIDENCE_PART = 0.01
-#: Bounds of a document's evidence in log odds.
-FLOOR = 15.0
+#: Bounds of a document's evidence in log odds, words that make it, and what a word counts for at least.
+FLOOR, MOST, FAINT = 4.0, 3, -2.0
 #: Words side by side in the blocks of a scan.
 SCAN = 64
 EDGES = re.compile(r"^\W+|\W+$")
@@ -168,13 +168,25 @@ class ToxicityModel:
         return marginals(gain, sizes, self.move, self.prior)[0], sizes
 
     def evidence_of(self, p: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """Log odds of a text's most toxic word, which do not grow with its length; a floor for a text without words."""
+        """Log odds of a text's most toxic words, ``MOST`` of them, added up; a floor for a text without words.
+
+        Words count from ``FAINT`` on, so the sum does not grow with the length of a text, and one word that looks toxic
+        by chance weighs less than several that agree.
+        """
         out = np.full(len(sizes), -FLOOR)
         some = np.flatnonzero(sizes)
         if len(some):
             q = np.clip(p, 1e-12, 1 - 1e-12)
-            odds = np.maximum.reduceat(np.log(q) - np.log1p(-q), (np.cumsum(sizes) - sizes)[some])
-            out[some] = np.clip(odds, -FLOOR, FLOOR)
+            odds = np.log(q) - np.log1p(-q)
+            out[some] = np.maximum.reduceat(odds, (np.cumsum(sizes) - sizes)[some]) + (MOST - 1) * FAINT
+            loud = np.flatnonzero(odds > FAINT)
+            owner = np.searchsorted(np.cumsum(sizes), loud, "right")
+            order = np.lexsort((-odds[loud], owner))
+            loud, owner = loud[order], owner[order]
+            place = np.arange(len(loud)) - np.searchsorted(owner, owner)
+            more = (place > 0) & (place < MOST)
+            np.add.at(out, owner[more], odds[loud[more]] - FAINT)
+            out[some] = np.clip(out[some], -FLOOR, FLOOR)
         return out
 
     def scores(self, p: np.ndarray, sizes: np.ndarray) -> np.ndarray:

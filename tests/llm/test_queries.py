@@ -32,6 +32,15 @@ def test_classifiers(spark, texts, name, parts, held, label):
         assert np.mean([a == b for a, b in known]) >= 0.9
 
 
+def test_toxicity_on_rows_that_it_has_not_seen(spark):
+    """Of the 144 held-out toxic rows here eight have no toxic word at all."""
+    sf = "/root/testdata/sf0.1"
+    truth = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    rows = [r for r in catalog.queries()["op6_toxicity"](spark, sf).select("doc_id", "held_out", "predicted").collect() if r["held_out"] and truth.get(r["doc_id"]) is not None]
+    hits = sum(r["predicted"] for r in rows if truth[r["doc_id"]])
+    assert hits >= 0.87 * sum(truth[r["doc_id"]] for r in rows) and hits >= 0.97 * sum(r["predicted"] for r in rows)
+
+
 def test_tokens(spark, texts):
     import sentencepiece
     from tokenizers import Tokenizer
