@@ -5,7 +5,9 @@ on or stays by a random bit of step and word (Chakraborty, Goldenberg and Koucky
 edits apart come to agree at most steps: edit distance becomes Hamming distance, and words at a sample of steps make
 an LSH key. Windows begin where a word's hash is the least among its neighbours, in items and in texts alike, so a
 passage is met at several places. Independent walks are added until simulated edits of the items are found with the
-wanted recall. What meets by a key is verified by exact edit distance over the window of the item's size.
+wanted recall; items that walks do not find so are met by whole segments instead, of which one more than edits are
+allowed always stands unchanged. What meets by a key is verified by exact edit distance over the windows of the item's
+size, windows that overlap together.
 """
 
 from __future__ import annotations
@@ -25,8 +27,8 @@ from newsloom.llm.shingles import Shingler
 from newsloom.llm.storage import written
 from newsloom.llm.words import chunks, held, trimmed
 
-#: Edits per word of an item that still count as its text; recall wanted of them; fewest walks, and walks after which a
-#: block that still misses its recall is an error; words of items in a pass.
+#: Edits per word of an item that still count as its text; recall wanted of them; fewest walks, and walks after which
+#: items that still miss their recall are met by segments; words of items in a pass.
 RATE, RECALL, LEAST_WALKS, MOST_WALKS, BLOCK_WORDS = 0.15, 0.99, 3, 64, 2_000_000
 #: Neighbours that an anchor is the least of, steps of a walk, and steps that are sampled for a key.
 ANCHOR, STEPS, SAMPLED = 6, 14, 4
@@ -87,6 +89,15 @@ def walk_keys(words: np.ndarray, starts: np.ndarray, walk: int, steps: int, samp
     return mix(key), read
 
 
+def segment_keys(words: np.ndarray, size: int) -> np.ndarray:
+    """Keys of ``size`` words in a row from every place on; those that reach over the end are of no use."""
+    padded = np.r_[words, np.zeros(size, np.uint64)]
+    key = np.full(len(words), size, np.uint64)
+    for j in range(size):
+        key = mix(key * np.uint64(0x9E3779B97F4A7C15) + padded[j : j + len(words)])
+    return key
+
+
 def best_match(masks: dict[int, int], size: int, window: list[int]) -> tuple[int, int]:
     """Least edits between an item and some part of a window, and where that part ends (Myers, 1999)."""
     full, top = (1 << size) - 1, 1 << (size - 1)
@@ -132,6 +143,7 @@ class Benchmark:
     steps: int = STEPS
     sampled: int = SAMPLED
     walks: int = 1
+    lengths: tuple[int, ...] = ()
     keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
     item: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     offset: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
@@ -157,16 +169,32 @@ class Benchmark:
             item.append(owner[starts][good])
             offset.append((starts - begin[owner[starts]])[good])
         self.keys, self.item, self.offset = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (keys, item, offset))
+        self._sorted()
+
+    def _sorted(self) -> None:
         by = np.argsort(self.keys, kind="stable")
         self.keys, self.item, self.offset = self.keys[by], self.item[by], self.offset[by]
         bits = min(FILTER_BITS, len(self.keys).bit_length() + FILTER_SPARE)
         self.filter, self.shift = np.zeros(1 << bits, bool), np.uint64(64 - bits)
         self.filter[(self.keys >> self.shift).astype(np.int64)] = True
 
+    def index_segments(self) -> None:
+        """Keys of segments of all items: each is cut into one more than it may have edits, so one stands unchanged in
+        every text within them, and no such text is missed."""
+        cuts = [np.linspace(0, len(w), e + 2).astype(int).tolist() for w, e in zip(self.items, self.edits, strict=True)]
+        parts = [(k, a, b - a) for k, cut in enumerate(cuts) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+        self.walks, self.lengths = 0, tuple(sorted({n for _, _, n in parts}))
+        flat = np.array([w for item in self.items for w in item], np.uint64)
+        begin = np.cumsum([0, *map(len, self.items)])
+        found = {n: segment_keys(flat, n) for n in self.lengths}
+        self.keys = np.array([found[n][begin[k] + a] for k, a, n in parts], np.uint64)
+        self.item, self.offset = np.array([k for k, _, _ in parts], np.int64), np.array([a for _, a, _ in parts], np.int64)
+        self._sorted()
+
     def calibrate(self, recall: float, trials: int = 400, seed: int = 5) -> float:
         """Adds walks until simulated edits at the full rate are found with the wanted recall; returns the recall.
 
-        If MOST_WALKS do not reach it, that is an error: the items are never searched with less.
+        If MOST_WALKS do not reach it, the items are met by their segments, which misses nothing.
         """
         rng = np.random.default_rng(seed)
         made = []
@@ -188,14 +216,20 @@ class Benchmark:
             found = len(np.unique(owner[hit])) / max(1, len(made))
             if found >= recall:
                 return found
-        raise RuntimeError(f"items of {min(map(len, self.items))} words and more are found with a recall of {found:.3f} only, by {MOST_WALKS} walks")
+        self.index_segments()
+        return 1.0
 
     def meet(self, words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of texts whose key an item's window has: (place, entry of the index), for all walks."""
-        starts = anchors(words, counts, self.span)
+        """Places of texts whose key an item's window has: (place, entry of the index), for all walks or segments."""
         places, entries = [], []
-        for walk in range(self.walks):
-            key, _ = walk_keys(words, starts, walk, self.steps, self.sampled)
+        if self.lengths:
+            ends = np.repeat(np.cumsum(counts), counts)
+            tried = [(np.flatnonzero(np.arange(len(words)) + n <= ends), n) for n in self.lengths]
+            looked = [(at, segment_keys(words, n)[at]) for at, n in tried]
+        else:
+            at = anchors(words, counts, self.span)
+            looked = [(at, walk_keys(words, at, walk, self.steps, self.sampled)[0]) for walk in range(self.walks)]
+        for starts, key in looked:
             maybe = np.flatnonzero(self.filter[(key >> self.shift).astype(np.int64)])
             key = key[maybe]
             low, high = np.searchsorted(self.keys, key, "left"), np.searchsorted(self.keys, key, "right")
@@ -212,19 +246,19 @@ class Benchmark:
         item, start = self.item[entry], at - self.offset[entry]
         tried = np.unique(np.stack([text, item, start], 1), axis=0) if len(at) else np.zeros((0, 3), np.int64)
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for t, k, s in tried.tolist():
+        reach = np.array([len(w) + 2 * e for w, e in zip(self.items, self.edits, strict=True)], np.int64)[tried[:, 1]]
+        far = np.r_[True, (tried[1:, :2] != tried[:-1, :2]).any(1) | (tried[1:, 2] - tried[:-1, 2] > reach[1:])] if len(tried) else np.zeros(0, bool)
+        heads = np.flatnonzero(far)
+        for (t, k, s), (_, _, last_s) in zip(tried[heads].tolist(), tried[np.r_[heads[1:], len(tried)] - 1].tolist() if len(tried) else [], strict=True):
             size, edits = len(self.items[k]), self.edits[k]
             first, last = int(ends[t] - counts[t]), int(ends[t])
-            low, high = max(first, s - edits), min(last, s + size + edits)
-            have = best.get((t, k))
-            if have and (have[0] == 0 or low - first <= have[1] <= s - first + edits):
-                continue
+            low, high = max(first, s - edits), min(last, last_s + size + edits)
             window = words[low:high].tolist()
             found, end = best_match(self.forward[k], size, window)
             if found <= edits:
-                back, length = best_match(self.backward[k], size, window[:end][::-1])
+                _, length = best_match(self.backward[k], size, window[max(0, end - size - found) : end][::-1])
                 got = (found, low - first + end - length, length)
-                if not have or got < have:
+                if (t, k) not in best or got < best[t, k]:
                     best[t, k] = got
         return [(t, k, begin, length, found) for (t, k), (found, begin, length) in sorted(best.items())]
 

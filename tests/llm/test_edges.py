@@ -83,26 +83,50 @@ def test_short_items_and_recall(spark):
         at = rng.randrange(31)
         docs.append((i, " ".join(words[:at] + own + words[at:])))
 
-    def least(item, words):
-        row = [0] * (len(words) + 1)
-        for i, x in enumerate(item, 1):
-            last, row = row, [i] + [0] * len(words)
-            for j, y in enumerate(words, 1):
-                row[j] = min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (x != y))
-        return min(row)
-
-    truth = {(d, k): e for d, t in docs for k, i in items if i and re.findall(r"\w+", i) and (e := least(re.findall(r"\w+", i), t.split())) <= int(0.15 * len(re.findall(r"\w+", i)))}
+    truth = {(d, k): e for d, t in docs for k, i in items if i and re.findall(r"\w+", i) and (e := least_edits(re.findall(r"\w+", i), t.split())) <= int(0.15 * len(re.findall(r"\w+", i)))}
     got = {(r["doc_id"], r["item_id"]): r["edits"] for r in decontaminate.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
     assert all(truth.get(key) == edits for key, edits in got.items())
     assert len(got) >= 0.98 * len(truth) and len(truth) > 60
 
 
-def test_recall_is_never_missed_in_silence(monkeypatch):
+def least_edits(item, words):
+    """Edits between an item and the part of a text that is nearest to it, row by row."""
+    row = [0] * (len(words) + 1)
+    for i, x in enumerate(item, 1):
+        last, row = row, [i] + [0] * len(words)
+        for j, y in enumerate(words, 1):
+            row[j] = min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (x != y))
+    return min(row)
+
+
+def test_items_that_walks_miss_are_met_by_segments(monkeypatch):
+    """Every item and every text, with no link lost: as the walks do not reach such a recall, segments take over."""
     monkeypatch.setattr(decontaminate, "MOST_WALKS", 3)
     rng = np.random.default_rng(1)
-    block = decontaminate.Benchmark(list(range(30)), [rng.integers(0, 1 << 60, 14).tolist() for _ in range(30)])
-    with pytest.raises(RuntimeError, match="recall"):
-        block.calibrate(0.9999)
+    items = [rng.integers(0, 60, int(n)).tolist() for n in rng.integers(1, 40, 60)]
+    texts = []
+    for k in range(400):
+        own = list(items[k % len(items)])
+        for _ in range(int(0.15 * len(own)) + k % 2):
+            at = int(rng.integers(len(own))) if own else 0
+            own[at : at + int(rng.integers(2))] = rng.integers(0, 60, int(rng.integers(2))).tolist()
+        texts.append([*rng.integers(0, 60, int(rng.integers(30))).tolist(), *own, *rng.integers(0, 60, int(rng.integers(30))).tolist()])
+    block = decontaminate.Benchmark(list(range(len(items))), items)
+    assert block.calibrate(1.1) == 1.0 and block.lengths
+    got = {(t, k): edits for t, k, _, _, edits in block.search(np.array([w for t in texts for w in t], np.uint64), np.array(list(map(len, texts))))}
+    want = {(t, k): e for t, text in enumerate(texts) for k, item in enumerate(items) if (e := least_edits(item, text)) <= int(0.15 * len(item))}
+    assert got == want and len(want) > 300
+
+
+def test_the_best_place_of_an_item_counts():
+    """A text that holds an item with edits first and without behind it, so near that the windows of both overlap."""
+    rng = np.random.default_rng(4)
+    item = rng.integers(0, 1 << 60, 40).tolist()
+    worse = [*item[:10], 1, 2, 3, *item[13:]]
+    block = decontaminate.Benchmark([0], [item])
+    block.calibrate(0.99)
+    for text, place in (([*worse, *item], 40), ([*item, *worse], 0), ([*worse[20:], *item, *worse], 20)):
+        assert block.search(np.array(text, np.uint64), np.array([len(text)])) == [(0, 0, place, 40, 0)]
 
 
 def plain_quality(model, text):
