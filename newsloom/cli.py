@@ -135,7 +135,7 @@ def exported(rows: DataFrame) -> DataFrame:
     """Articles of a window, each address once, in the order of an export."""
     have = [c if c in rows.columns else F.lit("").alias(c) for c in [*reports.DETAIL, "category", "category_method"]]
     numbered = rows.select(*have, "summary_date").withColumn("_seq", F.monotonically_increasing_id())
-    return A.rollup_dedup(numbered, "_seq").drop("_seq", "_key")
+    return A.rollup_dedup(numbered, "_seq").drop("_seq")
 
 
 def main(argv: list[str] | None = None, *, run: Runner = call, send: Post = post) -> int:

@@ -69,19 +69,37 @@ def best_by(rows: DataFrame, key: str, seq: str, *, status: str = "content_statu
 
 def fold_best(rows: DataFrame, key: str, seq: str, source: str, title_placeholder: str) -> DataFrame:
     """``best_by`` for records whose title may be the channel's name: such a record gives way to the next titled one
-    of the same rank or a better one, so records are compared one by one in their order."""
-    rest = [c for c in rows.columns if c != key]
-    item = F.struct(F.col(seq).alias("_seq"), content_rank(F.col("content_status")).alias("_rank"), worth(F.col("content_status"), F.col("content")).alias("_worth"), F.struct(*rest).alias("_row"))
-    every = rows.groupBy(key).agg(F.array_sort(F.collect_list(item)).alias("items"))
+    of the same rank or a better one, so records of its key are compared one by one in their order.
+
+    Keys without such a record, nearly all, go by ``best_by``. For the others only numbers are gathered: of every run of
+    records between two that may be retitled or retitle, only those that a run of plain ones can end in take part. The
+    records themselves are fetched by a join with the places of the winners. A null key is a key.
+    """
+    title, named = F.lower(strip(present("title"))), F.lower(strip(present(source))) == title_placeholder
+    w = worth(F.col("content_status"), F.col("content"))
+    marks = rows.select(
+        F.col(key).alias("_key"), F.col(seq).alias("_at"), content_rank(F.col("content_status")).alias("_rank"), w["tier"].alias("_tier"), w["chars"].alias("_chars"),
+        (named & (title == title_placeholder)).alias("_open"), ((title != "") & (title != title_placeholder)).alias("_titled"),
+    )
+    odd = marks.where("_open").select("_key").distinct()
+    same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
+    plain = best_by(rows.alias("r").join(odd.alias("o"), same(f"r.{key}", "o._key"), "left_anti").select(*rows.columns), key, seq)
+    own = marks.alias("m").join(odd.alias("o"), same("m._key", "o._key"), "left_semi")
+    # before the first open record a key is a plain one: what comes out of that part is its best, one number a key
+    begin = own.where("_open").groupBy("_key").agg(F.min("_at").alias("_first"))
+    parted = own.alias("m").join(begin.alias("b"), same("m._key", "b._key")).select("m.*", "b._first")
+    before = parted.where("_at < _first").groupBy("_key").agg(F.max(F.struct("_tier", "_chars", (-F.col("_at")).alias("_n"))).alias("_b"))
+    head = parted.alias("m").join(before.alias("b"), same("m._key", "b._key") & (F.col("m._at") == -F.col("b._b._n"))).select("m.*")
+    item = F.struct("_at", "_rank", F.struct("_tier", "_chars").alias("_worth"), "_open", "_titled")
+    every = parted.where("_at >= _first").unionByName(head).groupBy("_key").agg(F.array_sort(F.collect_list(item)).alias("items"))
 
     def better(old: Column, new: Column) -> Column:
-        t_old, t_new = F.lower(strip(present(old["_row"]["title"]))), F.lower(strip(present(new["_row"]["title"])))
-        named = F.lower(strip(present(old["_row"][source]))) == title_placeholder
-        retitled = named & (t_old == title_placeholder) & (t_new != "") & (t_new != t_old) & (new["_rank"] >= old["_rank"])
-        return retitled | (new["_worth"] > old["_worth"])
+        return (old["_open"] & new["_titled"] & (new["_rank"] >= old["_rank"])) | (new["_worth"] > old["_worth"])
 
-    best = F.aggregate(F.slice(F.col("items"), F.lit(2), F.greatest(F.size("items") - 1, F.lit(0))), F.get("items", F.lit(0)), lambda a, x: F.when(better(a, x), x).otherwise(a))
-    return every.select(key, best.alias("b")).select(key, *(F.col(f"b._row.{c}").alias(c) for c in rest)).select(*rows.columns)
+    rest = F.slice("items", F.lit(2), F.greatest(F.size("items") - 1, F.lit(0)))
+    winner = every.select("_key", F.aggregate(rest, F.get("items", F.lit(0)), lambda a, x: F.when(better(a, x), x).otherwise(a))["_at"].alias("_at"))
+    found = rows.alias("r").join(winner.alias("w"), same(f"r.{key}", "w._key") & (F.col(f"r.{seq}") == F.col("w._at")), "left_semi")
+    return plain.unionByName(found.select(*rows.columns))
 
 
 def keeps_own_classification(new: Column, old: Column) -> Column:
@@ -115,16 +133,19 @@ def rollup_key(url: Column, source: Column, title: Column) -> Column:
 
 
 def rollup_dedup(rows: DataFrame, seq: str) -> DataFrame:
-    """The first row of each raw address (or channel and title), by day, channel, title and order of arrival."""
-    rest = [c for c in rows.columns]
+    """The first row of each raw address (or channel and title), by day, channel, title and order of arrival, which is
+    a number of its own for every row. Only keys and what orders them are sorted; texts are moved once, for the join."""
     keyed = rows.withColumn("_key", rollup_key(F.col("url"), F.col("source_name"), F.col("title")))
-    order = F.struct("summary_date", "source_name", "title", seq)
-    return keyed.groupBy("_key").agg(F.min_by(F.struct(*rest), order).alias("r")).select("r.*")
+    first = keyed.groupBy("_key").agg(F.min(F.struct("summary_date", "source_name", "title", seq)).alias("_f")).select("_key", F.col(f"_f.{seq}").alias("_first"))
+    same = F.col("r._key").eqNullSafe(F.col("f._key")) & (F.col(f"r.{seq}") == F.col("f._first"))
+    return keyed.alias("r").join(first.alias("f"), same, "left_semi").select(*rows.columns)
 
 
 def first_seen(rows: DataFrame, key: str, position: str) -> DataFrame:
-    """The row with the lowest position of each key."""
-    return rows.groupBy(key).agg(F.min_by(F.struct(*[c for c in rows.columns if c != key]), F.col(position)).alias("r")).select(key, "r.*")
+    """The row with the lowest position of each key; positions of a key differ. Places are found by partial minima."""
+    first = rows.groupBy(key).agg(F.min(position).alias("_first"))
+    same = F.col(f"r.{key}").eqNullSafe(F.col(f"f.{key}")) & F.col(f"r.{position}").eqNullSafe(F.col("f._first"))
+    return rows.alias("r").join(first.alias("f"), same, "left_semi").select(key, *(F.col(c) for c in rows.columns if c != key))
 
 
 def not_collected(rows: DataFrame, collected: DataFrame, key: str) -> DataFrame:

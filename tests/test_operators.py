@@ -72,6 +72,28 @@ def test_fold_with_placeholder(spark):
     assert A.fold_best(rows, "key", "seq", "source_name", "ne时代").first()["title"] == "Real"
 
 
+def test_fold_against_a_loop(spark):
+    import random
+
+    rng = random.Random(3)
+    rows = []
+    for seq in range(600):
+        source = rng.choice(["NE时代", "other"])
+        rows.append(record(seq, rng.choice("abcdefgh") * rng.randint(1, 3) if seq % 50 else None, rng.choice(["full", "incomplete", "missing", "unknown"]), "x" * rng.randint(1, 6), title=rng.choice(["NE时代", "", f"T{seq}"]), source=source))
+    rank, tier = {"full": 3, "incomplete": 2, "missing": 0}, {"full": 2, "missing": 0}
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    records = sorted((r.asDict() for r in frame.collect()), key=lambda r: r["seq"])
+    worth = lambda r: (tier.get(r["content_status"], 1), len(r["content"].strip()) if tier.get(r["content_status"], 1) else 0)
+    best = {}
+    for r in records:
+        old = best.get(r["key"])
+        open_ = old and old["source_name"].lower() == old["title"].lower() == "ne时代"
+        if old is None or open_ and r["title"] not in ("", "NE时代") and rank.get(r["content_status"], 1) >= rank.get(old["content_status"], 1) or worth(r) > worth(old):
+            best[r["key"]] = r
+    got = {r["key"]: r["seq"] for r in A.fold_best(frame, "key", "seq", "source_name", "ne时代").collect()}
+    assert got == {k: r["seq"] for k, r in best.items()}
+
+
 def test_incident_cycle(spark):
     stats = days(spark, [(D(2024, 1, 1), "a", 0, "每日", "failed"), (D(2024, 1, 1), "b", 5, "每日", "healthy"), (D(2024, 1, 1), "c", 0, "每日", "zero")])
     queue = spark.createDataFrame([("2024-01-01::b", D(2024, 1, 1), "b", "recovery_failed", 2, 0, "timeout", "x"), ("2024-01-01::c", D(2024, 1, 1), "c", "ignored", 0, 0, "x", "x")], "id string, date date, source string, status string, attempts long, recovered_articles long, diagnosis_code string, updated_at string")
