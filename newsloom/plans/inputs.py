@@ -51,9 +51,9 @@ def channel_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A recovery queue over some channel days, in all states."""
+    """A recovery queue in all states: an incident for every channel day that was neither healthy nor zero."""
     states = ["pending_confirmation", "confirmed", "recovering", "recovered", "recovery_failed", "ignored"]
-    d = channel_days(spark, sf_dir).where(F.dayofmonth("date") % 3 == 0)
+    d = channel_days(spark, sf_dir).where(~F.col("crawl_status").isin("healthy", "zero"))
     k = F.dayofmonth("date") + F.length("source") + F.col("article_count")
     return d.select(
         F.concat(F.col("date").cast("string"), F.lit("::"), "source").alias("id"), "date", "source", F.element_at(F.array(*map(F.lit, states)), (k % 6 + 1).cast("int")).alias("status"), (k % 3).alias("attempts"),

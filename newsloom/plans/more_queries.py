@@ -129,12 +129,14 @@ def skip_full(spark, d):
     return A.not_collected(rows, files.collected(rows, F.col("url_key")), "url_key").select("seq")
 
 
-@query(sql.ARTICLES + ", c AS (SELECT seq, 'https://x.example/' || CAST(seq AS VARCHAR) AS k, date FROM articles WHERE domain = 'en'), f AS (SELECT 'https://x.example/' || CAST(seq AS VARCHAR) AS k, title FROM articles WHERE source_name <> 'src1') SELECT c.k AS url, c.date AS published_date, f.title, true AS listed FROM c LEFT JOIN f USING (k) UNION ALL SELECT f.k || '#feed', NULL, f.title, false FROM f WHERE f.k NOT IN (SELECT k FROM c)")
+@query(sql.ARTICLES + ", c AS (SELECT seq, 'https://x.example/' || CASE WHEN domain = 'en' THEN '' ELSE 'card/' END || CAST(seq AS VARCHAR) AS k, date FROM articles), f AS (SELECT 'https://x.example/' || CASE WHEN source_name <> 'src1' THEN '' ELSE 'entry/' END || CAST(seq AS VARCHAR) AS k, title FROM articles) SELECT c.k AS url, c.date AS published_date, f.title, true AS listed FROM c LEFT JOIN f USING (k) UNION ALL SELECT f.k || '#feed', NULL, f.title, false FROM f WHERE f.k NOT IN (SELECT k FROM c)")
 def listing_with_feed(spark, d):
     """JOI-13, JOI-14: cards with their feed entry by address without fragment, and entries that no card names."""
-    a = dated(spark, d).withColumn("k", F.concat(F.lit("https://x.example/"), F.col("seq").cast("string")))
-    cards = a.where("domain = 'en'").select(F.col("k").alias("url"), F.col("date").alias("published_date"))
-    entries = a.where("source_name <> 'src1'").select(F.concat("k", F.lit("#feed")).alias("url"), "title", F.lit("").alias("summary"))
+    a, at = dated(spark, d), F.col("seq").cast("string")
+    card = F.concat(F.lit("https://x.example/"), F.when(F.col("domain") == "en", "").otherwise("card/"), at)
+    entry = F.concat(F.lit("https://x.example/"), F.when(F.col("source_name") != "src1", "").otherwise("entry/"), at)
+    cards = a.select(card.alias("url"), F.col("date").alias("published_date"))
+    entries = a.select(F.concat(entry, F.lit("#feed")).alias("url"), "title", F.lit("").alias("summary"))
     return feeds.with_feed_only(cards, entries).select("url", "published_date", "title", "listed")
 
 

@@ -105,19 +105,21 @@ def first_active(spark, d):
 
 @query(
     sql.DAYS
-    + """, gaps AS (SELECT DISTINCT date FROM days WHERE day(date) % 6 <> 5),
+    + sql.SUMMARY
+    + """, gaps AS (SELECT date FROM summary WHERE total_articles % 4 <> 0),
 ends AS (SELECT min(date) AS lo, max(date) AS hi FROM gaps),
 missing AS (SELECT CAST(unnest(generate_series(greatest(lo, hi - 31), hi - 1, INTERVAL 1 DAY)) AS DATE) AS date FROM ends),
 open_days AS (SELECT date FROM missing WHERE date NOT IN (SELECT date FROM gaps)),
-profile AS (SELECT source, min(CASE WHEN crawl_status <> 'historical' THEN date END) AS active_from, arg_max(frequency, date) AS frequency, arg_max(crawl_status, date) AS status FROM days WHERE day(date) % 6 <> 5 GROUP BY source)
+profile AS (SELECT source, min(CASE WHEN crawl_status <> 'historical' THEN date END) AS active_from, arg_max(frequency, date) AS frequency, arg_max(crawl_status, date) AS status FROM days GROUP BY source)
 SELECT o.date, p.source, p.frequency FROM profile p JOIN open_days o ON o.date >= p.active_from
 WHERE p.status <> 'skipped' AND (p.frequency = '每日' OR p.frequency = '工作日' AND isodow(o.date) <= 5)
 AND NOT EXISTS (SELECT 1 FROM days i WHERE i.date = o.date AND i.source = p.source AND i.article_count > 10)"""
 )
 def missing_runs(spark, d):
+    """JOI-8, JOI-9: of all days, those whose total is divisible by four have no audit."""
     days = inputs.channel_days(spark, d)
-    stats = days.where(F.dayofmonth("date") % 6 != 5)
-    return audit.missing_runs(stats, audit.daily_summary(stats), days.withColumn("article_count", F.when(F.col("article_count") > 10, F.col("article_count")).otherwise(0)))
+    summary = audit.daily_summary(days).withColumn("sources_configured", F.when(F.col("total_articles") % 4 == 0, 0).otherwise(F.col("sources_configured")))
+    return audit.missing_runs(days, summary, days.withColumn("article_count", F.when(F.col("article_count") > 10, F.col("article_count")).otherwise(0)))
 
 
 @query(
@@ -290,9 +292,9 @@ def first_seen(spark, d):
     return A.first_seen(dated(spark, d).select("url_key", "seq"), "url_key", "seq")
 
 
-@query(sql.ARTICLES + "SELECT source_name, seq FROM (SELECT source_name, seq, row_number() OVER (PARTITION BY source_name ORDER BY seq) AS n FROM articles WHERE date >= DATE '2024-01-10') WHERE n <= 5")
+@query(sql.ARTICLES + "SELECT source_name, seq FROM (SELECT source_name, seq, row_number() OVER (PARTITION BY source_name ORDER BY seq) AS n FROM articles) WHERE n <= 5")
 def per_source_limit(spark, d):
-    return A.limit_each(dated(spark, d).where(F.col("date") >= F.lit("2024-01-10").cast("date")).select("source_name", "seq"), "source_name", ["seq"], 5)
+    return A.limit_each(dated(spark, d).select("source_name", "seq"), "source_name", ["seq"], 5)
 
 
 @query("SELECT s_suppkey, s_name, n_name, r_name FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey")
@@ -380,10 +382,10 @@ def diagnoses(spark, d):
     return inputs.channel_days(spark, d).join(h, "source", "left").select("date", "source", channels.diagnosis(F.col("crawl_status"), F.col("reason"), F.col("candidates_seen"), F.col("pages_fetched")).alias("diagnosis"))
 
 
-@query(sql.DAYS + sql.QUEUE + "SELECT id, CASE WHEN day(date) = 3 AND status IN ('pending_confirmation', 'recovery_failed') THEN 'confirmed' WHEN status = 'pending_confirmation' AND diagnosis_code = 'missing_run_record' THEN 'confirmed' ELSE status END AS status FROM queue")
+@query(sql.DAYS + sql.QUEUE + "SELECT id, CASE WHEN attempts = 1 AND status IN ('pending_confirmation', 'recovery_failed') THEN 'confirmed' WHEN status = 'pending_confirmation' AND diagnosis_code = 'missing_run_record' THEN 'confirmed' ELSE status END AS status FROM queue")
 def resolved_incidents(spark, d):
     q = inputs.incidents(spark, d)
-    ids = q.where(F.dayofmonth("date") == 3).select("id")
+    ids = q.where("attempts = 1").select("id")
     return incidents.auto_confirm(incidents.resolve(q, ids, "confirm", F.lit("now"))).select("id", "status")
 
 

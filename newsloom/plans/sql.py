@@ -109,7 +109,7 @@ SELECT date, b AS baseline_median_7d, r AS ratio_to_baseline, q AS usable_rate,
 QUEUE = r""", queue AS (
   SELECT CAST(date AS VARCHAR) || '::' || source AS id, date, source, ['pending_confirmation', 'confirmed', 'recovering', 'recovered', 'recovery_failed', 'ignored'][(day(date) + length(source) + article_count) % 6 + 1] AS status,
     (day(date) + length(source) + article_count) % 3 AS attempts, CAST(0 AS BIGINT) AS recovered_articles, CASE WHEN (day(date) + length(source) + article_count) % 2 = 0 THEN 'missing_run_record' ELSE 'timeout' END AS diagnosis_code, '2024-02-01' AS updated_at
-  FROM days WHERE day(date) % 3 = 0
+  FROM days WHERE crawl_status NOT IN ('healthy', 'zero')
 )
 """
 
