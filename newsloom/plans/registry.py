@@ -230,8 +230,9 @@ def target_dates(spark, d):
 
 @query("SELECT CAST(unnest(generate_series(CAST(min(ts) AS DATE), CAST(max(ts) AS DATE), INTERVAL 1 DAY)) AS DATE) AS date FROM events")
 def date_spine(spark, d):
-    ends = inputs.table(spark, d, "events").agg(F.min(F.to_date(F.col("ts").cast("timestamp_ntz"))).alias("a"), F.max(F.to_date(F.col("ts").cast("timestamp_ntz"))).alias("b"))
-    return ends.select(F.explode(F.sequence("a", "b")).alias("date"))
+    day = F.to_date(F.col("ts").cast("timestamp_ntz"))
+    first, last = inputs.table(spark, d, "events").agg(F.min(day), F.max(day)).first()
+    return dates.spine(spark, F.lit(first), F.lit(last))
 
 
 @query(sql.DAYS + sql.HEALTH + "SELECT source, substr(sha256('2024-02-01' || chr(10) || CAST(date AS VARCHAR) || chr(10) || source || chr(10) || status || chr(10) || reason || chr(10) || CAST(new_articles AS VARCHAR)), 1, 24) AS id FROM health")

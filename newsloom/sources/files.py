@@ -48,12 +48,12 @@ def read_csv(spark: SparkSession, path: str | list[str], columns: list[str]) ->
     """CSV with a header, quoted newlines and a possible byte-order mark; absent columns as empty strings."""
     rows = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
     have = {c.lstrip("﻿"): c for c in rows.columns}
-    return rows.select(*((present(f"`{have[c]}`") if c in have else F.lit("")).alias(c) for c in columns), F.col("_metadata.file_name").alias("_file"))
+    return rows.select(*((present(f"`{have[c]}`") if c in have else F.lit("")).alias(c) for c in columns), F.col("_metadata.file_path").alias("_file"))
 
 
 def file_date(name: Column) -> Column:
-    """The day in the name of a daily export."""
-    return F.try_to_timestamp(F.regexp_extract(name, r"(\d{4}-\d{2}-\d{2})", 1), F.lit("yyyy-MM-dd")).cast("date")
+    """The day in the name of a daily export, which may be a file or a folder of files: the last day in its path."""
+    return F.try_to_timestamp(F.regexp_extract(name, r".*(\d{4}-\d{2}-\d{2})", 1), F.lit("yyyy-MM-dd")).cast("date")
 
 
 def daily_paths(folder: str, first: dt.date, last: dt.date) -> list[str]:
@@ -111,9 +111,9 @@ def write_articles(rows: DataFrame, path: str) -> None:
 
 
 def write_csv(rows: DataFrame, path: str, columns: list[str]) -> None:
-    """CSV of fixed columns; nested values as JSON, others ignored."""
+    """CSV of fixed columns; nested values as JSON, others ignored; blanks around a text are the text's."""
     nested = {f.name for f in rows.schema if isinstance(f.dataType, T.ArrayType | T.StructType | T.MapType)}
-    rows.select(*(F.to_json(c).alias(c) if c in nested else F.col(c) for c in columns)).write.mode("overwrite").option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+    rows.select(*(F.to_json(c).alias(c) if c in nested else F.col(c) for c in columns)).write.mode("overwrite").option("header", True).option("quoteAll", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def write_partitioned(rows: DataFrame, path: str, day: str) -> None:

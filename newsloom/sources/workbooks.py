@@ -14,7 +14,7 @@ import re
 import tempfile
 import zipfile
 from array import array
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from xml.etree import ElementTree
 from xml.sax.saxutils import escape, quoteattr
 
@@ -258,10 +258,14 @@ def write_frames(frames: dict[str, DataFrame], target) -> dict[str, int]:
     return out
 
 
-def read_rows(spark: SparkSession, path: str, header_names: Callable[[str], set[str]] | None = None) -> DataFrame:
-    """Rows of workbooks, one file a task: ``path, pos, header array<string>, cells array<string>`` from the second row on.
+def read_rows(spark: SparkSession, path: str) -> DataFrame:
+    """``rows_of`` the workbooks of a folder, or one."""
+    return rows_of(spark.read.format("binaryFile").load(path))
 
-    A task gives rows in batches of ``BATCH``; a file without rows gives nothing.
+
+def rows_of(books: DataFrame) -> DataFrame:
+    """Rows of workbooks (``path, content``), a book a task: ``path, pos, header array<string>, cells array<string>`` from
+    the second row on. A task gives rows in batches of ``BATCH``; a workbook without rows gives nothing.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -275,7 +279,7 @@ def read_rows(spark: SparkSession, path: str, header_names: Callable[[str], set[
                         break
                     yield pd.DataFrame({"path": name, "pos": range(start, start + len(part)), "header": [header] * len(part), "cells": [[*r, *[""] * (len(header) - len(r))] for r in part]})
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "path string, pos long, header array<string>, cells array<string>")
+    return books.select("path", "content").mapInPandas(run, "path string, pos long, header array<string>, cells array<string>")
 
 
 def column(names: list[str]) -> Column:
