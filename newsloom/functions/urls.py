@@ -66,6 +66,12 @@ def canonical_url_native(url: Column) -> Column:
     return F.when(value == "", "").when(plain, key)
 
 
+def address_key(url: Column) -> Column:
+    """``url_key`` for any address: in the JVM for plain ones, in Python only for those that need re-encoding."""
+    native = canonical_url_native(url)
+    return F.coalesce(native, canonical_url(F.when(native.isNull(), url)))
+
+
 def host(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 

@@ -94,7 +94,10 @@ def _verdict(rows: DataFrame, rules: list[tuple[str, Column, Column]]) -> DataFr
 
 
 def channel_anomalies(rows: DataFrame) -> DataFrame:
-    """Rules about one channel's day; needs counts, baseline, streak, ``crawl_status`` and ``expected_daily``."""
+    """Rules about one channel's day; needs counts, baseline, streak, ``crawl_status`` and ``expected_daily``.
+
+    Fixed values: the codes, their levels and thresholds.
+    """
     c, base, r, prev = (F.col(x) for x in ("article_count", "baseline_median_7d", "ratio_to_baseline", "previous_count"))
     watched = (F.col("crawl_status") != "skipped") & F.col("expected_daily")
     had = F.coalesce(prev > 0, F.lit(False)) | F.coalesce(base > 0, F.lit(False))
@@ -133,7 +136,10 @@ def daily_summary(stats: DataFrame) -> DataFrame:
 
 
 def summary_anomalies(summary: DataFrame) -> DataFrame:
-    """Rules about all channels' day. The baseline is over one row a day, so its window is one small partition."""
+    """Rules about all channels' day. The baseline is over one row a day, so its window is one small partition.
+
+    Fixed values: the codes, their levels and thresholds.
+    """
     rows = with_baseline(summary, "total_articles").withColumn("usable_rate", rate(F.col("usable_articles"), F.col("total_articles")))
     t, base, r, active = (F.col(x) for x in ("total_articles", "baseline_median_7d", "ratio_to_baseline", "sources_active"))
     some = (t != 0) & F.coalesce(base > 0, F.lit(False))

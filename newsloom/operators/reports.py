@@ -110,6 +110,7 @@ def operations_report(state: DataFrame, queue: DataFrame, now: str) -> dict:
 
 
 def operations_markdown(report: dict) -> str:
+    """The operations report as Markdown. Its headings and the headers of its table."""
     s = report["summary"]
     todo = [[c["source"], c["last_status"], c["consecutive_unhealthy"], c["open_incidents"], c["next_action"]] for c in report["channels"] if c["next_action"] != "none"]
     lines = ["# 渠道运维总览", "", f"- 生成时间：{report['generated_at']}", f"- 渠道数：{s['channels']}", f"- 健康/正常空闲：{s['healthy']}", f"- 异常渠道：{s['unhealthy']}", f"- 待处理缺口：{s['open_incidents']}", "", "## 需要处理的渠道", ""]
@@ -125,6 +126,7 @@ def audit_report(judged: DataFrame, summary: DataFrame, queue: DataFrame, day: d
 
 
 def audit_markdown(report: dict) -> str:
+    """The audit of a day as Markdown. Its headings and the headers of its tables."""
     s = report["summary"]
     odd = [[c["anomaly_level"], c["source"], c["article_count"], c.get("previous_count"), c.get("baseline_median_7d"), c.get("zero_streak_days"), c.get("anomaly_codes")] for c in report["channels"]]
     open_ = [[i["status"], i["date"], i["source"], i["diagnosis_code"]] for i in report["incidents"]]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions.channels import OPEN, expects_on
 from newsloom.functions.dates import article_date
-from newsloom.functions.urls import canonical_url
+from newsloom.functions.urls import address_key
 from newsloom.operators import audit, incidents, ledger
 from newsloom.operators.incidents import INCIDENT, padded
 from newsloom.sources.edges import deliver
@@ -40,7 +40,7 @@ def events(spark: SparkSession, home: str) -> DataFrame:
 
 def inventory(articles: DataFrame) -> DataFrame:
     """Counts per channel and day of an article table."""
-    dated = articles.withColumn("date", article_date(F.col("published_at"), F.col("url"))).withColumn("url_key", canonical_url("url"))
+    dated = articles.withColumn("date", article_date(F.col("published_at"), F.col("url"))).withColumn("url_key", address_key(F.col("url")))
     return audit.inventory(dated, "date", "url_key")
 
 

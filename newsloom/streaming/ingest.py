@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.functions.urls import canonical_url
+from newsloom.functions.urls import address_key
 from newsloom.sources.files import ARTICLE
 from newsloom.sources.store import Store
 
@@ -21,7 +21,7 @@ def ingest(spark: SparkSession, landing: str, table: str, checkpoint: str):
     store = Store(spark, table, "_key")
 
     def merge(batch: DataFrame, epoch: int) -> None:
-        store.put(batch.withColumn("_seq", F.monotonically_increasing_id()).withColumn("_key", canonical_url("url")), label=f"batch{epoch}")
+        store.put(batch.withColumn("_seq", F.monotonically_increasing_id()).withColumn("_key", address_key(F.col("url"))), label=f"batch{epoch}")
 
     return incoming.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -36,9 +36,9 @@ URLS = [
 
 def test_url_keys(spark):
     assert urls.url_key(URLS[0]) == urls.url_key(URLS[1]) == "https://example.com/a?b=2"
-    rows = spark.createDataFrame([(u,) for u in URLS], "url string").select("url", urls.canonical_url("url").alias("exact"), urls.canonical_url_native(F.col("url")).alias("native")).collect()
+    rows = spark.createDataFrame([(u,) for u in URLS], "url string").select("url", urls.canonical_url("url").alias("exact"), urls.address_key(F.col("url")).alias("key"), urls.canonical_url_native(F.col("url")).alias("native")).collect()
     for r in rows:
-        assert r["exact"] == urls.url_key(r["url"])
+        assert r["exact"] == r["key"] == urls.url_key(r["url"])
         assert r["native"] in (None, r["exact"]), r
 
 
