@@ -1,6 +1,6 @@
 """Command line over stored tables.
 
-``python -m newsloom.cli cycle|reconcile|recover|notify|status|check|resolve|rollup|weekly|monthly|purge|taxonomy``
+``python -m newsloom.cli collect|cycle|reconcile|recover|notify|status|check|resolve|rollup|weekly|monthly|purge|taxonomy``
 """
 
 from __future__ import annotations
@@ -21,10 +21,11 @@ from pyspark.sql import functions as F
 from newsloom.functions.dates import article_date, parse_target_date, previous_period
 from newsloom.operators import articles as A
 from newsloom.operators import incidents, reports, rollup, taxonomy
-from newsloom.plans import cycle
+from newsloom.plans import collect, cycle
 from newsloom.plans.cycle import QUEUE, STATE, Cycle, current
-from newsloom.sources import edges, files, workbooks
+from newsloom.sources import edges, fetching, files, workbooks
 from newsloom.sources.files import read_articles, write_csv, write_version
+from newsloom.sources.store import Store
 
 #: Where the address and secret of the webhook are taken from.
 WEBHOOK, SECRET = "NEWSLOOM_WEBHOOK", "NEWSLOOM_WEBHOOK_SECRET"
@@ -45,8 +46,6 @@ def call(command: list[str]) -> int:
 def table(spark: SparkSession, path: str) -> DataFrame:
     """Articles from JSON lines, from Parquet files, or from a stored table with a log."""
     if files.exists(spark, f"{path}/_log"):
-        from newsloom.sources.store import Store
-
         return Store(spark, path, "_key").read()
     return read_articles(spark, path) if path.endswith((".jsonl", ".json")) else spark.read.parquet(path)
 
@@ -89,6 +88,14 @@ def parser() -> argparse.ArgumentParser:
         if name == "cycle":
             own.add_argument("--backfill", help="command that is run with a day and a channel")
             own.add_argument("--no-notify", action="store_true")
+    own = add("collect", "the articles of a day from all channels, or some")
+    own.add_argument("--sources", required=True, help="workbook of the channels")
+    own.add_argument("--store", required=True, help="folder of the article table")
+    own.add_argument("--day", help="yyyy-mm-dd; the day before by default")
+    own.add_argument("--only", action="append", default=[], help="name of a channel")
+    own.add_argument("--limit", type=int, default=collect.LIMIT)
+    own.add_argument("--candidates", type=int, default=collect.CANDIDATES)
+    own.add_argument("--delay", type=float, default=fetching.DELAY)
     own = add("recover", "backfill of confirmed incidents")
     own.add_argument("--articles", required=True)
     own.add_argument("--command", dest="with_", required=True)
@@ -157,6 +164,19 @@ def _cycle(spark: SparkSession, args: argparse.Namespace, now: str, run: Runner,
     return 0
 
 
+def _collect(spark: SparkSession, args: argparse.Namespace, now: str, run: Runner, send: Post) -> int:
+    day = parse_target_date(args.day, dt.datetime.now(dt.UTC)).isoformat()
+    sources, store = files.read_sources(spark, args.sources), Store(spark, args.store, "_key")
+    try:
+        health = collect.collect(spark, args.home, sources, store, fetching.http_get, day, now, only=tuple(args.only), limit=args.limit, candidate_limit=args.candidates, delay=args.delay)
+    except reports.UnknownSources as unknown:
+        print(unknown)
+        return unknown.exit_code
+    fields = [c for c in health.columns if c != "min_content_chars"]
+    files.write_text(spark, f"{args.home}/channel-health.json", reports.health_report(health, F.lit(day), F.lit(now), fields).first()["report"])
+    return int(not reports.unhealthy(health).isEmpty())
+
+
 def _recover(spark: SparkSession, args: argparse.Namespace, now: str, run: Runner, send: Post) -> int:
     step = Cycle(spark, args.home, now[:10], now)
     step.backfill(backfill(args.with_, run), lambda: table(spark, args.articles))
@@ -244,7 +264,7 @@ def _taxonomy(spark: SparkSession, args: argparse.Namespace, now: str, run: Runn
 
 
 COMMANDS = {
-    "cycle": _cycle, "reconcile": _cycle, "recover": _recover, "notify": _notify, "status": _status, "check": _check, "resolve": _resolve, "rollup": _rollup, "weekly": _weekly, "monthly": _monthly, "purge": _purge, "taxonomy": _taxonomy,
+    "collect": _collect, "cycle": _cycle, "reconcile": _cycle, "recover": _recover, "notify": _notify, "status": _status, "check": _check, "resolve": _resolve, "rollup": _rollup, "weekly": _weekly, "monthly": _monthly, "purge": _purge, "taxonomy": _taxonomy,
 }
 
 if __name__ == "__main__":

@@ -117,7 +117,7 @@ def strict_body(root: Node, source: str) -> str | None:
 
 def page_articles(pages: DataFrame, *, url: str = "url", html: str = "html", source: str = "source_name") -> DataFrame:
     """Pages as articles: ``url, source_name, title, published_at, content, content_extraction, content_status,
-    content_issue``.
+    content_issue, requested_url``.
 
     The address is the declared one, unless that is a placeholder or dated differently. A date in the address goes
     before the one written on the page. The body is the best element's text or the full text of the page, whichever is
@@ -141,18 +141,18 @@ def page_articles(pages: DataFrame, *, url: str = "url", html: str = "html", sou
                 target = resolve_canonical(address or "", declared, lambda u: (re.search(DATE_IN_URL, u) or [""])[0])
                 written = published(root)
                 day_first = (name or "").strip().lower() in DAY_FIRST_CHANNELS
-                rows.append((target, name, title(root), written, free_dates.read(written, day_first), content, method, full))
-            yield pd.DataFrame(rows, columns=["url", "source_name", "title", "written", "read", "content", "method", "full"])
+                rows.append((target, name, title(root), written, free_dates.read(written, day_first), content, method, full, address))
+            yield pd.DataFrame(rows, columns=["url", "source_name", "title", "written", "read", "content", "method", "full", "requested_url"])
 
-    made = pages.mapInPandas(run, "url string, source_name string, title string, written string, read string, content string, method string, full string")
+    made = pages.mapInPandas(run, "url string, source_name string, title string, written string, read string, content string, method string, full string, requested_url string")
     made = made.withColumn("content", trim_body(F.col("content"))).withColumn("full", trim_body(F.col("full")))
     longer = F.length("full") > F.length("content")
     made = made.withColumn("method", F.when(longer, FULL_TEXT).otherwise(F.col("method"))).withColumn("content", F.when(longer, F.col("full")).otherwise(F.col("content")))
     made = made.where("title <> '' OR content <> ''")
     dated = F.coalesce(url_date(F.col("url")), published_date(F.col("written"), F.lower(F.trim("source_name")).isin(DAY_FIRST_CHANNELS)), F.col("read").cast("date"))
-    rows = made.select("url", "source_name", "title", F.coalesce(dated.cast("string"), "written").alias("published_at"), "content", F.col("method").alias("content_extraction"))
+    rows = made.select("url", "source_name", "title", F.coalesce(dated.cast("string"), "written").alias("published_at"), "content", F.col("method").alias("content_extraction"), "requested_url")
     rows = rows.withColumn("title", repaired_title(F.col("title"), F.col("content"), F.col("source_name"))).withColumn("_v", assess(F.col("content"), F.col("content_extraction")))
-    return rows.select("url", "source_name", "title", "published_at", "content", "content_extraction", F.col("_v.status").alias("content_status"), F.col("_v.issue").alias("content_issue"))
+    return rows.select("url", "source_name", "title", "published_at", "content", "content_extraction", F.col("_v.status").alias("content_status"), F.col("_v.issue").alias("content_issue"), "requested_url")
 
 
 def links(root: Node, base: str) -> list[tuple[str, str]]:
