@@ -59,7 +59,7 @@ def test_a_day_of_all_channels(spark, tmp_path):
         "Broken": ("failed", 0, 0, 0, 0, "listing"), "Weekly": ("failed", 0, 0, 0, 0, "listing"), "Closed": ("skipped", 0, 0, 0, 0, ""),
     }
     assert health["Broken"]["reason"] == "http 503" and "无法访问" in health["Closed"]["reason"]
-    assert spark.read.json(f"{home}/source-errors").count() == 2  # an excerpt makes the channel degraded; nobody is of that name
+    assert spark.read.json(f"{home}/source-errors").count() == 2
     # what is stored in full is not asked for again; the excerpt is, and its page is there by now
     again = {r["source"]: r for r in run("2024-01-05T21:00", NET | {"https://feed.org/f3": page("F3")}).collect()}
     assert (again["Feed"]["new_articles"], again["Feed"]["refreshed_articles"], again["Feed"]["status"]) == (0, 1, "healthy") and again["Plain"]["status"] == "zero"
@@ -80,7 +80,8 @@ def test_a_day_from_the_command_line(spark, tmp_path, monkeypatch):
     (tmp_path / "s.xlsx").write_bytes(files.write_workbook({"S": (header, rows)}))
     monkeypatch.setattr(fetching, "http_get", getter(NET))
     args = ["collect", "--home", str(tmp_path / "home"), "--sources", str(tmp_path / "s.xlsx"), "--store", str(tmp_path / "t"), "--day", DAY, "--delay", "0"]
-    assert cli.main([*args, "--only", "Feed"]) == 1 and cli.main([*args, "--only", "Nobody"]) == 2  # an excerpt makes the channel degraded; nobody is of that name
+    assert cli.main([*args, "--only", "Feed"]) == 1  # an excerpt makes the channel degraded
+    assert cli.main([*args, "--only", "Nobody"]) == 2
     told = json.loads((tmp_path / "home" / "channel-health.json").read_text(encoding="utf-8"))
     assert [(s["source"], s["new_articles"]) for s in told["sources"]] == [("Feed", 2)] and told["target_date"] == DAY
-    assert cli.table(spark, str(tmp_path / "t")).count() == 2  # an excerpt makes the channel degraded; nobody is of that name
+    assert cli.table(spark, str(tmp_path / "t")).count() == 2
