@@ -192,14 +192,15 @@ def heads(pages: DataFrame, html: str = "html") -> DataFrame:
     return pages.mapInPandas(run, schema)
 
 
-def bodies(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Texts of pages, beside their other columns: ``body`` of the best element, how it was found, and ``full_text``."""
+def bodies(pages: DataFrame, html: str = "html", terminated: bool = False) -> DataFrame:
+    """Texts of pages, beside their other columns: ``body`` of the best element, how it was found, and ``full_text``;
+    ``terminated`` as ``parse`` has it."""
     keep = [c for c in pages.columns if c != html]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema if f.name != html), "body string", "method string", "full_text string"])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            roots = [parse(text) for text in frame[html]]
+            roots = [parse(text, terminated) for text in frame[html]]
             rows = [(*body(r), extract.full_text(r)) for r in roots]
             yield pd.concat([frame[keep], pd.DataFrame(rows, columns=["body", "method", "full_text"], index=frame.index)], axis=1)
 

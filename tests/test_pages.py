@@ -1,8 +1,10 @@
 """Pages as articles, and where a page's date is found."""
 
+import duckdb
 import pytest
 
 from newsloom.functions import html, selectors
+from newsloom.plans import page_queries, registry  # noqa: F401  (queries are registered on import)
 
 PAGE = """<html><head><title>T</title><link rel="canonical" href="/2024/01/05/real.html"><meta property="og:url" content="https://h.org/x"></head><body>
 <nav><p>Menu of the whole site, long enough to count.</p></nav><div class="body-content"><p>The first line of the body.</p><p>Source: elsewhere</p><p>The second line of the body.</p></div>
@@ -36,3 +38,32 @@ def test_selectors():
     found = lambda s: [n.tag for n in selectors.select(root, s)]
     assert all(found(s) == ["b"] for s in ("#k", ".inner", ".inner.left", ".outer .inner", ".outer #k"))
     assert not any("b" in found(s) for s in ("#l", ".outer", ".inner.right", ".inner .inner"))
+
+
+def cut_pages(folder, spark):
+    """Pages in the form of the table, whose headings and texts were cut within a reference."""
+    heads = ["A heading &amp; more of it &amp", "Cut &am", "&quot;Said&quo", "One &&amp;&amp", "R&ampD &lt 5 &copy 6 &#39 7"]
+    rows = [(i, f"https://h.org/{i}", f"<!DOCTYPE html><html><head><title>x &amp</title><script>if (a && b &amp) {{}}</script></head><body><nav><a href=\"/\">Home</a></nav><article><h1>{h}</h1><p>{'A line of the body, long enough. ' * 4}{h}</p></article><footer>&copy; x</footer></body></html>") for i, h in enumerate(heads)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{folder}/pages.parquet")
+
+
+def against_sql(spark, folder, name):
+    """A query's rows over a folder, and those of its SQL."""
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{folder}/pages.parquet/*.parquet')")
+    got = registry.queries()[name](spark, str(folder))
+    return sorted(map(tuple, got.collect())), sorted(con.execute(f"SELECT {', '.join(got.columns)} FROM ({registry.oracle_sql()[name]})").fetchall())
+
+
+def test_full_texts_keep_cut_references(spark, tmp_path):
+    cut_pages(tmp_path, spark)
+    got, expected = against_sql(spark, tmp_path, "page_full_texts")
+    assert got == expected and got[0][1].endswith("A heading & more of it &amp")
+
+
+def test_references_without_semicolon():
+    page = '<a&b title="R&ampD &amp; x" href="/?a=1&lt=2"></a&b><p>A &amp B &amp; C &notit; &#39 &#39; &eacute;</p><script type="ld+json">"&amp; & &amp"</script>'
+    texts = [n.text() for terminated in (False, True) for n in html.parse(page, terminated).walk() if n.tag in ("p", "script")]
+    assert texts == ["A & B & C ¬it; ' ' é", '"&amp; & &amp"', "A &amp B & C &notit; &#39 ' é", '"&amp; & &amp"']
+    assert html.parse(page, True).children[0].attrs == {"title": "R&ampD & x", "href": "/?a=1&lt=2"}
+    assert [n.tag for n in html.parse(page, True).children] == ["a&b", "p", "script"]
