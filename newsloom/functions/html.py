@@ -178,14 +178,15 @@ def articles(pages: DataFrame, url: str = "url", html: str = "html") -> DataFram
     return pages.mapInPandas(run, schema)
 
 
-def heads(pages: DataFrame, html: str = "html") -> DataFrame:
-    """What pages say of themselves, beside their other columns: title, time and declared address; no body is read."""
+def heads(pages: DataFrame, html: str = "html", terminated: bool = False) -> DataFrame:
+    """What pages say of themselves, beside their other columns: title, time and declared address; no body is read.
+    ``terminated`` as ``parse`` has it."""
     keep = [c for c in pages.columns if c != html]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema if f.name != html), "title string", "published_at string", "declared_url string"])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            roots = [parse(text) for text in frame[html]]
+            roots = [parse(text, terminated) for text in frame[html]]
             rows = [(title(r), published(r), next((n.attrs.get("href", "") for n in r.walk() if n.tag == "link" and "canonical" in n.attrs.get("rel", "").lower()), "")) for r in roots]
             yield pd.concat([frame[keep], pd.DataFrame(rows, columns=["title", "published_at", "declared_url"], index=frame.index)], axis=1)
 

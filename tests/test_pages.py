@@ -61,6 +61,12 @@ def test_full_texts_keep_cut_references(spark, tmp_path):
     assert got == expected and got[0][1].endswith("A heading & more of it &amp")
 
 
+def test_titles_keep_cut_references(spark, tmp_path):
+    cut_pages(tmp_path, spark)
+    got, expected = against_sql(spark, tmp_path, "page_titles")
+    assert got == expected and got[0] == (0, "A heading & more of it &amp")
+
+
 def test_references_without_semicolon():
     page = '<a&b title="R&ampD &amp; x" href="/?a=1&lt=2"></a&b><p>A &amp B &amp; C &notit; &#39 &#39; &eacute;</p><script type="ld+json">"&amp; & &amp"</script>'
     texts = [n.text() for terminated in (False, True) for n in html.parse(page, terminated).walk() if n.tag in ("p", "script")]
