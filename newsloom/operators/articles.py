@@ -153,6 +153,6 @@ def not_collected(rows: DataFrame, collected: DataFrame, key: str) -> DataFrame:
     return rows.join(collected.select(key), key, "left_anti").select(*rows.columns)
 
 
-def limit_each(rows: DataFrame, by: str, order: list, k: int) -> DataFrame:
+def limit_each(rows: DataFrame, by: str | list[str], order: list, k: int) -> DataFrame:
     """The first k rows of each group."""
     return rows.withColumn("_n", F.row_number().over(Window.partitionBy(by).orderBy(*order))).where(F.col("_n") <= k).drop("_n")

@@ -1,11 +1,13 @@
 import datetime as dt
 import json
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from newsloom.operators import articles as A
 from newsloom.operators import audit, classify, incidents
+from newsloom.plans import registry
 from newsloom.sources import edges, feeds, files
 
 D = dt.date
@@ -177,3 +179,16 @@ def test_streaming_upsert_is_idempotent(spark, tmp_path):
     assert [r["content"] for r in table.read().collect()] == ["longer text"]
     batch = spark.createDataFrame([("https://h.org/v", "again", "full", 0)], "_key string, content string, content_status string, _seq long")
     assert table.put(batch, label="batch0") == {"added": 0, "updated": 0, "kept": 0, "read": 0}  # that batch is in
+
+
+def test_limit_follows_the_dates(spark, tmp_path):
+    """LIM-1 for all days: seven dated articles of a day leave five, in the first days of the month too; undated ones none."""
+    docs = [(i, "text", "en", "a" if i % 30 else "b") for i in range(0, 420)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted((r["source_name"], r["date"], r["seq"]) for r in registry.queries()["per_source_limit"](spark, str(tmp_path)).collect())
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert got == sorted(con.execute(f"SELECT source_name, date, seq FROM ({registry.oracle_sql()['per_source_limit']})").fetchall())
+    days = {(source, day) for source, day, _ in got}
+    assert len([k for k in got if k[:2] == ("b", D(2024, 1, 1))]) == 5 and {day for _, day in days} == {D(2024, 1, 1) + dt.timedelta(k) for k in range(30)}
+    assert not any(seq % 4 == 1 and seq % 3 for _, _, seq in got)
